@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from .exact_dedup import OP5_SQL, op5_exact_dedup
 from .packing import op1_best_fit_packing
 from .token_counts import op4_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_exact_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
