@@ -55,8 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def blocks(text: str, size: int) -> Iterable[str]:
     """The text in blocks of about `size` characters, cut only at safe places; one block where none exists."""
     at, n = 0, len(text)
-    while n - at > size:
-        cut = SAFE_CUT.search(text, at + size)
+    while n - at > max(size, 1):
+        cut = SAFE_CUT.search(text, at + max(size, 1))
         if not cut:
             break
         yield text[at : cut.start()]
