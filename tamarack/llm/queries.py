@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from .bpe_duckdb import op7_bpe_duckdb
 from .exact_dedup import OP5_SQL, op5_exact_dedup
+from .fingerprints import op2_fingerprints
 from .packing import op1_best_fit_packing
 from .token_counts import op4_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_exact_dedup, op7_bpe_duckdb)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_exact_dedup, op7_bpe_duckdb, op2_fingerprints)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
