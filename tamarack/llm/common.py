@@ -62,3 +62,28 @@ def blocks(text: str, size: int) -> Iterable[str]:
         yield text[at : cut.start()]
         at = cut.start()
     yield text[at:]
+
+
+#: A group of over a 1/HOT part of all rows is joined by broadcast: by this definition there are fewer than HOT of them.
+HOT = 1000
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, outer: bool = False) -> DataFrame:
+    """rows with the columns of their group; groups: keys, n (rows of that key) and more; total: how many rows there are.
+
+    The fewer than HOT groups of over total/HOT rows are joined by broadcast, so that no key's rows meet in one task;
+    the rest by a shuffle. outer: rows without a group stay, with nulls.
+    """
+    from pyspark.sql import functions as F
+
+    hot, rest = groups.where(F.col("n") > total / HOT), groups.where(F.col("n") <= total / HOT)
+    few = F.broadcast(hot)
+    return rows.join(few, keys).unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys, "left" if outer else "inner"))
+
+
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of jobs that are over."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
