@@ -20,17 +20,17 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UNSAFE_SPACE, blocks, table
+from .common import blocks, table, unit_keys, unit_text
 
-#: Words a query takes, bytes from which a word goes by the heap, entries a worker remembers.
-BATCH_WORDS, LONG, CACHE = 20_000, 256, 300_000
+#: Words a query takes, bytes from which a word goes by the heap, words and units that a worker remembers.
+BATCH_WORDS, LONG, CACHE_WORDS, CACHE_UNITS = 20_000, 256, 600_000, 800_000
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -47,7 +47,7 @@ WITH RECURSIVE state AS (
     ) b ON b.w = p.w
     WHERE p.pos <> b.npos
 ), fix AS (SELECT s.w, s.pos, s.tok FROM state s JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) l ON l.w = s.w AND l.step = s.step)
-SELECT w, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, count(*) AS n FROM fix GROUP BY w
+SELECT w, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids FROM fix GROUP BY w
 """
 
 DECODE = """
@@ -78,8 +78,9 @@ class RecursiveBpe:
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.words: dict[str, tuple[str, int, bytes]] = {}
-        self.units: dict[str, tuple[str, int, bytes]] = {}
+        #: Decimal ids and decoded text.
+        self.words: dict[str, tuple[str, str]] = {}
+        self.units: dict[str, tuple[str, str]] = {}
 
     def heap_encode(self, data: bytes) -> list[int]:
         """Leftmost least-rank contraction of one long word."""
@@ -101,8 +102,8 @@ class RecursiveBpe:
                     heapq.heappush(queue, (rank, a, len(both)))
         return [self.ranks[part[k]] for k in range(n) if alive[k]]
 
-    def query_encode(self, words: list[bytes]) -> list[tuple[str, int]]:
-        """(ids, how many) of each word by the recursive query."""
+    def query_encode(self, words: list[bytes]) -> list[str]:
+        """The decimal ids of each word by the recursive query."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         rows = pa.table({
@@ -111,9 +112,9 @@ class RecursiveBpe:
             "tok": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)],
         })
         self.db.register("start", rows)
-        out: list = [None] * len(words)
-        for w, ids, n in self.db.execute(CONTRACT).fetchall():
-            out[w] = (ids, n)
+        out = [""] * len(words)
+        for w, ids in self.db.execute(CONTRACT).fetchall():
+            out[w] = ids
         self.db.unregister("start")
         return out
 
@@ -129,62 +130,68 @@ class RecursiveBpe:
         self.db.unregister("ids")
         return out
 
-    def learn_words(self, words: Iterable[str]) -> None:
-        new = list(set(words).difference(self.words))
-        if len(self.words) + len(new) > CACHE:
+    def learn_words(self, words: set[str]) -> None:
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
-            new = list(set(words))
+            new = words
         short = []
         for word in new:
             data = word.encode()
             if len(data) <= LONG:
                 short.append((word, data))
             else:
-                ids = self.heap_encode(data)
-                self.words[word] = (text := " ".join(map(str, ids)), len(ids), self.decode([text])[0])
+                ids = " ".join(map(str, self.heap_encode(data)))
+                self.words[word] = (ids, self.decode([ids])[0].decode())
         short.sort(key=lambda x: len(x[1]))  # words of like length end after like steps
         for at in range(0, len(short), BATCH_WORDS):
             some = short[at : at + BATCH_WORDS]
             found = self.query_encode([data for _, data in some])
-            for (word, _), (ids, n), data in zip(some, found, self.decode([ids for ids, _ in found])):
-                self.words[word] = (ids, n, data)
+            for (word, data), ids, back in zip(some, found, self.decode(found)):
+                self.words[word] = (ids, word if back == data else back.decode())
 
-    def joined(self, words: list[str]) -> tuple[str, int, bytes]:
+    def joined(self, words: list[str]) -> tuple[str, str]:
         got = [self.words[w] for w in words]
-        return " ".join(x[0] for x in got), sum(x[1] for x in got), b"".join(x[2] for x in got)
+        return " ".join([x[0] for x in got]), "".join([x[1] for x in got])
 
-    def learn_units(self, units: Iterable[str]) -> None:
-        new = list(set(units).difference(self.units))
-        if len(self.units) + len(new) > CACHE:
+    def learn_units(self, keys: set[str]) -> None:
+        new = keys.difference(self.units)
+        if len(self.units) + len(new) > CACHE_UNITS:
             self.units.clear()
-            new = list(set(units))
-        split = [self.split(u) for u in new]
-        self.learn_words(w for x in split for w in x)
-        self.units.update(zip(new, map(self.joined, split)))
-
-    def units_of(self, text: str) -> Iterator[list[str]]:
-        """The units of a text, a list for each block of it."""
-        for block in blocks(text, 1 << 20):
-            if UNSAFE_SPACE.search(block):
-                yield list(blocks(block, 0))  # cut wherever white space follows a word
-            else:
-                head, *rest = block.split(" ")
-                yield [x for x in (head, *[" " + x for x in rest]) if x]
+            new = keys
+        split = {key: self.split(unit_text(key)) for key in new}
+        self.learn_words({w for x in split.values() for w in x})
+        self.units.update((key, self.joined(x)) for key, x in split.items())
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """(n_tokens, ids_sha256, decoded_sha256) of each text."""
-        cut = [list(self.units_of(t)) for t in texts]
-        new = set().union(*(u for text in cut for u in text)).difference(self.units)
-        if new:
-            self.learn_units(set().union(*(u for text in cut for u in text)) if len(self.units) + len(new) > CACHE else new)
+        cut = [[(block, unit_keys(block)) for block in blocks(t, 1 << 20)] for t in texts]
+        keys, loose = set(), set()
+        for text in cut:
+            for block, units in text:
+                if units is None:
+                    loose.update(self.split(block))
+                else:
+                    if units[0][:1] != "\n":
+                        loose.update(self.split(units[0]))
+                    keys.update(units)
+        if not keys.issubset(self.units.keys()):
+            self.learn_units(keys)
+        if not loose.issubset(self.words.keys()):
+            self.learn_words(loose)
         for text in cut:
-            ids, data, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
-            for units in text:
-                got = list(map(self.units.__getitem__, units))
-                if got:
-                    ids.update(("" if first else " ").encode() + " ".join([x[0] for x in got]).encode())
-                    data.update(b"".join([x[2] for x in got]))
-                    n, first = n + sum([x[1] for x in got]), False
+            ids, data, n = hashlib.sha256(), hashlib.sha256(), 0
+            for block, units in text:
+                if units is None:
+                    got = [self.joined(self.split(block))]
+                elif units[0][:1] == "\n":
+                    got = list(map(self.units.__getitem__, units))
+                else:
+                    got = [self.joined(self.split(units[0])), *map(self.units.__getitem__, units[1:])]
+                if part := " ".join([x[0] for x in got if x[0]]):
+                    ids.update((" " + part if n else part).encode())
+                    n += part.count(" ") + 1
+                data.update("".join([x[1] for x in got]).encode())
             yield n, ids.hexdigest(), data.hexdigest()
 
 

@@ -9,8 +9,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: A place where cutting a text before a space could change how it is split.
-UNSAFE_SPACE = re.compile(r"\s (?:\s|\Z)")
+#: Places where cutting a text before a space or line end could change how it is split.
+UNSAFE_CUT = re.compile(r"\s[ \n](?:\s|\Z)| \n")
 #: Between a character that is no white space and white space every splitting rule used here ends a match.
 SAFE_CUT = re.compile(r"(?<=\S)(?=\s)")
 
@@ -52,6 +52,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unit_keys(block: str) -> list[str] | None:
+    """A text cut before each space and line end, or None where that could change how it is split.
+
+    A unit is named by what follows its space, or by itself where it starts with a line end; the first unit has no space.
+    """
+    if UNSAFE_CUT.search(block):
+        return None
+    return block.replace("\n", " \n").split(" ")
+
+
+def unit_text(key: str) -> str:
+    """The text of any unit but the first."""
+    return key if key[:1] == "\n" else " " + key
+
+
 def blocks(text: str, size: int) -> Iterable[str]:
     """The text in blocks of about `size` characters, cut only at safe places; one block where none exists."""
     at, n = 0, len(text)
