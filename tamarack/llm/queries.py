@@ -7,9 +7,10 @@ from .exact_dedup import OP5_SQL, op5_exact_dedup
 from .fingerprints import op2_fingerprints
 from .order_minhash import op6_order_minhash
 from .packing import op1_best_fit_packing
+from .quality import op9_quality_classifier
 from .substring_dedup import op10_substring_dedup
 from .token_counts import op4_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_exact_dedup, op7_bpe_duckdb, op2_fingerprints, op10_substring_dedup, op6_order_minhash)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_exact_dedup, op7_bpe_duckdb, op2_fingerprints, op10_substring_dedup, op6_order_minhash, op9_quality_classifier)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
