@@ -1,11 +1,41 @@
-"""The corpus pipeline: stages over documents, each one's rows stored as Parquet and read by the next."""
+"""The corpus pipeline: stages over documents, each one's rows stored as Parquet and read by the next.
+
+Each stage takes the rows that the one before it has kept, with all columns of
+documents; the last returns the packed pieces. Labels for the classifier are read
+from sf_dir. Null texts, repeated rows, empty tables and further columns are
+handled as each operator's module says.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tamarack.llm.common import materialize, table
+from tamarack.llm.exact_dedup import drop_copies
+from tamarack.llm.order_minhash import drop_near_copies
 from tamarack.llm.packing import pack_documents
+from tamarack.llm.quality import keep_good
+from tamarack.llm.substring_dedup import remove_repeats
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row of the largest doc_id."""
+    return drop_copies(docs)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return drop_near_copies(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that one of a smaller doc_id has too."""
+    return remove_repeats(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +45,13 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("substring dedup", substring_dedup),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: No SQL: the classifier, the tokenizer and the packing are not expressible; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None

@@ -26,6 +26,7 @@ from collections import Counter
 from operator import eq
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,8 +175,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def scorer(spark: SparkSession, model: Model):
     """A column function: text -> score."""
-    import pandas as pd
-
     held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
