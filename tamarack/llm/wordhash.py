@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; longer documents are hashed in such segments, cut between words.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
