@@ -68,7 +68,7 @@ def or_all(rows: DataFrame, flag: str, *group: str) -> DataFrame:
 
 
 def exclusion_reason(ctx: Column, kind: Column, outside: str = "non_mlb") -> Column:
-    return F.when(ctx == outside, outside).when(kind == "full_game", "full_game")
+    return F.when(ctx == outside, outside).when(kind == "full_game", "full_game (both teams' pitchers)")
 
 
 # Where segments are taken, as fractions of the duration.

@@ -63,7 +63,7 @@ def fallback_ok(decision: Column, state: Column, wanted: str, cf: Column, contex
     """A rejected source that may still be tried: with shots, in context, and acquired."""
     return (
         (decision == "reject") & (state == wanted) & (F.coalesce(cf, F.lit(0)) > 0)
-        & (F.coalesce(context, F.lit("unknown")) != outside) & (F.coalesce(status, F.lit("")) != "failed")
+        & (F.coalesce(context, F.lit("unknown")) != outside) & F.coalesce(status.isin("ok", "partial"), F.lit(False))
     )
 
 

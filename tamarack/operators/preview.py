@@ -18,11 +18,11 @@ def frame_grid(rows: DataFrame, index: str, source_fps: str, sample_fps: float)
     return rows.where(F.col(index) % step == 0)
 
 
-def preview_stats(shots: DataFrame, keys: list[str], wanted: str = "center_field_good", graphic: str = "graphics_or_replay") -> DataFrame:
+def preview_stats(shots: DataFrame, keys: list[str], wanted: str = "center_field_good", graphic: str = "graphic_bad") -> DataFrame:
     """(keys, samples, cf_ratio, avg_shot, rapid_cut_rate, graphic_ratio, verdict) of shots (view_class, duration)."""
-    share = lambda c: F.round(F.avg(c.cast("double")), 4)
-    s = shots.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"), share(F.col("view_class") == wanted).alias("cf_ratio"), F.round(F.avg("duration"), 3).alias("avg_shot"), share(F.col("duration") < 2).alias("rapid_cut_rate"), share(F.col("view_class") == graphic).alias("graphic_ratio"))
-    verdict = first_of([((F.col("cf_ratio") >= 0.25) & (F.col("rapid_cut_rate") <= 0.5), "suitable"), (F.col("cf_ratio") >= 0.10, "marginal")], "unsuitable")
+    share = lambda c: F.round(F.avg(c.cast("double")), 3)
+    s = shots.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"), share(F.col("view_class") == wanted).alias("cf_ratio"), F.round(F.avg("duration"), 2).alias("avg_shot"), share(F.col("duration") < 2).alias("rapid_cut_rate"), share(F.col("view_class") == graphic).alias("graphic_ratio"))
+    verdict = first_of([((F.col("cf_ratio") >= 0.5) & (F.col("avg_shot") >= 4.0) & (F.col("rapid_cut_rate") <= 0.4), "suitable"), ((F.col("cf_ratio") >= 0.3) & (F.col("rapid_cut_rate") <= 0.6), "marginal")], "unsuitable")
     return s.withColumn("verdict", verdict)
 
 

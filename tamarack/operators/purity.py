@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions import vector
 
-# The views, and why those that are not wanted are rejected.
-VIEWS = ("center_field_good", "side_or_overhead", "batter_closeup", "pitcher_closeup", "field_or_crowd", "graphics_or_replay", "other")
+# The views, the wanted one first, and why each other is rejected.
+VIEWS = ("center_field_good", "side_fullbody_acceptable", "closeup_bad", "batter_bad", "field_bad", "graphic_bad", "other_bad")
+REASONS = {"side_fullbody_acceptable": "non_center_field_side_view_reserved", "closeup_bad": "closeup", "batter_bad": "wrong_view_batter", "field_bad": "wrong_view_field", "graphic_bad": "graphic_transition", "other_bad": "other_rejected"}
 
 
 def reject_reason(view: Column, confidence: Column, contaminated: Column, closeup: Column, wanted: str = VIEWS[0], least: float = 0.5) -> Column:
-    """Why a shot is not accepted, null if it is: view, confidence, transition, close-up, in this order."""
+    """Why a shot is not accepted, null if it is: view, confidence, transition, close-up, in this order. An unknown view is an error."""
     yes = lambda c: F.coalesce(c, F.lit(False))
     return (
-        F.when(view != wanted, F.concat(F.lit("view_"), view)).when(confidence < least, "low_view_confidence")
+        F.when(view != wanted, F.coalesce(F.create_map(*[F.lit(x) for kv in REASONS.items() for x in kv])[view], F.raise_error(F.concat(F.lit("unknown view: "), view)))).when(confidence < least, "low_view_confidence")
         .when(yes(contaminated), "transition_contaminated").when(yes(closeup), "homogeneous_closeup")
     )
 
 
-def closeup_veto(margin: Column, second: Column, edge_density: Column, field: str = "field_or_crowd") -> Column:
+def closeup_veto(margin: Column, second: Column, edge_density: Column, field: str = "field_bad") -> Column:
     """A clear margin stays; a small one goes unless the runner-up is the field; between them texture decides; unknown stays."""
     rest = F.coalesce(edge_density < 0.10, F.lit(False))
     return F.when(margin.isNull() | (margin >= 0.40), False).when((margin < 0.30) & (second != field), True).otherwise(rest)

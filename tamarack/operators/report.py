@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from .gate import first_of, safe_ratio
 
-# The keys a manifest of a run must have.
-RUN_KEYS = ("run_id", "started_at", "finished_at", "status", "name", "sources", "final_clip_count", "warnings", "version")
+# The keys that the manifests of a run and of a source must have.
+RUN_KEYS = tuple("run_id pitcher status source_selection_mode sources_attempted finals results created_utc milestone".split())
+SOURCE_KEYS = tuple(
+    """pitcher_name video_id source_url source_title channel source_type competition_context game_year game_year_confidence discovery_score preview_decision
+    source_selection_mode download_status acquisition_method local_path normalization_status shot_count center_field_candidates rejected_low_confidence
+    rejected_transition rejected_homogeneous_closeup complete_events rejected_events rejected_start_incomplete rejected_end_incomplete rejected_no_complete_pitch
+    rejected_discontinuity raw_clip_count duplicate_rejected replay_rejected replay_status final_clip_count final_duration_sec final_codec final_path status
+    quality_summary quality_warning warnings""".split()
+)
 
 
 def ratios(shots: Column, cf: Column, complete: Column, final: Column, seconds: Column) -> dict[str, Column]:
@@ -42,6 +49,26 @@ def listed(*warnings: Column) -> Column:
     return F.filter(F.array(*warnings), lambda w: w.isNotNull())
 
 
+def source_warnings(mode: Column, cf: Column, complete: Column, final: Column, year: Column, confidence: Column, replay: Column, status: Column, least: Column, low_yield: float = 0.03, few: int = 3) -> Column:
+    """The warnings of a source's manifest, in order."""
+    z = lambda c: F.coalesce(c, F.lit(0))
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    sure = (year != 0) & confidence.isin("high", "medium")
+    return listed(
+        first_of([
+            (mode == "borderline_fallback", "borderline source fallback (no recommended source)"),
+            (mode == "insufficient_evidence_fallback", "insufficient preview evidence fallback (accepted only on full-run yield)"),
+            (mode == "bad_evidence_fallback", "preview judged source bad; last-resort fallback (accepted only on full-run yield)"),
+        ], None),
+        F.when((z(cf) > 0) & (z(complete) / F.greatest(z(cf), F.lit(1)) < low_yield), text("unusually low event yield (", z(complete), "/", z(cf), ")")),
+        F.when((z(final) > 0) & (z(final) < few), text("very few final clips (", z(final), ")")),
+        F.when(~F.coalesce(sure, F.lit(False)), F.when(year.isNotNull(), text("game year unreliable (", year, " is ", confidence, " confidence; filename uses UnknownYear)")).otherwise("game year unreliable")),
+        F.when(replay == "uncertain", "replay detection conservative (uncertain)"),
+        F.when(status == "no-usable-clips", "no usable clips from this source"),
+        F.when(status == "low-yield", text(z(final), " final clips < ", least, " required; source not used")),
+    )
+
+
 def missing_keys(held: Column, required=RUN_KEYS) -> Column:
     """The required keys that a map of a manifest does not have."""
     return F.array_sort(F.array_except(F.array(*[F.lit(k) for k in required]), F.map_keys(held)))

@@ -127,7 +127,7 @@ def q38_ratios_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {FUNNEL}, {RATIOS} SELECT l_suppkey, final > 30 OR cf > 100 OR complete_yield < 0.03 OR context = 'unknown' AS quality_warning,
     concat_ws('; ', CASE WHEN complete_yield < 0.03 THEN 'unusually low event yield' END, CASE WHEN final > 30 THEN 'many clips (' || CAST(final AS VARCHAR) || ')' END, CASE WHEN context = 'unknown' THEN 'context unknown' END, CASE WHEN cf > 100 THEN 'large source' END) AS warnings,
-    CASE WHEN l_suppkey % 2 = 0 THEN 'finished_at,name,sources,started_at,version,warnings' ELSE 'finished_at,name,sources,started_at,status,version,warnings' END AS missing FROM ratios""")
+    CASE WHEN l_suppkey % 2 = 0 THEN 'created_utc,finals,milestone,pitcher,results,source_selection_mode,sources_attempted' ELSE 'created_utc,finals,milestone,pitcher,results,source_selection_mode,sources_attempted,status' END AS missing FROM ratios""")
 def q39_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     found = report.listed(F.when(c("complete_yield") < 0.03, "unusually low event yield"), F.when(c("final") > 30, F.concat(F.lit("many clips ("), c("final").cast("string"), F.lit(")"))), F.when(c("context") == "unknown", "context unknown"), F.when(c("cf") > 100, "large source"))

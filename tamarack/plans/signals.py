@@ -110,15 +110,15 @@ def q21_clip_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.clip_bounds(e, ["user_id", "day"], pre=600, post=900, edge=60, end_edge=60, gap=30, most=1800).select("event_id", "start", "end")
 
 
-SHOTS = """shots AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'side_or_overhead' WHEN 1 THEN 'batter_closeup' ELSE 'center_field_good' END AS view, (doc_id * 37 % 100) / 100.0::DOUBLE AS confidence,
+SHOTS = """shots AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'side_fullbody_acceptable' WHEN 1 THEN 'batter_bad' ELSE 'center_field_good' END AS view, (doc_id * 37 % 100) / 100.0::DOUBLE AS confidence,
     CASE WHEN l.toxic IS NOT NULL THEN l.toxic = 1 END AS contaminated, CASE WHEN l.quality IS NOT NULL THEN l.quality = 0 END AS closeup FROM documents LEFT JOIN labels l USING (doc_id))"""
 
 
-@query(f"""WITH {SHOTS}, r AS (SELECT CASE WHEN view <> 'center_field_good' THEN 'view_' || view WHEN confidence < 0.5 THEN 'low_view_confidence' WHEN contaminated THEN 'transition_contaminated' WHEN closeup THEN 'homogeneous_closeup' END AS reject_reason FROM shots)
+@query(f"""WITH {SHOTS}, r AS (SELECT CASE WHEN view = 'batter_bad' THEN 'wrong_view_batter' WHEN view <> 'center_field_good' THEN 'non_center_field_side_view_reserved' WHEN confidence < 0.5 THEN 'low_view_confidence' WHEN contaminated THEN 'transition_contaminated' WHEN closeup THEN 'homogeneous_closeup' END AS reject_reason FROM shots)
 SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n FROM r GROUP BY 1""")
 def q22_accept_shot(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    view = F.when(F.col("doc_id") % 7 == 0, "side_or_overhead").when(F.col("doc_id") % 7 == 1, "batter_closeup").otherwise("center_field_good")
+    view = F.when(F.col("doc_id") % 7 == 0, "side_fullbody_acceptable").when(F.col("doc_id") % 7 == 1, "batter_bad").otherwise("center_field_good")
     reason = purity.reject_reason(view, F.col("doc_id") * 37 % 100 / 100.0, F.col("toxic") == 1, F.col("quality") == 0)
     return d.groupBy(F.coalesce(reason, F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -155,7 +155,7 @@ def q24_framing_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {MARGINS}, m AS (SELECT m.vec_id, margin * 10 AS margin, second, CASE WHEN m.vec_id % 3 <> 0 THEN abs(e.embedding[8])::DOUBLE END AS edge FROM margins m JOIN embeddings e USING (vec_id))
-SELECT vec_id, CASE WHEN margin IS NULL OR margin >= 0.4 THEN false WHEN margin < 0.3 AND second <> 'field_or_crowd' THEN true ELSE coalesce(edge < 0.1, false) END AS vetoed FROM m""")
+SELECT vec_id, CASE WHEN margin IS NULL OR margin >= 0.4 THEN false WHEN margin < 0.3 AND second <> 'field_bad' THEN true ELSE coalesce(edge < 0.1, false) END AS vetoed FROM m""")
 def q25_closeup_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").withColumn("s", _scores())
     first = purity.VIEWS[0]

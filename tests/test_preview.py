@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tamarack.operators import preview
+from tamarack.operators import preview, report
 
 
 def test_segment_funnel(spark):
@@ -15,12 +15,19 @@ def test_segment_funnel(spark):
 
 
 def test_stats_and_summaries(spark):
-    shots = spark.createDataFrame([("a", "center_field_good", 4.0), ("a", "other", 1.0), ("b", "graphics_or_replay", 1.0)], "v string, view_class string, duration double")
+    shots = spark.createDataFrame([("a", "center_field_good", 4.0), ("a", "other", 1.0), ("b", "graphic_bad", 1.0)], "v string, view_class string, duration double")
     got = {r.v: (r.cf_ratio, r.rapid_cut_rate, r.verdict) for r in preview.preview_stats(shots, ["v"]).collect()}
-    assert got == {"a": (0.5, 0.5, "suitable"), "b": (0.0, 1.0, "unsuitable")}
+    assert got == {"a": (0.5, 0.5, "marginal"), "b": (0.0, 1.0, "unsuitable")}
     reports = spark.createDataFrame([("x", "reject", 1), ("y", "recommended", 2), ("z", "reject", 0)], "video_id string, preview_decision string, ord int")
     assert {r.preview_decision: r.ids for r in preview.by_decision(reports).collect()} == {"reject": ["z", "x"], "recommended": ["y"]}
     assert spark.range(1).select(preview.sample_times(F.lit(0.0), F.lit(10.0)).alias("t")).first().t == [2.0, 5.0, 8.0]
     runs = spark.createDataFrame([("ok", 3), ("low-yield", 1)], "status string, final_clip_count int")
     (s,) = preview.run_status(runs).collect()
     assert (s.final_clip_count, s.sources_ok, s.status) == (4, 1, "ok")
+
+
+def test_source_warnings(spark):
+    row = spark.createDataFrame([("borderline_fallback", 100, 2, 2, 2024, "low", "uncertain", "low-yield", 3)], "mode string, cf int, complete int, final int, year int, conf string, replay string, status string, least int")
+    c = F.col
+    (got,) = row.select(report.source_warnings(*map(c, row.columns)).alias("w")).collect()
+    assert len(got.w) == 6 and got.w[1] == "unusually low event yield (2/100)" and got.w[-1] == "2 final clips < 3 required; source not used"
