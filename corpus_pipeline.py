@@ -8,9 +8,11 @@ handled as each operator's module says.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.llm.common import materialize, table
+from tamarack.llm.common import materialize, release, table, written
 from tamarack.llm.exact_dedup import drop_copies
 from tamarack.llm.order_minhash import drop_near_copies
 from tamarack.llm.packing import pack_documents
@@ -18,26 +20,49 @@ from tamarack.llm.quality import keep_good
 from tamarack.llm.substring_dedup import remove_repeats
 
 
+_of_last_stage: list[str] = []
+
+
+def _stage(work):
+    """A stage that first deletes the tables of the stage before it, whose result is stored by then."""
+
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = " ".join(docs.inputFiles()[:1])
+        release(spark, [p for p in _of_last_stage if p.rpartition("/")[2] not in read])
+        before = set(written())
+        out = work(spark, docs, sf_dir)
+        _of_last_stage[:] = [p for p in written() if p not in before]
+        return out
+
+    return run_stage
+
+
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row of the largest doc_id."""
     return drop_copies(docs)
 
 
+@_stage
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return drop_near_copies(docs)
 
 
+@_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one of a smaller doc_id has too."""
     return remove_repeats(docs)
 
 
+@_stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document that is left, packed into sequences."""
     import public_tokenizers

@@ -40,12 +40,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what this process has written into the shared folder, once results that read it are stored."""
+def written() -> list[str]:
+    """Paths of the shared folder that this process has written and not released."""
+    return list(_written)
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete paths of the shared folder (by default all that this process has written), once results that read them are stored."""
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+    for name in written() if paths is None else paths:
+        if name in _written:
+            _written.remove(name)
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,3 +109,11 @@ def sweep(spark: SparkSession) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def one_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One of the rows that share keys; keys that rows were just joined on need no other shuffle."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))).where("__n = 1").drop("__n")
