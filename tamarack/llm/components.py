@@ -1,9 +1,9 @@
 """Connected components over a table of links, by contraction along random priorities.
 
-Every node points to the node of least priority among itself and its neighbours;
-links are drawn between what their ends point to, and the rest of the graph is
-contracted again, until no link is left: a number of rounds that grows with the
-logarithm of the longest chain. Nothing is collected; each round's tables are
+Every node points to the node with most links among itself and its neighbours, of
+equal ones to that of least hash; links are drawn between what their ends point to,
+and the rest of the graph is contracted again, until no link is left. A star takes
+one round, a chain a number that grows with the logarithm of its length. Nothing is collected; each round's tables are
 stored in the shared folder, and nodes with very many links are joined by broadcast.
 """
 
@@ -22,11 +22,11 @@ def components(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         number += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        priority = F.xxhash64("v", F.lit(number))
-        best = both.groupBy("u").agg(count, F.min(F.struct(priority.alias("p"), "v")).alias("best"))
-        own = F.struct(F.xxhash64("u", F.lit(number)).alias("p"), F.col("u").alias("v"))
-        parents = materialize(best.select("u", "n", F.least("best", own)["v"].alias("parent")), "parents")
         total = 2 * edges.count()
+        linked = materialize(both.groupBy("u").agg(count), "degrees")
+        priority = lambda c: F.struct((-F.col("n")).alias("n"), F.xxhash64(c, F.lit(number)).alias("p"), F.col(c).alias("v"))
+        seen = with_groups(both, linked.withColumnRenamed("u", "v"), ["v"], total).groupBy("u").agg(F.min(priority("v")).alias("best"))
+        parents = materialize(seen.join(linked, "u").select("u", "n", F.least("best", priority("u"))["v"].alias("parent")), "parents")
         once = with_groups(edges, parents, ["u"], total).select(F.col("parent").alias("a"), F.col("v").alias("u"))
         twice = with_groups(once, parents, ["u"], total).select(F.least("a", "parent").alias("u"), F.greatest("a", "parent").alias("v"))
         pointers = parents.select("u", "parent")

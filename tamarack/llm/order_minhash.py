@@ -9,19 +9,24 @@ order agree in a sketch with probability about s**SAMPLE, so that at 0.8 about 3
 a million pairs agree in none. Texts of few k-mers, in which five labels cannot
 agree when one differs, have further sketches of two labels and of one.
 
-Candidates are verified by an alignment of their labels: of the labels that both
-have, at positions whose difference stays within a band, the longest chain rising
-in both; similarity is its length over the number of labels in either, and pairs
-of `least` or more are linked.
+Candidates are verified by a banded alignment of their words: of the labels that
+both have, at positions whose difference stays within a band, the longest chain
+rising in both; what the chain does not cover lies in gaps, which are aligned by
+edit distance (long ones count as wholly different). Similarity is 1 less the edits
+over the words of the longer text, and pairs of `least` or more are linked. A pair
+that shares `least` of its k-mers has more than that of its words; such pairs are
+all found, with the probability above, and less alike ones where they meet.
 
 No bucket is expanded into its pairs. Equal texts are one text. In a bucket every
 text is first compared with its leader, the one that has most company in all its
-buckets; most buckets then hold one component, and are done. In the others texts
-of different components are compared in blocks of about BLOCK leaders a bucket and
-round, so that after the last round every two texts of a bucket either lie in one
-component or have been compared. Buckets and nodes of very many rows are joined by
-broadcast (`with_groups`), and a leader's labels are dealt in copies over the tasks
-of its many members.
+buckets; most buckets then hold one component, and are done. Texts of the others
+are dealt anew, by STRICT_BANDS sketches of STRICT_SAMPLE labels, in which texts that
+only share a passage seldom meet, and where two of different components do they are
+compared in blocks, of about BLOCK leaders a bucket in the first round and twice as
+many in each one after, so that after the last round every two texts of a bucket
+either lie in one component or have been compared. Buckets and nodes of very many
+rows are joined by broadcast (`with_groups`), and a leader's words are dealt in
+copies over the tasks of its many members.
 
 Null texts count as empty, and empty texts equal one another; a null doc_id sorts
 before all others; rows that repeat a doc_id are grouped by their texts under that
@@ -39,15 +44,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, sweep, table, with_groups
+from .common import materialize, one_each, sweep, table, with_groups
 from .components import components
 from .wordhash import OF_WORDS, Words, mix, parts, prefixes, spans
 
 KMER, LEAST_ALIKE, SAMPLE, BANDS = 5, 0.8, 5, 32
 #: Texts of at most so many labels have SHORT_BANDS more sketches of two labels.
 SHORT, SHORT_BANDS = 24, 16
-#: Leaders a bucket and round after the first.
-BLOCK = 32
+#: Sketches for blocks: of more labels, so that texts with only a passage in common seldom meet; texts of under STRICT_FROM labels do without.
+STRICT_SAMPLE, STRICT_BANDS, STRICT_FROM = 10, 160, 60
+#: Leaders a bucket in the first round of blocks, and words of a gap that is aligned.
+BLOCK, GAP = 32, 64
 NO_ID = -(2**63)
 
 
@@ -76,7 +83,7 @@ def _seeds(n: int, salt: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)) | np.uint64(1)
 
 
-SEEDS, SHORT_SEEDS = _seeds(BANDS, 1), _seeds(SHORT_BANDS, 2)
+SEEDS, SHORT_SEEDS, STRICT_SEEDS = _seeds(BANDS, 1), _seeds(SHORT_BANDS, 2), _seeds(STRICT_BANDS, 3)
 
 
 def sketch(labels: np.ndarray, seeds: np.ndarray, sample: int) -> np.ndarray:
@@ -104,34 +111,86 @@ def band_keys(labels: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def aligned(a: np.ndarray, b: np.ndarray, least: float) -> float:
-    """Similarity of two documents' labels by banded alignment; 0 where it cannot reach `least`."""
+def strict_keys(labels: np.ndarray) -> np.ndarray:
+    """Keys for blocks; texts alike by 0.8, whose sizes then differ by at most a fifth, have keys of one kind in common."""
+    keys = [band_keys(labels)] if 0.8 * len(labels) < STRICT_FROM else []
+    if len(labels) >= STRICT_FROM:
+        keys.append(sketch(labels, STRICT_SEEDS, STRICT_SAMPLE))
+    return np.concatenate(keys)
+
+
+def edits(a: list[int], b: list[int]) -> int:
+    """Edit distance of two short runs of words, at most the longer one's length."""
+    if not a or not b:
+        return max(len(a), len(b))
+    if len(a) * len(b) > GAP * GAP:
+        return max(len(a), len(b))
+    row = list(range(len(b) + 1))
+    for k, x in enumerate(a, 1):
+        before, row[0] = row[0], k
+        for m, y in enumerate(b, 1):
+            before, row[m] = row[m], before if x == y else 1 + min(before, row[m], row[m - 1])
+    return row[-1]
+
+
+def aligned(a: np.ndarray, b: np.ndarray, least: float, kmers_a: np.ndarray | None = None, kmers_b: np.ndarray | None = None) -> float:
+    """Similarity of two documents' words by banded alignment; 0 where their lengths forbid `least`."""
     small, large = sorted((len(a), len(b)))
     if small < least * large:
         return 0.0
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    # The pairs that `least` allows differ in at most this many labels, which is how far a chain can shift.
-    band = (1 - least) / (1 + least) * (len(a) + len(b)) + 1
-    near = np.abs(at_a - at_b) <= band
+    if large == 0:
+        return 1.0
+    x, y = (labels_of(a) if kmers_a is None else kmers_a), (labels_of(b) if kmers_b is None else kmers_b)
+    _, at_a, at_b = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    # As many words as `least` lets differ are also how far an alignment can shift.
+    near = np.abs(at_a - at_b) <= (1 - least) * large + 1
     at_a, at_b = at_a[near], at_b[near]
-    if len(at_a) < least * (len(a) + len(b) - len(at_a)):
-        return 0.0
     order = np.argsort(at_a)
+    at_a, at_b = at_a[order], at_b[order]
+    # The longest chain: of each length the end of least place, and from which pair it was reached.
     tails: list[int] = []
-    for x in at_b[order].tolist():
-        k = bisect_left(tails, x)
-        if k == len(tails):
-            tails.append(x)
+    ends: list[int] = []
+    came = np.full(len(at_b), -1)
+    for k, place in enumerate(at_b.tolist()):
+        n = bisect_left(tails, place)
+        came[k] = ends[n - 1] if n else -1
+        if n == len(tails):
+            tails.append(place)
+            ends.append(k)
         else:
-            tails[k] = x
-    return len(tails) / (len(a) + len(b) - len(tails))
-
-
-def each_labels(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
+            tails[n], ends[n] = place, k
+    chain, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        chain.append(k)
+        k = came[k]
+    chain.reverse()
+    width = min(KMER, len(a), len(b))
+    most = (1 - least) * large
+    cost, from_a, from_b = 0, 0, 0
+    # Only where the diagonal changes or words lie between does anything cost; successive pairs on one diagonal are one run.
+    i, j = at_a[chain], at_b[chain]
+    breaks = np.flatnonzero((np.diff(i) > width) | (np.diff(i) != np.diff(j))) + 1
+    firsts, lasts = np.concatenate([[0], breaks]), np.concatenate([breaks, [len(chain)]]) - 1
+    for f, m in zip(firsts.tolist(), lasts.tolist()) if len(chain) else ():
+        # Words that two runs on different diagonals both cover belong to the first.
+        over = max(0, from_a - int(i[f]), from_b - int(j[f]))
+        if over >= int(i[m] - i[f]) + width:
+            continue
+        start_a, start_b = int(i[f]) + over, int(j[f]) + over
+        cost += edits(a[from_a:start_a].tolist(), b[from_b:start_b].tolist())
+        if cost > most:
+            return 0.0
+        from_a, from_b = int(i[m]) + width, int(j[m]) + width
+    cost += edits(a[from_a:].tolist(), b[from_b:].tolist())
+    return 1 - cost / large
+
+
+def each_words(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
+    """The word hashes of each text of a batch."""
     for low, high, data, offsets in parts(batch, column):
         words = Words(data, offsets)
         for k in range(high - low):
-            yield low + k, labels_of(words.hashes[words.limits[k] : words.limits[k + 1]])
+            yield words.hashes[words.limits[k] : words.limits[k + 1]]
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -140,8 +199,9 @@ def sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys = [], []
-            for _, labels in each_labels(batch, 2):
-                sizes.append(len(labels))
+            for words in each_words(batch, 2):
+                labels = labels_of(words)
+                sizes.append(len(words))
                 keys.append(band_keys(labels).view(np.int64))
             if not sizes:
                 continue
@@ -151,36 +211,57 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text_key", "text").mapInArrow(run, "id long, text_key binary, size int, keys array<long>")
 
 
-def label_table(docs: DataFrame) -> DataFrame:
-    """(id, labels) of docs (id, text): the labels as bytes."""
+def word_table(docs: DataFrame) -> DataFrame:
+    """(id, words) of docs (id, text): the hashes of its words as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [x.tobytes() for x in each_words(batch, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "words"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, words binary")
+
+
+def strict_rows(words: DataFrame) -> DataFrame:
+    """(id, size, key) of a table of words (id, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [x.tobytes() for _, x in each_labels(batch, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "labels"])
+            held = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+            for at in range(0, len(held), 1000):
+                some = held[at : at + 1000]
+                keys = [strict_keys(labels_of(x)).view(np.int64) for x in some]
+                times = np.array([len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy()[at : at + 1000], times)), pa.array(np.repeat([len(x) for x in some], times).astype(np.int32)), pa.array(np.concatenate(keys))], names=["id", "size", "key"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, labels binary")
+    return words.select("id", "words").mapInArrow(run, "id long, size int, key long")
 
 
-def verified(pairs: DataFrame, labels: DataFrame, least: float) -> DataFrame:
-    """The pairs (u, v) whose texts are alike; v may be shared by very many pairs, whose labels are then sent in copies."""
+def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) whose texts are alike; v may be shared by very many pairs, whose words are then sent in copies."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-    share = 200  # pairs that use one copy of v's labels, about
-    held = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    copies = held.join(labels, F.col("v") == F.col("id")).select("v", "labels", F.explode(F.sequence(F.lit(0), F.expr(f"int(n div {share})"))).alias("copy"), "n")
-    sized = with_groups(pairs, materialize(held, "leaders"), ["v"], pairs.count()).withColumn("copy", F.pmod(F.xxhash64("u"), F.expr(f"int(n div {share}) + 1")).cast("int")).drop("n")
-    joined = sized.join(labels.select(F.col("id").alias("u"), F.col("labels").alias("own")), "u").join(copies.select("v", "copy", "labels"), ["v", "copy"])
+    share = 200  # pairs that use one copy of v's words, about
+    held = materialize(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "leaders")
+    copies = held.join(words, F.col("v") == F.col("id")).select("v", F.col("words").alias("theirs"), F.explode(F.sequence(F.lit(0), F.expr(f"int(n div {share})"))).alias("copy"))
+    sized = with_groups(pairs, held, ["v"], pairs.count()).withColumn("copy", F.pmod(F.xxhash64("u"), F.expr(f"int(n div {share}) + 1")).cast("int")).drop("n")
+    joined = sized.join(words.select(F.col("id").alias("u"), F.col("words").alias("own")), "u").join(copies, ["v", "copy"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, theirs, kmers = None, None, None
         for batch in batches:
-            keep = [aligned(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), least) >= least for a, b in zip(batch.column(2), batch.column(3))]
+            keep = []
+            for v, a, b in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if v != last:
+                    last, theirs = v, np.frombuffer(b.as_py(), np.uint64)
+                    kmers = labels_of(theirs)
+                keep.append(aligned(np.frombuffer(a.as_buffer(), np.uint64), theirs, least, kmers_b=kmers) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("u", "v", "own", "labels").mapInArrow(run, "u long, v long")
+    return joined.select("u", "v", "own", "theirs").mapInArrow(run, "u long, v long")
 
 
-def links_of(texts: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """(node, root) of texts that are linked to any; texts: id, size, keys; docs: id, text_key, text of at least those."""
+def links_of(texts: DataFrame, words_of, least: float) -> DataFrame:
+    """(node, root) of texts that are linked to any; texts: id, size (words), keys; words_of: a table of ids -> (id, words)."""
     spark = texts.sparkSession
     count = F.count(F.lit(1)).alias("n")
     rows = texts.select("id", "size", F.explode("keys").alias("key"))
@@ -193,7 +274,7 @@ def links_of(texts: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     leader = rows.groupBy("key").agg(count, F.max(F.struct("company", (-F.col("id")).alias("minus"), F.col("size").alias("leader_size"))).alias("l"))
     leader = leader.select("key", "n", (-F.col("l.minus")).alias("v"), "l.leader_size")
     needed = rows.select("id").distinct()
-    labels = materialize(label_table(docs.join(needed, "id")), "labels")
+    words = materialize(words_of(needed), "words")
     sweep(spark)
 
     def pairs_with(members: DataFrame, leaders: DataFrame) -> DataFrame:
@@ -201,24 +282,36 @@ def links_of(texts: DataFrame, docs: DataFrame, least: float) -> DataFrame:
         return with_groups(members, leaders, ["key"], total).where(fits).select(F.col("id").alias("u"), "v").distinct()
 
     members = rows.select("id", "size", "key")
-    links = materialize(verified(materialize(pairs_with(members, materialize(leader, "bucket-leaders")), "pairs"), labels, least), "links")
-    number = 0
+    links = materialize(verified(materialize(pairs_with(members, materialize(leader, "bucket-leaders")), "pairs"), words, least), "links")
+    found = materialize(components(links), "components")
+
+    def placed(some: DataFrame) -> DataFrame:
+        roots = some.join(found.select(F.col("node").alias("id"), "root"), "id", "left")
+        return materialize(roots.withColumn("root", F.coalesce("root", "id")), "placed")
+
+    def mixed(some: DataFrame) -> DataFrame:
+        """Buckets (key, n) in which more than one component meets."""
+        return some.groupBy("key").agg(count, F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "n")
+
+    at = placed(members)
+    apart = materialize(with_groups(at, materialize(mixed(at), "open-buckets"), ["key"], total).select("id").distinct(), "open-texts")
+    if apart.isEmpty():
+        return found
+    rows = materialize(strict_rows(words.join(apart, "id")), "strict-rows")
+    total, number = rows.count(), 0
     while True:
-        found = materialize(components(links), "components")
-        sizes = found.groupBy("root").agg(count)
-        at = rows.select("id", "size", "key", "n").join(found.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        at = materialize(at, "placed")
-        open_ = materialize(at.groupBy("key").agg(count, F.min("root").alias("low"), F.max("root").alias("high")).where(f"low < high and n div {BLOCK} >= {number}").select("key", "n"), "open-buckets")
+        at = placed(rows)
+        open_ = materialize(mixed(at).where(f"n div {BLOCK} >= {2**number - 1}"), "open-buckets")
         if open_.isEmpty():
             return found
-        rest = materialize(with_groups(at.drop("n"), open_, ["key"], total), "open-rows")
-        turn = rest.where(F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")) == number)
+        rest = materialize(with_groups(at, open_, ["key"], total), "open-rows")
+        turn = rest.where(F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")).between(2**number - 1, 2 ** (number + 1) - 2))
         leaders = turn.select("key", "n", F.col("id").alias("v"), F.col("size").alias("leader_size"), F.col("root").alias("leader_root"))
-        met = with_groups(rest.drop("n"), leaders, ["key"], total)
+        met = with_groups(rest.drop("n"), materialize(leaders, "block-leaders"), ["key"], total)
         fits = (F.least("size", "leader_size") >= least * F.greatest("size", "leader_size")) & (F.col("root") != F.col("leader_root"))
         pairs = materialize(met.where(fits).select(F.col("id").alias("u"), "v").distinct(), "pairs")
-        more = verified(pairs, labels, least)
-        links = materialize(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), "links")
+        links = materialize(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(verified(pairs, words, least)), "links")
+        found = materialize(components(links), "components")
         number += 1
         sweep(spark)
 
@@ -237,12 +330,18 @@ def near_groups(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
     named = first.withColumn("twin", F.row_number().over(twin))
     name = F.when(F.col("twin") == 1, F.col("id")).otherwise(F.xxhash64("text_key").bitwiseOR(F.lit(NO_ID)))
     texts = materialize(named.select(name.alias("name"), "id", "text_key", "n", "size", "keys"), "named-texts")
-    whole = own.join(texts.select(F.col("name"), "id", "text_key"), ["id", "text_key"]).dropDuplicates(["id", "text_key"])
-    roots = links_of(texts.select(F.col("name").alias("id"), "size", "keys"), whole.select(F.col("name").alias("id"), "text_key", "text"), least)
+
+    def words_of(names: DataFrame) -> DataFrame:
+        wanted = texts.select("name", "id", "text_key").join(names.withColumnRenamed("id", "name"), "name")
+        # Shuffled at every size, so that small runs tell what large ones need.
+        return word_table(one_each(own.join(wanted.hint("merge"), ["id", "text_key"]), ["id", "text_key"]).select(F.col("name").alias("id"), "text"))
+
+    roots = links_of(texts.select(F.col("name").alias("id"), "size", "keys"), words_of, least)
     of_text = texts.select("name", "id", "text_key", "n").join(roots.select(F.col("node").alias("name"), "root"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     of_text = materialize(of_text, "text-classes")
     classes = of_text.groupBy("root").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("class_size"), F.min(F.struct("id", "text_key")).alias("least"))
     classes = materialize(classes.select("root", F.col("texts").alias("n"), "class_size", F.col("least.id").alias("class_id"), F.col("least.text_key").alias("class_key")), "classes")
+    sweep(docs.sparkSession)
     classed = materialize(with_groups(of_text.drop("n"), classes, ["root"], of_text.count()).drop("n").join(of_text.select("text_key", "n"), "text_key"), "classed")
     out = with_groups(sketches.select("id", "text_key"), classed.select("text_key", "n", "class_id", "class_key", "class_size"), ["text_key"], rows)
     kept = (F.col("id") == F.col("class_id")) & (F.col("text_key") == F.col("class_key"))
@@ -252,12 +351,10 @@ def near_groups(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
     """One row of each class, with all columns of docs."""
-    kept = near_groups(docs, least).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    key = F.lower(F.hex(F.substring(F.unhex(F.sha2(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"), 256)), 1, 16)))
-    own = docs.withColumn("__own", key)
-    same = own.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left_semi")
-    first = Window.partitionBy("doc_id", "__own").orderBy(F.lit(0))
-    return same.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    kept = near_groups(docs, least).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.unhex("text_key").alias("__key")).distinct()
+    key = F.substring(F.unhex(F.sha2(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"), 256)), 1, 16)
+    own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__key", key)
+    return one_each(own.join(kept, ["__id", "__key"], "left_semi"), ["__id", "__key"]).select(*docs.columns)
 
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
