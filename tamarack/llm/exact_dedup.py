@@ -19,10 +19,10 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_path, table
+from .common import materialize, one_each, shared_path, table
 
 #: A digest of over a 1/HOT part of all rows is joined by broadcast: by its definition there are fewer than HOT of them.
 HOT = 1000
@@ -86,8 +86,9 @@ def collided(texts: DataFrame, groups: DataFrame, total: int) -> DataFrame:
     """Digests of more than one row whose full texts are not all the same bytes; texts: digest, text."""
     hits = groups.where(F.col("n") > 1).select("digest", "n")
     least = [F.min("text").alias("least"), F.max("text").alias("most")]
-    hot = texts.join(F.broadcast(hits.where(F.col("n") > total / HOT)), "digest").groupBy("digest").agg(*least)
-    rest = texts.join(hits.where(F.col("n") <= total / HOT), "digest").groupBy("digest").agg(*least)
+    most = F.broadcast(hits.where(F.col("n") > total / HOT))
+    hot = texts.join(most, "digest").groupBy("digest").agg(*least)
+    rest = texts.join(most, "digest", "left_anti").join(hits.where(F.col("n") <= total / HOT), "digest").groupBy("digest").agg(*least)
     return hot.unionByName(rest).where(F.col("least") != F.col("most")).select("digest")
 
 
@@ -113,12 +114,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    own = docs.withColumn("__own", F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
-    same = own.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha")), "left_semi")
-    # Rows repeating both doc_id and text: one of them stays.
-    first = Window.partitionBy("doc_id", "__own").orderBy(F.lit(0))
-    return same.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    kept = exact_groups(docs).where("kept").select(F.coalesce("doc_id", F.lit(-(2**63))).alias("__id"), F.unhex("text_sha256").alias("__sha"))
+    own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn("__sha", digest_of(normalised(F.col("text"))))
+    return one_each(own.join(kept, ["__id", "__sha"], "left_semi"), ["__id", "__sha"]).select(*docs.columns)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
