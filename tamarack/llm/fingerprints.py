@@ -60,9 +60,9 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     full = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.col("__v")[b].isNotNull())
 
     def lent(i: Column) -> Column:
-        """What bin i holds: its own, or what the first full bin of its order holds."""
+        """What bin i holds, its own or a full bin's, hashed with i: low bits of different values then agree independently."""
         first = F.array_min(F.transform(full, lambda c: F.shiftrightunsigned(F.xxhash64(i, c), 1).bitwiseAND(F.lit(-BINS)) + c))
-        return F.coalesce(F.col("__v")[i], *[F.col("__v")[t[i]] for t in tries], F.col("__v")[first.bitwiseAND(F.lit(BINS - 1)).cast("int")])
+        return F.xxhash64(F.coalesce(F.col("__v")[i], *[F.col("__v")[t[i]] for t in tries], F.col("__v")[first.bitwiseAND(F.lit(BINS - 1)).cast("int")]), i)
 
     rows = rows.select(*kept, F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: lent(i).bitwiseAND(F.lit((1 << BITS) - 1))).alias("__p"))
     each = 64 // BITS
