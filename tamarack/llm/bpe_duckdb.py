@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import blocks, table, unit_keys, unit_text
 
 #: Words a query takes, bytes from which a word goes by the heap, words and units that a worker remembers.
-BATCH_WORDS, LONG, CACHE_WORDS, CACHE_UNITS = 20_000, 256, 600_000, 800_000
+BATCH_WORDS, LONG, CACHE_WORDS, CACHE_UNITS = 10_000, 256, 500_000, 600_000
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -71,7 +71,7 @@ class RecursiveBpe:
                 a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
                 if a is not None and b is not None:
                     low.append(a), high.append(b), merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         held = pa.table({"low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32()), "merged": pa.array(merged, pa.int32())})
         names = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         for name, rows in (("merges", held), ("tokens", names)):
