@@ -67,7 +67,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Pieces of every document that is left, packed into sequences."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cache_units=300_000)  # executors hold other stages' memory too
 
 
 STAGES = [

@@ -17,46 +17,48 @@ empty table gives an empty table; further columns are ignored.
 from __future__ import annotations
 
 import bisect
+import struct
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, table
-from .token_counts import encoder
+from .token_counts import CACHE_UNITS, encoder, groups
 
 CAPACITY = 2048
 
 
-def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, cache_units: int = CACHE_UNITS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids with end_id after them, cut only where longer than capacity."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     schema = pa.schema(list(zip(names, kinds)))
-    step, end = 4 * capacity, np.array([end_id], "<u4").tobytes()
+    step, end = 4 * capacity, struct.pack("<I", end_id)
 
     def as_bytes(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, out = encoder(vocabulary, as_bytes, "u4"), []
+        enc, out = encoder(vocabulary, as_bytes, "u4", cache_units), []
         for batch in batches:
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rest, piece = b"", 0
-                for part in enc.parts(value.as_py(), spaced=False):
-                    rest += b"".join(part)
-                    while len(rest) > step:  # its closing id is still to come
-                        out.append((doc_id, piece, piece * capacity, capacity, zlib.crc32(rest[:step])))
-                        rest, piece = rest[step:], piece + 1
-                rest += end
-                for at in range(0, len(rest), step):
-                    own = rest[at : at + step]
-                    out.append((doc_id, piece, piece * capacity, len(own) // 4, zlib.crc32(own)))
-                    piece += 1
+            ids = batch.column(0).to_pylist()
+            for first, texts in groups(batch, 1):
+                for doc_id, parts in zip(ids[first:], enc.parts(texts, spaced=False)):
+                    rest, piece = b"", 0
+                    for part in parts:
+                        rest += b"".join(part)
+                        while len(rest) > step:  # its closing id is still to come
+                            out.append((doc_id, piece, piece * capacity, capacity, zlib.crc32(rest[:step])))
+                            rest, piece = rest[step:], piece + 1
+                    rest += end
+                    for at in range(0, len(rest), step):
+                        own = rest[at : at + step]
+                        out.append((doc_id, piece, piece * capacity, len(own) // 4, zlib.crc32(own)))
+                        piece += 1
                 if len(out) >= 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], schema=schema)
                     out = []
@@ -166,9 +168,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, cache_units: int = CACHE_UNITS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
-    return pack_pieces(materialize(tokenized_pieces(docs, vocabulary, capacity), "pieces"), capacity)
+    return pack_pieces(materialize(tokenized_pieces(docs, vocabulary, capacity, cache_units=cache_units), "pieces"), capacity)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

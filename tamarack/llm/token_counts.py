@@ -1,11 +1,11 @@
 """Token counts: lengths only, over Arrow batches.
 
-Texts are cut into units, a word with the space before it; the library encodes
+Texts are cut into units, a word with the space or line end before it; the library encodes
 each unit that a worker has not met before, in batches of about equal bytes, and
-a text's count is the sum over its units. Cutting before a space changes nothing
-where the pre-tokenizer ends every match there, which holds unless white space
-stands on both sides of that space; such texts are encoded whole, and when long
-in blocks cut between a word and the white space after it.
+a text's count is the sum over its units. Such a cut changes nothing where the
+pre-tokenizer ends every match there, which holds unless more white space stands
+on both sides of it; such texts are encoded whole, and when long in blocks cut
+between a word and the white space after it.
 
 Nulls count as empty texts (0 tokens); repeated rows each give a row; further
 columns are ignored; an empty table gives an empty table.
@@ -13,20 +13,36 @@ columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UNSAFE_SPACE, blocks, table
+from .common import blocks, table, unit_keys, unit_text
 
 #: Units a worker remembers, and bytes of text given to one call of the library.
-CACHE_UNITS, BATCH_BYTES, BLOCK_CHARS = 400_000, 256_000, 64_000
+CACHE_UNITS, BATCH_BYTES, BLOCK_CHARS = 1_000_000, 256_000, 64_000
+
+
+#: A word of Latin letters with signs after it: two matches of any pre-tokenizer used here.
+WORD_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*%#$&|]+)").fullmatch
+
+
+def lower_latin(text: str) -> str:
+    """The text in lower case, for vocabularies that are, where that cannot change their reading: Latin letters, no special strings."""
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 class UnitEncoder:
-    """Encodes units through a `tokenizers` vocabulary and keeps value(ids) of each."""
+    """Encodes units through a `tokenizers` vocabulary and keeps value(ids) of each; values of parts must add up."""
 
     def __init__(self, path: str, value, cache_units: int = CACHE_UNITS):
         from tokenizers import Tokenizer
@@ -49,44 +65,68 @@ class UnitEncoder:
             out += [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
         return out
 
-    def learn(self, units: Iterable[str]) -> None:
-        new = list(set(units).difference(self.known))
-        if not new:
-            return
-        if len(self.known) + len(new) > self.cache_units:
+    def learn(self, units: set[str], spaced: bool) -> None:
+        new = units.difference(self.known)
+        if len(self.known) + 2 * len(new) > self.cache_units:
             self.known.clear()
-            new = list(set(units))
-        self.known.update(zip(new, self.encode(new)))
+            new = set(units)
+        if spaced:
+            self.known.update(zip(new, self.encode([unit_text(u) for u in new])))
+            return
+        # A word and the signs after it are encoded apart: most words are known without them.
+        apart = {u: m.groups() for u in new if (m := WORD_AND_SIGNS(u))}
+        whole = list({x for both in apart.values() for x in both}.union(new.difference(apart)).difference(self.known))
+        self.known.update(zip(whole, self.encode(whole)))
+        self.known.update((u, self.known[a] + self.known[b]) for u, (a, b) in apart.items())
 
-    def parts(self, text: str, spaced: bool) -> Iterator[list]:
-        """Values of the parts of a text, a list for each block of it.
+    def parts(self, texts: list[str], spaced: bool) -> Iterator[list[list]]:
+        """For each text the values of its parts, a list for each block of it; units new to the worker are encoded together.
 
-        spaced: units keep the space before them (byte-level vocabularies); else spaces only separate.
+        spaced: units keep the white space before them (byte-level vocabularies); else it only separates.
         """
-        for block in blocks(text, 1 << 20):
-            if spaced and UNSAFE_SPACE.search(block):
-                yield self.encode(list(blocks(block, BLOCK_CHARS)))
-                continue
-            if not spaced:
-                units = block.split(" ")
-            else:
-                head, *rest = block.split(" ")
-                units = [head, *[" " + x for x in rest]]
-            try:
-                yield list(map(self.known.__getitem__, units))
-            except KeyError:
-                self.learn(units)
-                yield list(map(self.known.__getitem__, units))
+        cut = [[(b, unit_keys(b) if spaced else lower_latin(b).replace("\n", " ").split(" ")) for b in blocks(t, 1 << 20)] for t in texts]
+        units: set[str] = set()
+        for text in cut:
+            for _, keys in text:
+                if keys:
+                    units.update(keys)
+        if not units.issubset(self.known.keys()):
+            self.learn(units, spaced)
+        value = self.known.__getitem__
+        for text in cut:
+            out = []
+            for block, keys in text:
+                if keys is None:
+                    out.append(self.encode(list(blocks(block, BLOCK_CHARS))))
+                elif spaced and keys[0][:1] != "\n":
+                    out.append(self.encode(keys[:1]) + list(map(value, keys[1:])))
+                else:
+                    out.append(list(map(value, keys)))
+            yield out
+
+
+def groups(batch: pa.RecordBatch, column: int, chars: int = 1 << 20, rows: int = 500) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of successive rows of a batch with about so many characters."""
+    first, texts, size = 0, [], 0
+    for k, value in enumerate(batch.column(column)):
+        texts.append(value.as_py())
+        size += len(texts[-1])
+        if size >= chars or len(texts) >= rows:
+            yield first, texts
+            first, texts, size = k + 1, [], 0
+    if texts:
+        yield first, texts
 
 
 _encoders: dict[tuple, UnitEncoder] = {}
 
 
-def encoder(path: str, value, kind: str) -> UnitEncoder:
+def encoder(path: str, value, kind: str, cache_units: int = CACHE_UNITS) -> UnitEncoder:
     """One encoder a worker process, vocabulary and kind of value."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = UnitEncoder(path, value)
-    return _encoders[path, kind]
+    key = (path, kind, cache_units)
+    if key not in _encoders:
+        _encoders[key] = UnitEncoder(path, value, cache_units)
+    return _encoders[key]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,10 +138,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
         enc = encoder(vocabulary, len, "len")
         for batch in batches:
             ids, sizes, counts = batch.column(0), [], []
-            for value in batch.column(1):
-                text = value.as_py()
-                sizes.append(len(text.encode()))
-                counts.append(sum(sum(part) for part in enc.parts(text, spaced=True)))
+            for _, texts in groups(batch, 1):
+                sizes += [len(t.encode()) for t in texts]
+                counts += [sum(map(sum, parts)) for parts in enc.parts(texts, spaced=True)]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_())], schema=schema)
 
     return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
