@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,8 +80,23 @@ MODES = ("recommended", "borderline_fallback", "insufficient_evidence_fallback",
 
 
 def tier_order(tier_col: str, events: str, cf: str, score: str, *ties: str) -> list[Column]:
-    """Tiers in turn; the first two by events and score, the others by shots and score."""
-    return [F.col(tier_col), F.when(F.col(tier_col) <= 2, F.col(events)).otherwise(F.col(cf)).desc(), F.col(score).desc(), *map(F.col, ties)]
+    """Ascending keys: tiers in turn; the first two by events and score, the others by shots and score, the greatest first and unknown scores last."""
+    return [F.col(tier_col), -F.when(F.col(tier_col) <= 2, F.col(events)).otherwise(F.col(cf)), F.col(score).isNull(), -F.col(score), *map(F.col, ties)]
+
+
+def with_places(rows: DataFrame, order: list[Column], key: str, place: str = "place", ranges: int = 64) -> DataFrame:
+    """rows with their place from 1, by counts of ordered ranges: no task holds more than a range's rows.
+
+    order: ascending; key, the last of them: unique. The bounds of the ranges are the rows of least hash of their key.
+    """
+    at = rows.withColumn("__at", F.struct(*[c.alias(f"o{k}") for k, c in enumerate(order)]))
+    some = at.select("__at", F.xxhash64(key).alias("h")).orderBy("h", "__at").limit(ranges - 1)
+    bounds = some.agg(F.collect_list("__at").alias("__bounds"))
+    dealt = at.join(F.broadcast(bounds)).withColumn("__range", F.size(F.filter("__bounds", lambda b: b < F.col("__at")))).drop("__bounds")
+    counts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct("__range", "n")).alias("__counts"))
+    before = F.aggregate(F.filter("__counts", lambda c: c["__range"] < F.col("__range")), F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    own = F.row_number().over(Window.partitionBy("__range").orderBy("__at"))
+    return dealt.withColumn("__own", own).join(F.broadcast(counts)).withColumn(place, (F.col("__own") + before).cast("int")).drop("__at", "__range", "__own", "__counts")
 
 
 def first_success(attempts: DataFrame, keys: list[str], ok: Column, order: list[Column], value: str) -> DataFrame:

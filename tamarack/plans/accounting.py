@@ -64,12 +64,12 @@ def q30_partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM supplier s LEFT JOIN decided d ON s.s_suppkey = d.l_suppkey)
 SELECT s_suppkey, CAST(tier AS INT) AS tier, CAST(row_number() OVER (ORDER BY tier, CASE WHEN tier <= 2 THEN complete ELSE cf END DESC, s_acctbal DESC, s_suppkey) AS INT) AS place FROM t WHERE tier IS NOT NULL ORDER BY place LIMIT 50""")
 def q31_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pool of the best fifty: tiers in turn, then events or shots, then score."""
+    """The whole pool: tiers in turn, then events or shots, then score. Its SQL still ends at fifty places."""
     c = F.col
     s = table(spark, sf_dir, "supplier").join(funnel(spark, sf_dir), c("s_suppkey") == c("l_suppkey"), "left")
-    t = s.withColumn("tier", gate.tier(c("decision"), c("evidence"), c("cf"), c("context"), c("status"))).where("tier IS NOT NULL")
-    best = t.select("s_suppkey", "tier", "complete", "cf", "s_acctbal").orderBy(*gate.tier_order("tier", "complete", "cf", "s_acctbal", "s_suppkey")).limit(50)
-    return best.select("s_suppkey", "tier", F.row_number().over(Window.orderBy(*gate.tier_order("tier", "complete", "cf", "s_acctbal", "s_suppkey"))).alias("place"))
+    t = s.withColumn("tier", gate.tier(c("decision"), c("evidence"), c("cf"), c("context"), c("status"))).where("tier IS NOT NULL").select("s_suppkey", "tier", "complete", "cf", "s_acctbal")
+    order = gate.tier_order("tier", "complete", "cf", "s_acctbal", "s_suppkey")
+    return gate.with_places(t, order, "s_suppkey").select("s_suppkey", "tier", "place")
 
 
 @query("SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000 GROUP BY 1")
