@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vector
@@ -42,19 +44,49 @@ def no_delivery(share: Column, active: Column) -> Column:
     return F.coalesce((share < 0.40) | ((active < 1.4) & (share < 0.48)), F.lit(False))
 
 
-def framing_scores(shots: DataFrame, source: str = "source", prototype: Column | None = None, k: int = 3, least: int = 5) -> DataFrame:
+#: Shots and prototypes of a source that meet in one block.
+BLOCK = 2048
+
+
+def framing_scores(shots: DataFrame, source: str = "source", prototype: Column | None = None, k: int = 3, least: int = 5, block: int = BLOCK) -> DataFrame:
     """(source, shot_id, others, framing_score): mean of the k best cosines with the source's other prototypes; null under `least` of them.
 
     shots: source, shot_id, embedding, margin, accepted. Prototypes are accepted shots with a margin of 0.6 or more.
+    Both sides of a source with more than `block` shots are dealt into blocks; each pair of blocks keeps every shot's k best, which are then merged.
     """
-    proto = shots.where(prototype if prototype is not None else F.col("accepted") & (F.col("margin") >= 0.6)).where(F.col("embedding").isNotNull())
-    right = proto.select(F.col(source).alias("__s"), F.col("shot_id").alias("__id"), F.col("embedding").alias("__e"))
-    own = shots.where(F.col("accepted") & F.col("embedding").isNotNull())
-    pairs = own.join(right, (F.col(source) == F.col("__s")) & (F.col("shot_id") != F.col("__id")))
-    pairs = pairs.select(source, "shot_id", vector.cosine(F.col("embedding"), F.col("__e")).alias("sim"), F.col("__id"))
-    ranked = pairs.withColumn("rn", F.row_number().over(Window.partitionBy(source, "shot_id").orderBy(F.col("sim").desc(), "__id")))
-    grouped = ranked.groupBy(source, "shot_id").agg(F.count(F.lit(1)).alias("others"), (F.round(F.avg(F.when(F.col("rn") <= k, F.col("sim"))), 4) + F.lit(0.0)).alias("framing_score"))
-    return grouped.withColumn("framing_score", F.when(F.col("others") >= least, F.col("framing_score")))
+    c = F.col
+    held = shots.where(c("embedding").isNotNull())
+    large = held.groupBy(c(source).alias("__s")).agg(F.count(F.lit(1)).alias("__n")).where(c("__n") > block).withColumn("__parts", F.ceil(c("__n") / block).cast("int")).drop("__n")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """rows in a part of their own, copied to all parts of the other side; sources of one part have no row in `large`."""
+        parts = F.coalesce(c("__parts"), F.lit(1)).cast("long")
+        some = rows.join(F.broadcast(large), c(source) == c("__s"), "left")
+        return some.select(source, "shot_id", "embedding", F.pmod(F.xxhash64("shot_id"), parts).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias(other))
+
+    def best_of(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        """One pair of blocks: of each shot how many others it met and its k best cosines."""
+        if not len(mine) or not len(theirs):
+            return pd.DataFrame({source: [], "shot_id": [], "n": [], "best": []})
+        a, b = (np.array(x.tolist(), np.float64) for x in (mine.embedding, theirs["__e"]))
+        norms = np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1))
+        codes = pd.factorize(pd.concat([mine.shot_id, theirs["__id"]], ignore_index=True))[0]
+        same = codes[: len(mine), None] == codes[None, len(mine) :]
+        sims = np.nan_to_num(a @ b.T / np.maximum(norms, 1e-8), nan=-np.inf)
+        sims[same] = -np.inf
+        top = np.sort(sims, axis=1)[:, ::-1][:, :k]
+        return pd.DataFrame({source: mine[source], "shot_id": mine.shot_id, "n": (~same).sum(axis=1), "best": [x[x > -np.inf].tolist() for x in top]})
+
+    keys = [source, "__a", "__b"]
+    proto = held.where(prototype if prototype is not None else c("accepted") & (c("margin") >= 0.6))
+    left = dealt(held.where("accepted"), "__a", "__b").where(c(source).isNotNull())
+    right = dealt(proto, "__b", "__a").where(c(source).isNotNull())
+    right = right.select(c(source).alias("__s"), c("shot_id").alias("__id"), c("embedding").alias("__e"), c("__a").alias("__ra"), c("__b").alias("__rb"))
+    types = {f.name: f.dataType.simpleString() for f in held.schema}
+    each = left.groupBy(*keys).cogroup(right.groupBy("__s", "__ra", "__rb")).applyInPandas(best_of, f"`{source}` {types[source]}, shot_id {types['shot_id']}, n long, best array<double>").where("n > 0")
+    merged = each.groupBy(source, "shot_id").agg(F.sum("n").alias("others"), F.flatten(F.collect_list("best")).alias("best"))
+    score = F.round(vector.top_mean(c("best"), k), 4) + F.lit(0.0)
+    return merged.select(source, "shot_id", "others", F.when(c("others") >= least, score).alias("framing_score"))
 
 
 def with_framing(shots: DataFrame, scores: DataFrame, source: str = "source", cut: float = 0.90) -> DataFrame:
