@@ -19,12 +19,10 @@ all found, with the probability above, and less alike ones where they meet.
 
 No bucket is expanded into its pairs. Equal texts are one text. In a bucket every
 text is first compared with its leader, the one that has most company in all its
-buckets; most buckets then hold one component, and are done. Texts of the others
-are dealt anew, by STRICT_BANDS sketches of STRICT_SAMPLE labels, in which texts that
-only share a passage seldom meet, and where two of different components do they are
-compared in blocks, of about BLOCK leaders a bucket in the first round and twice as
-many in each one after, so that after the last round every two texts of a bucket
-either lie in one component or have been compared. Buckets and nodes of very many
+buckets; most buckets then hold one component, and are done. In the others, texts of
+different components are compared in blocks, of about BLOCK leaders a bucket in the
+first round and twice as many in each one after, so that after the last round every
+two texts of a bucket either lie in one component or have been compared. Buckets and nodes of very many
 rows are joined by broadcast (`with_groups`), and a leader's words are dealt in
 copies over the tasks of its many members.
 
@@ -51,10 +49,10 @@ from .wordhash import OF_WORDS, Words, mix, parts, prefixes, spans
 KMER, LEAST_ALIKE, SAMPLE, BANDS = 5, 0.8, 5, 32
 #: Texts of at most so many labels have SHORT_BANDS more sketches of two labels.
 SHORT, SHORT_BANDS = 24, 16
-#: Sketches for blocks: of more labels, so that texts with only a passage in common seldom meet; texts of under STRICT_FROM labels do without.
-STRICT_SAMPLE, STRICT_BANDS, STRICT_FROM = 10, 160, 60
 #: Leaders a bucket in the first round of blocks, and words of a gap that is aligned.
 BLOCK, GAP = 32, 64
+#: Bins of the words of a text, by which pairs that cannot be alike are left out of the alignment.
+BINS = 1024
 NO_ID = -(2**63)
 
 
@@ -83,7 +81,7 @@ def _seeds(n: int, salt: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)) | np.uint64(1)
 
 
-SEEDS, SHORT_SEEDS, STRICT_SEEDS = _seeds(BANDS, 1), _seeds(SHORT_BANDS, 2), _seeds(STRICT_BANDS, 3)
+SEEDS, SHORT_SEEDS = _seeds(BANDS, 1), _seeds(SHORT_BANDS, 2)
 
 
 def sketch(labels: np.ndarray, seeds: np.ndarray, sample: int) -> np.ndarray:
@@ -111,14 +109,6 @@ def band_keys(labels: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def strict_keys(labels: np.ndarray) -> np.ndarray:
-    """Keys for blocks; texts alike by 0.8, whose sizes then differ by at most a fifth, have keys of one kind in common."""
-    keys = [band_keys(labels)] if 0.8 * len(labels) < STRICT_FROM else []
-    if len(labels) >= STRICT_FROM:
-        keys.append(sketch(labels, STRICT_SEEDS, STRICT_SAMPLE))
-    return np.concatenate(keys)
-
-
 def edits(a: list[int], b: list[int]) -> int:
     """Edit distance of two short runs of words, at most the longer one's length."""
     if not a or not b:
@@ -133,6 +123,12 @@ def edits(a: list[int], b: list[int]) -> int:
     return row[-1]
 
 
+def unlike(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the edit distance: words of either side, by BINS of their hashes, that the other has no partner for."""
+    more = np.bincount(a & np.uint64(BINS - 1), minlength=BINS) - np.bincount(b & np.uint64(BINS - 1), minlength=BINS)
+    return int(max(more[more > 0].sum(), -more[more < 0].sum()))
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float, kmers_a: np.ndarray | None = None, kmers_b: np.ndarray | None = None) -> float:
     """Similarity of two documents' words by banded alignment; 0 where their lengths forbid `least`."""
     small, large = sorted((len(a), len(b)))
@@ -140,6 +136,8 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float, kmers_a: np.ndarray | No
         return 0.0
     if large == 0:
         return 1.0
+    if unlike(a, b) > (1 - least) * large + 1e-9:
+        return 0.0
     x, y = (labels_of(a) if kmers_a is None else kmers_a), (labels_of(b) if kmers_b is None else kmers_b)
     _, at_a, at_b = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     # As many words as `least` lets differ are also how far an alignment can shift.
@@ -222,21 +220,6 @@ def word_table(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, words binary")
 
 
-def strict_rows(words: DataFrame) -> DataFrame:
-    """(id, size, key) of a table of words (id, words)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
-            for at in range(0, len(held), 1000):
-                some = held[at : at + 1000]
-                keys = [strict_keys(labels_of(x)).view(np.int64) for x in some]
-                times = np.array([len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy()[at : at + 1000], times)), pa.array(np.repeat([len(x) for x in some], times).astype(np.int32)), pa.array(np.concatenate(keys))], names=["id", "size", "key"])
-
-    return words.select("id", "words").mapInArrow(run, "id long, size int, key long")
-
-
 def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     """The pairs (u, v) whose texts are alike; v may be shared by very many pairs, whose words are then sent in copies."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -294,10 +277,7 @@ def links_of(texts: DataFrame, words_of, least: float) -> DataFrame:
         return some.groupBy("key").agg(count, F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "n")
 
     at = placed(members)
-    apart = materialize(with_groups(at, materialize(mixed(at), "open-buckets"), ["key"], total).select("id").distinct(), "open-texts")
-    if apart.isEmpty():
-        return found
-    rows = materialize(strict_rows(words.join(apart, "id")), "strict-rows")
+    rows = materialize(with_groups(at, materialize(mixed(at), "open-buckets"), ["key"], total).select("id", "size", "key"), "mixed-rows")
     total, number = rows.count(), 0
     while True:
         at = placed(rows)

@@ -5,13 +5,14 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import ODD, documents, words
 from pyspark.sql import functions as F
 
 from tamarack.llm.components import components
 from tamarack.llm.exact_dedup import drop_copies, exact_groups
-from tamarack.llm.order_minhash import aligned, drop_near_copies, labels_of, near_groups
+from tamarack.llm.order_minhash import aligned, band_keys, drop_near_copies, each_words, labels_of, near_groups
 from tamarack.llm.substring_dedup import remove_repeats, repeated_words
 from tamarack.llm.wordhash import mix
 
@@ -134,3 +135,24 @@ def test_substring(spark):
         else:
             assert cut[k].text == texts[k]
     assert repeated_words(documents(spark, [])).count() == 0
+
+
+def test_mixed_buckets_are_compared_whole(spark):
+    """Pairs of little shingle share that meet only as non-leaders of a bucket whose texts share a passage."""
+    import random
+
+    rng = random.Random(11)
+    passage = words(7, 130, 9000)
+    texts = [" ".join(passage + words(1000 + k, 130, 9000)) for k in range(60)]  # leaders and company: alike by half
+    for k in range(60, 90):
+        own = passage + words(1000 + k, 130, 9000)
+        twin = list(own)
+        for at in rng.sample(range(130, 260), 26):  # a tenth of all words
+            twin[at] = f"x{k}-{at}"
+        texts += [" ".join(own), " ".join(twin)]
+    words_ = list(each_words(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]), 0))
+    keys = [set(band_keys(labels_of(w)).tolist()) for w in words_]
+    meet = {k for k in range(60, 120, 2) if keys[k] & keys[k + 1]}
+    got = {r.doc_id: r.class_id for r in near_groups(documents(spark, texts)).collect()}
+    assert len(meet) > 15 and all(aligned(words_[k], words_[k + 1], 0.8) >= 0.8 for k in meet)
+    assert got == {**{k: k for k in range(120)}, **{k + 1: k for k in meet}}
