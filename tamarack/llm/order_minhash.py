@@ -12,7 +12,7 @@ agree when one differs, have further sketches of two labels and of one.
 Candidates are verified by a banded alignment of their words: of the labels that
 both have, at positions whose difference stays within a band, the longest chain
 rising in both; what the chain does not cover lies in gaps, which are aligned by
-edit distance (long ones count as wholly different). Similarity is 1 less the edits
+edit distance. Similarity is 1 less the edits
 over the words of the longer text, and pairs of `least` or more are linked. A pair
 that shares `least` of its k-mers has more than that of its words; such pairs are
 all found, with the probability above, and less alike ones where they meet.
@@ -49,8 +49,8 @@ from .wordhash import OF_WORDS, Words, mix, parts, prefixes, spans
 KMER, LEAST_ALIKE, SAMPLE, BANDS = 5, 0.8, 5, 32
 #: Texts of at most so many labels have SHORT_BANDS more sketches of two labels.
 SHORT, SHORT_BANDS = 24, 16
-#: Leaders a bucket in the first round of blocks, and words of a gap that is aligned.
-BLOCK, GAP = 32, 64
+#: Leaders a bucket in the first round of blocks.
+BLOCK = 32
 #: Bins of the words of a text, by which pairs that cannot be alike are left out of the alignment.
 BINS = 1024
 NO_ID = -(2**63)
@@ -109,18 +109,26 @@ def band_keys(labels: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def edits(a: list[int], b: list[int]) -> int:
-    """Edit distance of two short runs of words, at most the longer one's length."""
-    if not a or not b:
+def edits(a: list[int], b: list[int], most: int) -> int:
+    """Edit distance of two runs of words, or more than `most` where it is; a column of the table is one bit-parallel step."""
+    if not a or not b or abs(len(a) - len(b)) > most:
         return max(len(a), len(b))
-    if len(a) * len(b) > GAP * GAP:
-        return max(len(a), len(b))
-    row = list(range(len(b) + 1))
-    for k, x in enumerate(a, 1):
-        before, row[0] = row[0], k
-        for m, y in enumerate(b, 1):
-            before, row[m] = row[m], before if x == y else 1 + min(before, row[m], row[m - 1])
-    return row[-1]
+    places: dict[int, int] = {}
+    for k, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << k
+    whole, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, found = whole, 0, len(a)
+    for left, y in zip(range(len(b) - 1, -1, -1), b):
+        same = places.get(y, 0)
+        cross = ((same & up) + up ^ up) | same
+        rise, fall = down | whole & ~(cross | up), up & cross
+        found += bool(rise & last) - bool(fall & last)
+        if found - left > most:
+            return max(len(a), len(b))
+        rise, fall = (rise << 1 | 1) & whole, fall << 1 & whole
+        same |= down
+        up, down = fall | whole & ~(same | rise), rise & same
+    return found
 
 
 def unlike(a: np.ndarray, b: np.ndarray) -> int:
@@ -163,7 +171,7 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float, kmers_a: np.ndarray | No
         k = came[k]
     chain.reverse()
     width = min(KMER, len(a), len(b))
-    most = (1 - least) * large
+    most = (1 - least) * large + 1e-9
     cost, from_a, from_b = 0, 0, 0
     # Only where the diagonal changes or words lie between does anything cost; successive pairs on one diagonal are one run.
     i, j = at_a[chain], at_b[chain]
@@ -175,11 +183,11 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float, kmers_a: np.ndarray | No
         if over >= int(i[m] - i[f]) + width:
             continue
         start_a, start_b = int(i[f]) + over, int(j[f]) + over
-        cost += edits(a[from_a:start_a].tolist(), b[from_b:start_b].tolist())
+        cost += edits(a[from_a:start_a].tolist(), b[from_b:start_b].tolist(), int(most) - cost)
         if cost > most:
             return 0.0
         from_a, from_b = int(i[m]) + width, int(j[m]) + width
-    cost += edits(a[from_a:].tolist(), b[from_b:].tolist())
+    cost += edits(a[from_a:].tolist(), b[from_b:].tolist(), int(most) - cost)
     return 1 - cost / large
 
 

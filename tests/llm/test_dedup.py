@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.components import components
 from tamarack.llm.exact_dedup import drop_copies, exact_groups
-from tamarack.llm.order_minhash import aligned, band_keys, drop_near_copies, each_words, labels_of, near_groups
+from tamarack.llm.order_minhash import aligned, band_keys, drop_near_copies, each_words, edits, labels_of, near_groups
 from tamarack.llm.substring_dedup import remove_repeats, repeated_words
 from tamarack.llm.wordhash import mix
 
@@ -156,3 +156,21 @@ def test_mixed_buckets_are_compared_whole(spark):
     got = {r.doc_id: r.class_id for r in near_groups(documents(spark, texts)).collect()}
     assert len(meet) > 15 and all(aligned(words_[k], words_[k + 1], 0.8) >= 0.8 for k in meet)
     assert got == {**{k: k for k in range(120)}, **{k + 1: k for k in meet}}
+
+
+def test_long_gaps_are_aligned():
+    v = list(range(1, 201))
+    w = [x + 5000 if 50 <= k < 150 and k % 4 == 0 else x for k, x in enumerate(v)]
+    a, b = (mix(np.array(x, np.uint64)) for x in (v, w))
+    assert distance(v, w) == 25 and aligned(a, b, 0.8) == pytest.approx(0.875)
+
+
+def test_edits_to_a_bound():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(300):
+        v, w = ([rng.randrange(6) for _ in range(rng.randrange(90))] for _ in range(2))
+        exact, most = distance(v, w), rng.randrange(90)
+        got = edits(v, w, most)
+        assert got == exact if exact <= most else got > most
