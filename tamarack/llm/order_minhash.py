@@ -7,7 +7,7 @@ labels of least hash are taken and kept in text order; documents with an equal
 sketch are candidates. Two texts that share a part s of their k-mers in the same
 order agree in a sketch with probability about s**SAMPLE, so that at 0.8 about 3 in
 a million pairs agree in none. Texts of few k-mers, in which five labels cannot
-agree when one differs, have further sketches of two labels and of one.
+agree when one differs, have further sketches of two labels and of one: each label.
 
 Candidates are verified by a banded alignment of their words: of the labels that
 both have, at positions whose difference stays within a band, the longest chain
@@ -47,7 +47,7 @@ from .components import components
 from .wordhash import OF_WORDS, Words, mix, parts, prefixes, spans
 
 KMER, LEAST_ALIKE, SAMPLE, BANDS = 5, 0.8, 5, 32
-#: Texts of at most so many labels have SHORT_BANDS more sketches of two labels.
+#: Texts of at most so many labels have SHORT_BANDS more sketches of two labels, and each label as one.
 SHORT, SHORT_BANDS = 24, 16
 #: Leaders a bucket in the first round of blocks.
 BLOCK = 32
@@ -105,7 +105,7 @@ def sketch(labels: np.ndarray, seeds: np.ndarray, sample: int) -> np.ndarray:
 def band_keys(labels: np.ndarray) -> np.ndarray:
     keys = [sketch(labels, SEEDS, SAMPLE)]
     if len(labels) <= SHORT:
-        keys.append(sketch(labels, SHORT_SEEDS, 2))
+        keys += [sketch(labels, SHORT_SEEDS, 2), mix(labels ^ np.uint64(0xD6E8FEB86659FD93))]
     return np.concatenate(keys)
 
 

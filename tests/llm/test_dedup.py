@@ -174,3 +174,9 @@ def test_edits_to_a_bound():
         exact, most = distance(v, w), rng.randrange(90)
         got = edits(v, w, most)
         assert got == exact if exact <= most else got > most
+
+
+def test_short_texts_meet_by_one_label(spark):
+    texts = [" ".join([*words(300 + k, 5, 9000), end]) for k in range(40) for end in ("this", "that")]
+    got = {r.doc_id: r.class_id for r in near_groups(documents(spark, texts)).collect()}
+    assert got == {k: k - k % 2 for k in range(80)}
