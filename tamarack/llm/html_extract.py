@@ -8,7 +8,8 @@ logarithm of the number of its pages, so 0 where all pages agree and 1 where all
 differ. Branches of low importance on at least MIN_PAGES different pages (exact
 copies of a page count once) are removed from each page, as are elements whose tag,
 role or class says that they are menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or reader comments. Plain flow elements of an
+adverts, forms, scripts, styles or reader comments; such words and roles never remove
+html, body, main or an article themselves. Plain flow elements of an
 article (headings, paragraphs, lists, tables without classes) are never removed for
 their importance: a passage that many pages share is still their text.
 
@@ -51,6 +52,8 @@ FLOW = set("article main h1 h2 h3 h4 h5 h6 p b i em strong a span ul ol li dl dt
 DROPPED = set("nav aside footer form button select menu dialog object svg canvas audio video applet head map datalist".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 SIGNS = set("ad ads adv advert adverts advertisement advertising adsense adbox adslot banner banners sponsor sponsored sponsors promo promos promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar cookie cookies consent gdpr notice notices notification disclaimer popup modal overlay newsletter subscribe subscription signup login search comment comments disqus respond replies reply share sharing social related recommended recommendations widget widgets toolbar pagination pager copyright paywall".split())
+#: What holds a page's text: neither words of its classes nor its role remove it.
+WHOLE = {"html", "body", "main", "article"}
 #: Which open elements a start tag closes, up to an element that holds them.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 
@@ -163,9 +166,9 @@ class Page:
                 classed = True
                 name = f"{tag}.{' '.join(sorted(held.get('class', '').split()))}"
                 words = {w.lower() for w in WORD.findall(unescape(mark))}
-                gone = bool(words & SIGNS) or "header" in words and not up.region
+                gone = tag not in WHOLE and (bool(words & SIGNS) or "header" in words and not up.region)
             role = held.get("role", "").lower()
-            gone = gone or role in ROLES or "hidden" in held or held.get("aria-hidden", "").lower() == "true" or "display:none" in held.get("style", "").replace(" ", "").lower()
+            gone = gone or tag not in WHOLE and role in ROLES or "hidden" in held or held.get("aria-hidden", "").lower() == "true" or "display:none" in held.get("style", "").replace(" ", "").lower()
             region = "main" if role == "main" else ""
         else:
             region = ""

@@ -22,6 +22,11 @@ def test_article():
     assert Page("<nav>n</nav><p>no end").text() == "no end"
 
 
+def test_class_words_do_not_remove_the_whole():
+    for tag in ("body class='right-sidebar'", "article class='post comments-open'", "main id='search'", "main role='search'"):
+        assert Page(f"<html class='has-banner'><{tag}><p>kept</p><div class='sidebar'>s</div></{tag.split()[0]}></html>").text() == "kept"
+
+
 def test_site_style_tree(spark):
     site = "<body><div class='k1'><p>Same words everywhere</p></div><div class='body'><p>text {} here</p><p>shared passage</p></div></body>"
     rows = [(k, f"http://h.x/{k}", site.format(k)) for k in range(30)] + [(50, "http://one.x/", site.format(0)), (51, None, None)] + [(60 + k, "http://copy.x/", site.format(1)) for k in range(30)]
