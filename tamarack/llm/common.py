@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 #: Places where cutting a text before a space or line end could change how it is split.
 UNSAFE_CUT = re.compile(r"\s[ \n](?:\s|\Z)| \n")
@@ -18,9 +18,11 @@ _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all runs in one process (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="tamarack-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -87,7 +89,7 @@ def blocks(text: str, size: int) -> Iterable[str]:
 
 
 #: A group of over a 1/HOT part of all rows is joined by broadcast: by this definition there are fewer than HOT of them.
-HOT = 1000
+HOT = 10_000
 
 
 def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, outer: bool = False) -> DataFrame:
@@ -111,6 +113,13 @@ def sweep(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def nested(rows: DataFrame, *keys: Column) -> DataFrame:
+    """rows as one struct column `row`, beside keys: no name of theirs can clash with a key's. `select("row.*")` undoes it."""
+    from pyspark.sql import functions as F
+
+    return rows.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in rows.columns]).alias("row"), *keys)
+
+
 def one_each(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One of the rows that share keys; keys that rows were just joined on need no other shuffle."""
     from pyspark.sql import Window

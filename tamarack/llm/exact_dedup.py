@@ -5,7 +5,8 @@ A stateful query keeps, for each digest and without expiry, the largest doc_id
 (the stable identifier), the landed row that carries it (the content locator) and
 a count, in the disk-backed RocksDB state store; equal digests are combined before
 the shuffle, so a third of all rows sharing a text is no burden. On hits (digests
-met more than once) the full normalised texts are read again and compared; a
+met more than once) the full normalised texts are read again and compared, those
+of hits alone, which a bitmap of bounded size tells apart before the shuffle; a
 digest that two different texts share sends its rows to a regrouping by text.
 
 Texts are equal when identical after lower-casing A-Z alone. Null texts count as
@@ -22,10 +23,10 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, one_each, shared_path, table
+from .common import materialize, nested, one_each, shared_path, table, with_groups
 
-#: A digest of over a 1/HOT part of all rows is joined by broadcast: by its definition there are fewer than HOT of them.
-HOT = 1000
+#: Bits of the filter by which texts without a hit stay out of the comparison's shuffle (2 MB, sent to every task), and bits of a row of it.
+FILTER_BITS, BLOCK_BITS = 1 << 24, 1 << 15
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -51,21 +52,20 @@ def dedup_stream(prints: DataFrame) -> DataFrame:
     return prints.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.max_by("row_id", F.coalesce("doc_id", F.lit(-(2**63)))).alias("locator"), F.count(F.lit(1)).alias("n"))
 
 
-def run_state(prints: DataFrame, max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
-    """The final state over landed prints, by a query that takes what is there in micro-batches and then stops."""
-    spark = prints.sparkSession
+def run_state(spark: SparkSession, landed: str, max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
+    """The final state over the prints landed in a folder, by a query that takes what is there in micro-batches and then stops."""
+    prints = spark.read.parquet(landed)
+    if prints.isEmpty():
+        return dedup_stream(prints)
     session = spark.newSession()
     for k, v in (STATE | {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}).items():
         session.conf.set(k, v)
-    source = prints.inputFiles()[0].rsplit("/", 1)[0] if prints.inputFiles() else None
-    if source is None:
-        return dedup_stream(prints)
     out, checkpoint = shared_path(spark, "dedup-state"), shared_path(spark, "dedup-checkpoint")
 
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    stream = session.readStream.schema(prints.schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(source)
+    stream = session.readStream.schema(prints.schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(landed)
     query = dedup_stream(stream).writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     versions = spark.read.parquet(out)
@@ -75,33 +75,38 @@ def run_state(prints: DataFrame, max_bytes_per_trigger: int = 64 << 30) -> DataF
     return materialize(versions.join(last, ["digest", "batch"], "left_semi").drop("batch"), "dedup-last")
 
 
-def by_digest(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
-    """rows with their group's columns: the fewer than HOT groups of over total/HOT rows by broadcast, the rest by a shuffle."""
-    hot = F.broadcast(groups.where(F.col("n") > total / HOT))
-    rest = groups.where(F.col("n") <= total / HOT)
-    return rows.join(hot, "digest").unionByName(rows.join(F.broadcast(groups.where(F.col("n") > total / HOT).select("digest")), "digest", "left_anti").join(rest, "digest"))
+def hit_bits(hits: DataFrame) -> DataFrame:
+    """(block, bits): a bitmap of FILTER_BITS bits in which the digests of hits are marked; at most FILTER_BITS / 8 bytes, whatever the input."""
+    slot = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
+    return hits.select(slot.alias("slot")).groupBy(F.expr(f"slot div {BLOCK_BITS}").alias("block")).agg(F.expr(f"bitmap_construct_agg(slot % {BLOCK_BITS})").alias("bits"))
+
 
+def collided(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Digests of more than one row whose full texts are not all the same bytes; texts: digest, text.
 
-def collided(texts: DataFrame, groups: DataFrame, total: int) -> DataFrame:
-    """Digests of more than one row whose full texts are not all the same bytes; texts: digest, text."""
-    hits = groups.where(F.col("n") > 1).select("digest", "n")
-    least = [F.min("text").alias("least"), F.max("text").alias("most")]
-    most = F.broadcast(hits.where(F.col("n") > total / HOT))
-    hot = texts.join(most, "digest").groupBy("digest").agg(*least)
-    rest = texts.join(most, "digest", "left_anti").join(hits.where(F.col("n") <= total / HOT), "digest").groupBy("digest").agg(*least)
-    return hot.unionByName(rest).where(F.col("least") != F.col("most")).select("digest")
+    Texts without a hit are left behind before the shuffle, by the bitmap of hits; what passes by chance is a group of
+    one text. Equal texts are combined before the shuffle, so one plan serves every size and every number of copies.
+    """
+    marks = F.broadcast(hit_bits(groups.where(F.col("n") > 1)))
+    slot = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
+    own = texts.withColumn("slot", slot).withColumn("block", F.expr(f"slot div {BLOCK_BITS}"))
+    marked = own.join(marks, "block").where(F.expr(f"(shiftright(int(conv(hex(substring(bits, int(slot % {BLOCK_BITS} div 8) + 1, 1)), 16, 10)), int(slot % 8)) & 1) = 1"))
+    return marked.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most")).where(F.col("least") != F.col("most")).select("digest")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=digest_of) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of each row."""
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), normalised(F.col(text_col)).alias("text")).withColumn("digest", digest(F.col("text")))
-    prints = materialize(texts.select("doc_id", "digest", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row_id")) if digest is not digest_of else texts.select("doc_id", "digest", F.monotonically_increasing_id().alias("row_id")), "prints")
-    groups = run_state(prints)
+    landed = shared_path(spark, "prints")
+    sha = [] if digest is digest_of else [F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256")]
+    texts.select("doc_id", "digest", *sha, F.monotonically_increasing_id().alias("row_id")).write.parquet(landed)
+    prints, groups = spark.read.parquet(landed), run_state(spark, landed)
     total = groups.agg(F.sum("n").alias("n")).first().n or 0
-    sha = F.col("text_sha256") if "text_sha256" in prints.columns else F.lower(F.hex("digest")).alias("text_sha256")
-    out = by_digest(prints, groups, total)
+    sha = F.col("text_sha256") if sha else F.lower(F.hex("digest")).alias("text_sha256")
+    out = with_groups(prints, groups, ["digest"], total)
     rows = [F.col("doc_id"), F.col("keep_id"), F.col("n").alias("group_size"), (F.col("row_id") == F.col("locator")).alias("kept"), sha]
-    clash = materialize(collided(texts.select("digest", "text"), groups, total), "collided")
+    clash = materialize(collided(texts.select("digest", "text"), groups), "collided")
     if clash.isEmpty():
         return out.select(*rows)
     # Different texts under one digest: those rows are grouped anew by their whole text.
@@ -114,9 +119,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select(F.coalesce("doc_id", F.lit(-(2**63))).alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn("__sha", digest_of(normalised(F.col("text"))))
-    return one_each(own.join(kept, ["__id", "__sha"], "left_semi"), ["__id", "__sha"]).select(*docs.columns)
+    least = F.lit(-(2**63))
+    kept = exact_groups(docs).where("kept").select(F.coalesce("doc_id", least).alias("id"), F.unhex("text_sha256").alias("sha"))
+    own = nested(docs, F.coalesce(F.col("doc_id").cast("long"), least).alias("id"), digest_of(normalised(F.col("text"))).alias("sha"))
+    return one_each(own.join(kept, ["id", "sha"], "left_semi"), ["id", "sha"]).select("row.*")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
