@@ -113,6 +113,25 @@ def sweep(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Bits of the filter below (2 MB), and bits of a row of it.
+FILTER_BITS, BLOCK_BITS = 1 << 24, 1 << 15
+
+
+def likely(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """rows without most of those whose keys are not in `wanted`, and with all of the others; nothing is shuffled but marks.
+
+    A bitmap of FILTER_BITS bits holds the hashes of the wanted keys and goes to every task: 2 MB at most, whatever the
+    tables. What passes by chance is left to the join or grouping that follows.
+    """
+    from pyspark.sql import functions as F
+
+    slot = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    marks = wanted.select(slot.alias("__slot")).groupBy(F.expr(f"__slot div {BLOCK_BITS}").alias("__block")).agg(F.expr(f"bitmap_construct_agg(__slot % {BLOCK_BITS})").alias("__bits"))
+    bit = F.expr(f"shiftright(int(conv(hex(substring(__bits, int(__slot % {BLOCK_BITS} div 8) + 1, 1)), 16, 10)), int(__slot % 8)) & 1")
+    own = rows.withColumn("__slot", slot).withColumn("__block", F.expr(f"__slot div {BLOCK_BITS}"))
+    return own.join(F.broadcast(marks), "__block").where(bit == 1).select(*rows.columns)
+
+
 def nested(rows: DataFrame, *keys: Column) -> DataFrame:
     """rows as one struct column `row`, beside keys: no name of theirs can clash with a key's. `select("row.*")` undoes it."""
     from pyspark.sql import functions as F

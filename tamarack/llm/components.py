@@ -1,43 +1,44 @@
-"""Connected components over a table of links, by contraction along random priorities.
+"""Connected components over a table of links, by contraction towards nodes of least hash.
 
-Every node points to the node with most links among itself and its neighbours, of
-equal ones to that of least hash; links are drawn between what their ends point to,
-and the rest of the graph is contracted again, until no link is left. A star takes
-one round, a chain a number that grows with the logarithm of its length. Nothing is collected; each round's tables are
-stored in the shared folder, and nodes with very many links are joined by broadcast.
+Every node points to the one of least hash among itself and its neighbours; links are
+drawn between what their ends point to, and the rest of the graph is contracted again,
+until no link is left. A star takes at most three rounds, a chain a number that grows
+with the logarithm of its length. Nothing is collected; each round's tables are stored
+in the shared folder. A node that very many rows name is the one row of its side of
+each join, so that Spark splits its partition (adaptive skew join).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, with_groups
+from .common import materialize
+
+
+def priority(node: str) -> Column:
+    """The order in which nodes are preferred."""
+    return F.struct(F.xxhash64(node).alias("hash"), F.col(node).alias("node"))
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of links (u, v); the root is the component's least node. A link may be repeated or a loop."""
-    count = F.count(F.lit(1)).alias("n")
     edges = materialize(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u != v").distinct(), "edges")
-    nodes, number = None, 0
+    nodes = None
     while not edges.isEmpty():
-        number += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        total = 2 * edges.count()
-        linked = materialize(both.groupBy("u").agg(count), "degrees")
-        priority = lambda c: F.struct((-F.col("n")).alias("n"), F.xxhash64(c, F.lit(number)).alias("p"), F.col(c).alias("v"))
-        seen = with_groups(both, linked.withColumnRenamed("u", "v"), ["v"], total).groupBy("u").agg(F.min(priority("v")).alias("best"))
-        parents = materialize(seen.join(linked, "u").select("u", "n", F.least("best", priority("u"))["v"].alias("parent")), "parents")
-        once = with_groups(edges, parents, ["u"], total).select(F.col("parent").alias("a"), F.col("v").alias("u"))
-        twice = with_groups(once, parents, ["u"], total).select(F.least("a", "parent").alias("u"), F.greatest("a", "parent").alias("v"))
-        pointers = parents.select("u", "parent")
+        nearest = both.groupBy("u").agg(F.min(priority("v")).alias("best")).select("u", F.least("best", priority("u"))["node"].alias("parent"))
+        parents = materialize(nearest, "parents")
+        pointed = parents.hint("merge")
+        once = edges.join(pointed, "u").select(F.col("parent").alias("a"), F.col("v").alias("u"))
+        twice = once.join(pointed, "u").select(F.least("a", "parent").alias("u"), F.greatest("a", "parent").alias("v"))
         if nodes is None:
-            nodes = materialize(pointers.select(F.col("u").alias("node"), F.col("parent").alias("at")), "nodes")
+            nodes = parents.select(F.col("u").alias("node"), F.col("parent").alias("at"))
         else:
-            sizes = nodes.groupBy("at").agg(count)
-            moves = materialize(sizes.join(pointers.withColumnRenamed("u", "at"), "at"), "moves")
-            nodes = materialize(with_groups(nodes, moves, ["at"], nodes.count(), outer=True).select("node", F.coalesce("parent", "at").alias("at")), "nodes")
+            moves = pointed.withColumnRenamed("u", "at")
+            nodes = materialize(nodes.join(moves, "at", "left").select("node", F.coalesce("parent", "at").alias("at")), "nodes")
         edges = materialize(twice.where("u != v").distinct(), "edges")
     if nodes is None:
         return links.select(F.col("u").alias("node"), F.col("u").alias("root")).where("false")
-    roots = materialize(nodes.groupBy("at").agg(count, F.min("node").alias("root")), "roots")
-    return with_groups(nodes, roots, ["at"], nodes.count()).select("node", "root")
+    roots = nodes.groupBy("at").agg(F.min("node").alias("root"))
+    return nodes.join(roots.hint("merge"), "at").select("node", "root")

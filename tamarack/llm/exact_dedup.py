@@ -23,10 +23,8 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, nested, one_each, shared_path, table, with_groups
+from .common import likely, materialize, nested, one_each, shared_path, table, with_groups
 
-#: Bits of the filter by which texts without a hit stay out of the comparison's shuffle (2 MB, sent to every task), and bits of a row of it.
-FILTER_BITS, BLOCK_BITS = 1 << 24, 1 << 15
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -75,23 +73,14 @@ def run_state(spark: SparkSession, landed: str, max_bytes_per_trigger: int = 64
     return materialize(versions.join(last, ["digest", "batch"], "left_semi").drop("batch"), "dedup-last")
 
 
-def hit_bits(hits: DataFrame) -> DataFrame:
-    """(block, bits): a bitmap of FILTER_BITS bits in which the digests of hits are marked; at most FILTER_BITS / 8 bytes, whatever the input."""
-    slot = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
-    return hits.select(slot.alias("slot")).groupBy(F.expr(f"slot div {BLOCK_BITS}").alias("block")).agg(F.expr(f"bitmap_construct_agg(slot % {BLOCK_BITS})").alias("bits"))
-
-
 def collided(texts: DataFrame, groups: DataFrame) -> DataFrame:
     """Digests of more than one row whose full texts are not all the same bytes; texts: digest, text.
 
-    Texts without a hit are left behind before the shuffle, by the bitmap of hits; what passes by chance is a group of
+    Texts without a hit are left behind before the shuffle, by a bitmap of the hits; what passes by chance is a group of
     one text. Equal texts are combined before the shuffle, so one plan serves every size and every number of copies.
     """
-    marks = F.broadcast(hit_bits(groups.where(F.col("n") > 1)))
-    slot = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
-    own = texts.withColumn("slot", slot).withColumn("block", F.expr(f"slot div {BLOCK_BITS}"))
-    marked = own.join(marks, "block").where(F.expr(f"(shiftright(int(conv(hex(substring(bits, int(slot % {BLOCK_BITS} div 8) + 1, 1)), 16, 10)), int(slot % 8)) & 1) = 1"))
-    return marked.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most")).where(F.col("least") != F.col("most")).select("digest")
+    hits = likely(texts, groups.where(F.col("n") > 1), ["digest"])
+    return hits.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most")).where(F.col("least") != F.col("most")).select("digest")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=digest_of) -> DataFrame:

@@ -18,13 +18,18 @@ that shares `least` of its k-mers has more than that of its words; such pairs ar
 all found, with the probability above, and less alike ones where they meet.
 
 No bucket is expanded into its pairs. Equal texts are one text. In a bucket every
-text is first compared with its leader, the one that has most company in all its
-buckets; most buckets then hold one component, and are done. In the others, texts of
-different components are compared in blocks, of about BLOCK leaders a bucket in the
-first round and twice as many in each one after, so that after the last round every
-two texts of a bucket either lie in one component or have been compared. Buckets and nodes of very many
-rows are joined by broadcast (`with_groups`), and a leader's words are dealt in
-copies over the tasks of its many members.
+text is first compared with its leader, the text of least priority (a hash) in it, so
+that one text leads most buckets it is in; the texts of most buckets then lie in one
+component, and are done. Where texts of different components have met a leader, they
+are dealt anew, by an exact filter: two texts within 1 - `least` edits share all but
+that part of their words, so that in any order of words they share one of the first
+(1 - `least`) * size + 1. The order takes words that the leader lacks first, and of
+those rare ones (by counts over all these texts, in SLOTS slots): a passage that very
+many texts share comes last, and does not bring them together again. Groups of such a
+word are compared in blocks, of about BLOCK texts a group in the first round and twice
+as many in each one after, only between components, until none is left; so every two
+texts of a bucket either lie in one component, or have been compared, or cannot be
+alike.
 
 Null texts count as empty, and empty texts equal one another; a null doc_id sorts
 before all others; rows that repeat a doc_id are grouped by their texts under that
@@ -42,17 +47,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, one_each, sweep, table, with_groups
-from .components import components
+from .common import likely, materialize, nested, one_each, sweep, table, with_groups
+from .components import components, priority
 from .wordhash import OF_WORDS, Words, mix, parts, prefixes, spans
 
 KMER, LEAST_ALIKE, SAMPLE, BANDS = 5, 0.8, 5, 32
 #: Texts of at most so many labels have SHORT_BANDS more sketches of two labels, and each label as one.
 SHORT, SHORT_BANDS = 24, 16
-#: Leaders a bucket in the first round of blocks.
+#: Texts a group that the first round of blocks compares with all others of it.
 BLOCK = 32
-#: Bins of the words of a text, by which pairs that cannot be alike are left out of the alignment.
-BINS = 1024
+#: Bins of the words of two texts, by which pairs that cannot be alike are left out of the alignment; slots in which words are counted.
+BINS, SLOTS = 1024, 1 << 16
 NO_ID = -(2**63)
 
 
@@ -64,7 +69,11 @@ def labels_of(hashes: np.ndarray) -> np.ndarray:
         starts = np.arange(len(hashes) - KMER + 1)
         ends = starts + KMER
     sums, down = prefixes(hashes, OF_WORDS)
-    kmers = spans(sums, down, starts, ends)
+    return labelled(spans(sums, down, starts, ends))
+
+
+def labelled(kmers: np.ndarray) -> np.ndarray:
+    """Each value with how often it has occurred before, as one hash; no two are equal."""
     order = np.argsort(kmers, kind="stable")
     sorted_ = kmers[order]
     new = np.ones(len(kmers), bool)
@@ -228,14 +237,15 @@ def word_table(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, words binary")
 
 
+def with_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """pairs (u, v, ...) with the words of both, those of one v one after the other; where very many pairs share v, Spark splits its partition and copies its words."""
+    own, theirs = (words.select(F.col("id").alias(c), F.col("words").alias(w)).hint("merge") for c, w in (("u", "own"), ("v", "theirs")))
+    return pairs.join(own, "u").join(theirs, "v")
+
+
 def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
-    """The pairs (u, v) whose texts are alike; v may be shared by very many pairs, whose words are then sent in copies."""
+    """The pairs (u, v) whose texts are alike."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-    share = 200  # pairs that use one copy of v's words, about
-    held = materialize(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "leaders")
-    copies = held.join(words, F.col("v") == F.col("id")).select("v", F.col("words").alias("theirs"), F.explode(F.sequence(F.lit(0), F.expr(f"int(n div {share})"))).alias("copy"))
-    sized = with_groups(pairs, held, ["v"], pairs.count()).withColumn("copy", F.pmod(F.xxhash64("u"), F.expr(f"int(n div {share}) + 1")).cast("int")).drop("n")
-    joined = sized.join(words.select(F.col("id").alias("u"), F.col("words").alias("own")), "u").join(copies, ["v", "copy"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, theirs, kmers = None, None, None
@@ -248,90 +258,122 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
                 keep.append(aligned(np.frombuffer(a.as_buffer(), np.uint64), theirs, least, kmers_b=kmers) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("u", "v", "own", "theirs").mapInArrow(run, "u long, v long")
+    return with_words(pairs, words).select("u", "v", "own", "theirs").mapInArrow(run, "u long, v long")
+
+
+def rarity(words: DataFrame) -> np.ndarray:
+    """For each of SLOTS slots, the rounded logarithm of how many words of the table (id, words) fall in it; SLOTS rows at most reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                counts += np.bincount((np.frombuffer(x.as_buffer(), np.uint64) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    out = np.zeros(SLOTS, np.uint8)
+    sums = words.select("words").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out[sums.slot.to_numpy(np.int64)] = np.log2(sums.n.to_numpy(np.float64)).astype(np.uint8)
+    return out
+
+
+def rarest(own: np.ndarray, theirs: np.ndarray, least: float, rare: np.ndarray) -> np.ndarray:
+    """Of own words, labelled by occurrence, the first so many that texts alike share one: words that `theirs` lacks first, then rare ones."""
+    labels = labelled(own)
+    order = np.lexsort((labels, rare[(own & np.uint64(SLOTS - 1)).astype(np.int64)], np.isin(labels, labelled(theirs))))
+    return labels[order[: len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1]]
+
+
+def dealt_anew(met: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """(id, size, key) of the texts u that have met a leader v, met (u, v, size): a row for each word by which u can meet another text alike."""
+    rare = rarity(words)
+    schema = pa.schema([("id", pa.int64()), ("size", pa.int32()), ("key", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for v, a, b in zip(batch.column(1).to_pylist(), batch.column(3), batch.column(4)):
+                own, theirs = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
+                keys.append(mix(rarest(own, theirs, least, rare) ^ np.uint64(v % 2**64)))
+            if keys:
+                many = [len(x) for x in keys]
+                ids, sizes = (np.repeat(batch.column(c).to_numpy(), many) for c in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys).view(np.int64))], schema=schema)
+
+    return with_words(met, words).select("u", "v", "size", "own", "theirs").mapInArrow(run, "id long, size int, key long")
 
 
 def links_of(texts: DataFrame, words_of, least: float) -> DataFrame:
     """(node, root) of texts that are linked to any; texts: id, size (words), keys; words_of: a table of ids -> (id, words)."""
     spark = texts.sparkSession
     count = F.count(F.lit(1)).alias("n")
+    fits = lambda a, b: F.least(a, b) >= least * F.greatest(a, b)
     rows = texts.select("id", "size", F.explode("keys").alias("key"))
-    shared = materialize(rows.groupBy("key").agg(count).where("n > 1"), "buckets")
-    total = shared.agg(F.sum("n").alias("n")).first().n or 0
-    rows = materialize(with_groups(rows, shared, ["key"], total), "bucket-rows")
+    first = rows.groupBy("key").agg(count, F.min(F.struct(priority("id").alias("p"), "size")).alias("l")).where("n > 1")
+    leaders = materialize(first.select("key", F.col("l.p.node").alias("v"), F.col("l.size").alias("leader_size")), "leaders")
+    met = rows.join(leaders.hint("merge"), "key").where("id != v").select(F.col("id").alias("u"), "v", "size", "leader_size")
+    met = materialize(met.distinct(), "met")
     sweep(spark)
-    company = rows.groupBy("id").agg(F.sum("n").alias("company"))
-    rows = materialize(rows.join(company, "id"), "bucket-rows")
-    leader = rows.groupBy("key").agg(count, F.max(F.struct("company", (-F.col("id")).alias("minus"), F.col("size").alias("leader_size"))).alias("l"))
-    leader = leader.select("key", "n", (-F.col("l.minus")).alias("v"), "l.leader_size")
-    needed = rows.select("id").distinct()
+    needed = met.select(F.col("u").alias("id")).unionByName(met.select(F.col("v").alias("id"))).distinct()
     words = materialize(words_of(needed), "words")
-    sweep(spark)
-
-    def pairs_with(members: DataFrame, leaders: DataFrame) -> DataFrame:
-        fits = (F.least("size", "leader_size") >= least * F.greatest("size", "leader_size")) & (F.col("id") != F.col("v"))
-        return with_groups(members, leaders, ["key"], total).where(fits).select(F.col("id").alias("u"), "v").distinct()
-
-    members = rows.select("id", "size", "key")
-    links = materialize(verified(materialize(pairs_with(members, materialize(leader, "bucket-leaders")), "pairs"), words, least), "links")
+    links = materialize(verified(met.where(fits("size", "leader_size")).select("u", "v"), words, least), "links")
     found = materialize(components(links), "components")
+    sweep(spark)
 
-    def placed(some: DataFrame) -> DataFrame:
-        roots = some.join(found.select(F.col("node").alias("id"), "root"), "id", "left")
-        return materialize(roots.withColumn("root", F.coalesce("root", "id")), "placed")
-
-    def mixed(some: DataFrame) -> DataFrame:
-        """Buckets (key, n) in which more than one component meets."""
-        return some.groupBy("key").agg(count, F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "n")
-
-    at = placed(members)
-    rows = materialize(with_groups(at, materialize(mixed(at), "open-buckets"), ["key"], total).select("id", "size", "key"), "mixed-rows")
-    total, number = rows.count(), 0
+    def placed(some: DataFrame, node: str) -> DataFrame:
+        """some with the root of a node."""
+        return some.join(found.select(F.col("node").alias(node), "root").hint("merge"), node, "left").withColumn("root", F.coalesce("root", node))
+
+    # Leaders that texts of more than one component have met.
+    members = met.select("v", "u").unionByName(met.select("v", F.col("v").alias("u")).distinct())
+    mixed = placed(members, "u").groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("v")
+    again = materialize(met.join(mixed.hint("merge"), "v", "left_semi").select("u", "v", "size"), "met-again")
+    if again.isEmpty():
+        return found
+    rows = dealt_anew(again, words, least)
+    shared = rows.groupBy("key").agg(count).where("n > 1")
+    rows = materialize(rows.join(shared.hint("merge"), "key"), "dealt-anew")
+    sweep(spark)
+    number = 0
     while True:
-        at = placed(rows)
-        open_ = materialize(mixed(at).where(f"n div {BLOCK} >= {2**number - 1}"), "open-buckets")
-        if open_.isEmpty():
+        at = placed(rows, "id")
+        open_ = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        rows = materialize(at.drop("root").join(open_.hint("merge"), "key", "left_semi").where(f"n div {BLOCK} >= {2**number - 1}"), "open-rows")
+        if rows.isEmpty():
             return found
-        rest = materialize(with_groups(at, open_, ["key"], total), "open-rows")
-        turn = rest.where(F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")).between(2**number - 1, 2 ** (number + 1) - 2))
-        leaders = turn.select("key", "n", F.col("id").alias("v"), F.col("size").alias("leader_size"), F.col("root").alias("leader_root"))
-        met = with_groups(rest.drop("n"), materialize(leaders, "block-leaders"), ["key"], total)
-        fits = (F.least("size", "leader_size") >= least * F.greatest("size", "leader_size")) & (F.col("root") != F.col("leader_root"))
-        pairs = materialize(met.where(fits).select(F.col("id").alias("u"), "v").distinct(), "pairs")
-        links = materialize(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(verified(pairs, words, least)), "links")
-        found = materialize(components(links), "components")
+        at = materialize(placed(rows, "id"), "placed")
+        turn = at.where(F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")).between(2**number - 1, 2 ** (number + 1) - 2))
+        others = turn.select("key", F.col("id").alias("v"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
+        pairs = at.join(others.hint("merge"), "key").where(fits("size", "other_size") & (F.col("root") != F.col("other_root")))
+        pairs = materialize(pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct(), "pairs")
+        links = verified(pairs, words, least).unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        found = materialize(components(materialize(links, "links")), "components")
         number += 1
         sweep(spark)
 
 
 def near_groups(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
-    """(doc_id, class_id, class_size, kept) of each row: the class is named by its least doc_id, whose row is kept."""
+    """(doc_id, class_id, class_size, kept, text_key) of each row: the class is named by its least doc_id, whose row is kept."""
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.substring(F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)), 1, 16).alias("text_key"), text.alias("text"))
-    count = F.count(F.lit(1)).alias("n")
     sketches = materialize(sketched(own), "sketches")
-    rows = sketches.count()
-    # One text has one row and is named by its least id; ids that repeat with other texts are told apart by a name of their own.
-    groups = materialize(sketches.groupBy("text_key").agg(count, F.min("id").alias("least_id")), "texts")
-    first = sketches.join(groups.withColumnRenamed("least_id", "id"), ["text_key", "id"]).dropDuplicates(["text_key", "id"])
-    twin = Window.partitionBy("id").orderBy("text_key")
-    named = first.withColumn("twin", F.row_number().over(twin))
-    name = F.when(F.col("twin") == 1, F.col("id")).otherwise(F.xxhash64("text_key").bitwiseOR(F.lit(NO_ID)))
-    texts = materialize(named.select(name.alias("name"), "id", "text_key", "n", "size", "keys"), "named-texts")
+    # Equal texts are one: a row for each, under a name of its own.
+    each = sketches.groupBy("text_key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"))
+    texts = materialize(each.withColumn("name", F.monotonically_increasing_id()), "texts")
 
     def words_of(names: DataFrame) -> DataFrame:
-        wanted = texts.select("name", "id", "text_key").join(names.withColumnRenamed("id", "name"), "name")
-        # Shuffled at every size, so that small runs tell what large ones need.
-        return word_table(one_each(own.join(wanted.hint("merge"), ["id", "text_key"]), ["id", "text_key"]).select(F.col("name").alias("id"), "text"))
+        wanted = texts.select("name", "id", "text_key").join(names.withColumnRenamed("id", "name").hint("merge"), "name")
+        wanted = materialize(wanted, "wanted")
+        some = likely(own, wanted, ["id", "text_key"])
+        return word_table(one_each(some.join(wanted.hint("merge"), ["id", "text_key"]), ["id", "text_key"]).select(F.col("name").alias("id"), "text"))
 
     roots = links_of(texts.select(F.col("name").alias("id"), "size", "keys"), words_of, least)
-    of_text = texts.select("name", "id", "text_key", "n").join(roots.select(F.col("node").alias("name"), "root"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    of_text = texts.select("name", "id", "text_key", "n").join(roots.withColumnRenamed("node", "name").hint("merge"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     of_text = materialize(of_text, "text-classes")
-    classes = of_text.groupBy("root").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("class_size"), F.min(F.struct("id", "text_key")).alias("least"))
-    classes = materialize(classes.select("root", F.col("texts").alias("n"), "class_size", F.col("least.id").alias("class_id"), F.col("least.text_key").alias("class_key")), "classes")
-    sweep(docs.sparkSession)
-    classed = materialize(with_groups(of_text.drop("n"), classes, ["root"], of_text.count()).drop("n").join(of_text.select("text_key", "n"), "text_key"), "classed")
-    out = with_groups(sketches.select("id", "text_key"), classed.select("text_key", "n", "class_id", "class_key", "class_size"), ["text_key"], rows)
+    classes = of_text.groupBy("root").agg(F.sum("n").alias("class_size"), F.min(F.struct("id", "text_key")).alias("least"))
+    classed = of_text.join(classes.hint("merge"), "root").select("text_key", "n", "class_size", F.col("least.id").alias("class_id"), F.col("least.text_key").alias("class_key"))
+    out = with_groups(sketches.select("id", "text_key"), materialize(classed, "classed"), ["text_key"], sketches.count())
     kept = (F.col("id") == F.col("class_id")) & (F.col("text_key") == F.col("class_key"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return out.select(back("id").alias("doc_id"), back("class_id").alias("class_id"), "class_size", kept.alias("kept"), F.lower(F.hex("text_key")).alias("text_key"))
@@ -339,10 +381,10 @@ def near_groups(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
     """One row of each class, with all columns of docs."""
-    kept = near_groups(docs, least).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.unhex("text_key").alias("__key")).distinct()
+    kept = near_groups(docs, least).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.unhex("text_key").alias("key")).distinct()
     key = F.substring(F.unhex(F.sha2(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"), 256)), 1, 16)
-    own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__key", key)
-    return one_each(own.join(kept, ["__id", "__key"], "left_semi"), ["__id", "__key"]).select(*docs.columns)
+    own = nested(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), key.alias("key"))
+    return one_each(own.join(kept, ["id", "key"], "left_semi"), ["id", "key"]).select("row.*")
 
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
