@@ -1,25 +1,32 @@
 """Main text of web pages by a site style tree.
 
-The DOMs of a host's pages are merged into one tree: an element is named by the
-tags and classes on the way to it, and for each element the tree counts the
-distinct presentations (the tags of its children) and contents (its text) that
-pages give it. An element's importance is the mean of both entropies, each over the
-logarithm of the number of its pages, so 0 where all pages agree and 1 where all
-differ. Branches of low importance on at least MIN_PAGES different pages (exact
-copies of a page count once) are removed from each page, as are elements whose tag,
-role or class says that they are menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or reader comments; such words and roles never remove
-html, body, main or an article themselves. Plain flow elements of an
-article (headings, paragraphs, lists, tables without classes) are never removed for
-their importance: a passage that many pages share is still their text.
-
-The tree is a table of counts by (host, path, presentation, content): combined
-before each shuffle, so that no host's pages meet in one task. Hosts with very many
-pages take their list of removed branches by broadcast, others by a join.
-
-Text: where a page has articles (or else a main element), only theirs; character
-references decoded, white space within a block turned into one space, blocks
-trimmed and joined by a line end. Null html gives an empty text; pages without a
+The DOMs of a host's pages are merged into one tree. An element is named by the tags
+and classes on the way to it; for each, the tree counts the presentations (tags of its
+children) and the content features (runs of its own text) that pages give it. The
+presentation importance of a branch is the mean entropy of its elements' presentations,
+each weighing half of its parent; its content importance is 1 less the mean entropy
+of its features over the pages, 0 where all pages share all of it and 1 where no two
+pages share any. Both are combined to 1 - (1 - presentation) * (1 - content), and drawn
+towards 1 where few pages tell (by 1 / pages).
+
+Evidence counts on top, each by a factor of EVIDENCE: a tag, role or class word for
+menus, headers, footers, sidebars, notices, adverts, forms or reader comments ("!" in
+an element's name), and a place outside of the article (or else the main element) on a page that
+has one ("~"). Branches whose importance is then under IMPORTANCE are removed from each
+page; so what is marked always goes, by the formula, and what is not goes by its entropy.
+Words never mark html, body, main or an article. Plain flow elements of
+an article (headings, paragraphs, lists, tables without classes) are never removed for
+their entropy: a passage that many pages share is still their text. Scripts, styles,
+form controls, media and hidden elements are no text and never enter the tree.
+
+The tree is a table of counts by (host, path, presentation or feature): combined
+before each shuffle, so that no host's pages meet in one task; exact copies of a page
+count once. Hosts with very many pages take their list of removed branches by broadcast
+while the lists together are small (LISTS_BYTES), else by a join that Spark splits.
+
+Text: character references decoded, white space within a block turned into one space, blocks
+trimmed and joined by a line end. Elements deeper than DEPTH are judged with the one
+at that depth. Null html gives an empty text; pages without a
 host form a host of their own; repeated rows each give a row; an empty table gives
 an empty table; further columns are ignored.
 """
@@ -35,9 +42,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table, with_groups
+from .common import HOT, materialize, table, with_groups
 
-MIN_PAGES, IMPORTANCE = 8, 0.3
+IMPORTANCE, EVIDENCE, DEPTH, LISTS_BYTES = 0.3, 0.25, 40, 32 << 20
 
 TOKEN = re.compile(r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</([a-zA-Z][^\s>/]*)[^>]*>|<([a-zA-Z][^\s>/]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -49,7 +56,9 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
 #: Elements whose end tag closes all that is open within them, and past which an inline end tag does not reach.
 HOLDS = BLOCK - {"p", "hr"}
 FLOW = set("article main h1 h2 h3 h4 h5 h6 p b i em strong a span ul ol li dl dt dd blockquote pre code table thead tbody tfoot tr td th figure figcaption section div sup sub small u br q cite mark".split())
-DROPPED = set("nav aside footer form button select menu dialog object svg canvas audio video applet head map datalist".split())
+#: Elements that hold no text of the page, and those that say what they are.
+NO_TEXT = RAW | set("button select dialog object svg canvas audio video applet head map datalist".split())
+CHROME = set("nav aside footer form menu".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 SIGNS = set("ad ads adv advert adverts advertisement advertising adsense adbox adslot banner banners sponsor sponsored sponsors promo promos promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar cookie cookies consent gdpr notice notices notification disclaimer popup modal overlay newsletter subscribe subscription signup login search comment comments disqus respond replies reply share sharing social related recommended recommendations widget widgets toolbar pagination pager copyright paywall".split())
 #: What holds a page's text: neither words of its classes nor its role remove it.
@@ -57,42 +66,63 @@ WHOLE = {"html", "body", "main", "article"}
 #: Which open elements a start tag closes, up to an element that holds them.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 
-_paths: dict[tuple, int] = {}
-
-
-def path_id(above: int, name: str) -> int:
-    """A 63-bit name of the element `name` under the path `above`."""
-    key = (above, name)
-    if key not in _paths:
-        if len(_paths) > 200_000:
-            _paths.clear()
-        _paths[key] = int.from_bytes(hashlib.blake2b(f"{above}/{name}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
-    return _paths[key]
-
-
 def hash_of(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
 
 
 class Element:
-    __slots__ = ("children", "first", "plain", "path", "region", "tag", "gone")
+    __slots__ = ("up", "tag", "name", "marked", "region", "plain", "depth", "children", "holds", "path")
 
-    def __init__(self, tag: str, path: int, gone: bool, region: str, plain: bool, first: int):
-        self.tag, self.path, self.gone, self.region, self.plain, self.first, self.children = tag, path, gone, region, plain, first, []
+    def __init__(self, up: Element | None, tag: str, name: str, marked: bool, region: str, plain: bool):
+        self.up, self.tag, self.name, self.marked, self.region, self.plain = up, tag, name, marked, region, plain
+        self.depth = up.depth + 1 if up else 0
+        self.children: list[str] = []
+        #: Whether the page's article lies in it; its place in the tree.
+        self.holds, self.path = False, ""
 
 
 class Page:
-    """One pass over a page: its pieces of text in order with their block and region, and its elements."""
-
-    def __init__(self, html: str, removed: frozenset[int] | set[int] = frozenset(), watch: bool = False):
-        self.removed, self.watch = removed, watch
-        self.block = 0
-        #: (block, region, text) of what is not removed; region: "article", "main" or "".
-        self.pieces: list[tuple[int, str, str]] = []
-        #: Of each path: sums of the hashes of presentations and of contents.
-        self.seen: dict[int, list[int]] = {}
-        self.stack = [Element("", 0, False, "", False, 0)]
+    """One pass over a page: its pieces of text in order with their block and element, and its elements with their paths."""
+
+    def __init__(self, html: str):
+        self.block, self.hidden = 0, 0
+        self.elements = [Element(None, "", "", False, "", False)]
+        self.stack = [self.elements[0]]
+        self.pieces: list[tuple[int, Element, str]] = []
         self._walk(html)
+        self._name()
+
+    def _name(self) -> None:
+        """Paths of all elements, once it is known whether the page has an article or a main element."""
+        regions = {e.region for _, e, text in self.pieces if e.region and not text.isspace()}
+        self.wanted = "article" if "article" in regions else "main" if "main" in regions else ""
+        for e in reversed(self.elements):
+            e.holds = e.holds or bool(self.wanted) and e.region == self.wanted
+            if e.holds and e.up:
+                e.up.holds = True
+        for e in self.elements:
+            if e.up is None:
+                e.path = self.wanted or "page"
+            elif e.depth > DEPTH:
+                e.path = e.up.path
+            else:
+                outside = self.wanted and not e.holds and e.up.holds and e.up.region != self.wanted
+                e.path = f"{e.up.path}/{e.name}{'!' * e.marked}{'~' * bool(outside)}"
+
+    def place(self, e: Element) -> str:
+        """Where an element's own text stands in the tree; beside an article it is a branch of its own."""
+        return f"{e.path}/#text~" if self.wanted and e.holds and e.region != self.wanted else e.path
+
+    def seen(self) -> dict[str, tuple[int, list[int]]]:
+        """Of each path: a hash of its elements' presentations (0 for none), and the features of its text."""
+        styles: dict[str, int] = {}
+        features: dict[str, set[int]] = {}
+        for e in self.elements[1:]:
+            styles[e.path] = (styles.get(e.path, 0) + (hash_of(" ".join(e.children)) if e.children else 0)) & (1 << 62) - 1
+        for _, e, text in self.pieces:
+            if own := " ".join(text.split()):
+                features.setdefault(self.place(e), set()).add(hash_of(own))
+        return {path: (styles.get(path, 0), sorted(features.get(path, ()))) for path in styles.keys() | features.keys()}
 
     def _walk(self, html: str) -> None:
         at, n = 0, len(html)
@@ -120,18 +150,14 @@ class Page:
             self._pop()
 
     def _text(self, text: str, decode: bool = True) -> None:
-        top = self.stack[-1]
-        if not top.gone:
-            self.pieces.append((self.block, top.region, unescape(text) if decode and "&" in text else text))
+        if not self.hidden:
+            self.pieces.append((self.block, self.stack[-1], unescape(text) if decode and "&" in text else text))
 
     def _pop(self) -> None:
         e = self.stack.pop()
         if e.tag in BLOCK:
             self.block += 1
-        if self.watch and not e.gone and not e.plain:
-            own = self.seen.setdefault(e.path, [0, 0])
-            own[0] = (own[0] + hash_of(" ".join(e.children))) & (1 << 62) - 1
-            own[1] = (own[1] + hash_of(" ".join("".join(x[2] for x in self.pieces[e.first :]).split()))) & (1 << 62) - 1
+        self.hidden -= e.name == ""
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in VOID:
@@ -158,27 +184,28 @@ class Page:
                     break
         up = self.stack[-1]
         up.children.append(tag)
-        name, gone, classed = tag, up.gone, False
-        if attributes and not gone:
+        name, marked, hidden, region = tag, tag in CHROME or tag == "header" and not up.region, tag in NO_TEXT or self.hidden > 0, ""
+        classed = False
+        if attributes and not hidden:
             held = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
+            role = held.get("role", "").lower()
             mark = f"{held.get('class', '')} {held.get('id', '')}".strip()
             if mark:
                 classed = True
-                name = f"{tag}.{' '.join(sorted(held.get('class', '').split()))}"
+                name = f"{tag}.{' '.join(sorted(held.get('class', '').split()))}".replace("/", "|")
                 words = {w.lower() for w in WORD.findall(unescape(mark))}
-                gone = tag not in WHOLE and (bool(words & SIGNS) or "header" in words and not up.region)
-            role = held.get("role", "").lower()
-            gone = gone or tag not in WHOLE and role in ROLES or "hidden" in held or held.get("aria-hidden", "").lower() == "true" or "display:none" in held.get("style", "").replace(" ", "").lower()
+                marked = marked or tag not in WHOLE and (bool(words & SIGNS) or "header" in words and not up.region)
+            marked = marked or tag not in WHOLE and role in ROLES
+            hidden = "hidden" in held or held.get("aria-hidden", "").lower() == "true" or "display:none" in held.get("style", "").replace(" ", "").lower()
             region = "main" if role == "main" else ""
-        else:
-            region = ""
-        gone = gone or tag in DROPPED or tag in RAW or tag == "header" and not up.region
-        path = path_id(up.path, name)
         region = "article" if tag == "article" or up.region == "article" else "main" if tag == "main" or region or up.region == "main" else ""
         # Plain flow of an article: neither it nor anything between it and the article has a class.
         plain = tag == "article" or up.plain and tag in FLOW and not classed
-        gone = gone or not plain and path in self.removed
-        self.stack.append(Element(tag, path, gone, region, plain, len(self.pieces)))
+        e = Element(up, tag, "" if hidden else name, marked, region, plain)
+        self.hidden += hidden
+        if not hidden:
+            self.elements.append(e)
+        self.stack.append(e)
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
@@ -191,12 +218,19 @@ class Page:
         if tag in BLOCK:
             self.block += 1
 
-    def text(self) -> str:
-        regions = {region for _, region, text in self.pieces if region and not text.isspace()}
-        wanted = "article" if "article" in regions else "main" if "main" in regions else None
+    def text(self, removed: frozenset[str] | None = None) -> str:
+        """The text without the removed branches; of a page seen alone (None), without the marked ones."""
+        gone: dict[str, bool] = {}
+
+        def is_gone(path: str) -> bool:
+            if path not in gone:
+                up, _, name = path.rpartition("/")
+                gone[path] = (name[-1:] in ("!", "~") if removed is None else path in removed) or bool(up) and is_gone(up)
+            return gone[path]
+
         blocks: dict[int, list[str]] = {}
-        for block, region, text in self.pieces:
-            if wanted is None or region == wanted:
+        for block, e, text in self.pieces:
+            if not is_gone(self.place(e)):
                 blocks.setdefault(block, []).append(text)
         return "\n".join(x for x in (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items())) if x)
 
@@ -206,50 +240,72 @@ def host_of(url: Column) -> Column:
 
 
 def tree_rows(pages: DataFrame) -> DataFrame:
-    """(host, page, path, style, content) of each element path of pages (host, html)."""
-    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("path", pa.int64()), ("style", pa.int64()), ("content", pa.int64())])
+    """(host, page, path, plain, style, features) of each element path of pages (host, html)."""
+    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("path", pa.string()), ("plain", pa.bool_()), ("style", pa.int64()), ("features", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for host, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 html = value.as_py()
-                page = hash_of(html)
-                out += [(host, page, path, style, content) for path, (style, content) in Page(html, watch=True).seen.items()]
+                page, number = Page(html), hash_of(html)
+                plain = {e.path for e in page.elements if e.plain or e.tag in WHOLE}
+                out += [(host, number, path, path in plain, style, features) for path, (style, features) in page.seen().items()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
-    return pages.select("host", "html").mapInArrow(run, "host string, page long, path long, style long, content long")
-
-
-def unimportant(pages: DataFrame, min_pages: int = MIN_PAGES, importance: float = IMPORTANCE) -> DataFrame:
-    """(host, paths) of the branches to remove, from pages (host, html)."""
-    rows = tree_rows(pages).distinct()
-    counts = rows.groupBy("host", "path", "style", "content").agg(F.count(F.lit(1)).alias("c"))
-    counts = materialize(counts, "style-tree")
-
-    def entropy(of: str) -> DataFrame:
-        each = counts.groupBy("host", "path", of).agg(F.sum("c").alias("c"))
-        # -sum(p log p) / log m, with p = c / m: (log m - sum(c log c) / m) / log m
-        return each.groupBy("host", "path").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.log("c")).alias("s")).select("host", "path", "m", F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0).alias(of))
-
-    both = entropy("style").join(entropy("content").drop("m"), ["host", "path"])
-    low = both.where((F.col("m") >= min_pages) & ((F.col("style") + F.col("content")) / 2 < importance))
-    return low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-
-
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, importance: float = IMPORTANCE) -> DataFrame:
+    return pages.select("host", "html").mapInArrow(run, "host string, page long, path string, plain boolean, style long, features array<long>")
+
+
+def importances(pages: DataFrame) -> DataFrame:
+    """(host, path, plain, importance) of each branch of the tree, evidence included, from pages (host, html)."""
+    rows = materialize(tree_rows(pages).distinct(), "style-tree")
+    n, sums = F.count(F.lit(1)).alias("c"), lambda a, b: [F.sum("c").alias(a), F.sum(F.col("c") * F.log("c")).alias(b)]
+    styles = rows.groupBy("host", "path", "plain", "style").agg(n).groupBy("host", "path").agg(*sums("m", "s"), F.max("plain").alias("plain"), F.max(F.col("style") != 0).alias("inner"))
+    features = rows.select("host", "path", F.explode("features").alias("f")).groupBy("host", "path", "f").agg(n).groupBy("host", "path").agg(*sums("k", "l"))
+    nodes = styles.join(features, ["host", "path"], "left").na.fill(0, ["k", "l"])
+    entropy = F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0)
+    nodes = nodes.withColumn("weight", F.when(F.col("inner"), F.col("m")).otherwise(0)).withColumn("style", F.col("weight") * entropy)
+    # Each element counts for all branches it lies in; the tree has a row for each path, and is as small as its sites' templates.
+    depth = F.size(F.split("path", "/"))
+    up = nodes.withColumn("depth", depth).withColumn("d", F.explode(F.sequence(F.lit(1), "depth"))).withColumn("branch", F.expr("substring_index(path, '/', d)"))
+    share, own = F.pow(F.lit(0.5), F.col("depth") - F.col("d")), F.col("d") == F.col("depth")
+    branches = up.groupBy("host", "branch").agg(
+        F.max(F.when(own, F.col("m"))).alias("m"), F.max(F.when(own, F.col("plain"))).alias("plain"), F.sum("k").alias("k"), F.sum("l").alias("l"),
+        F.sum(F.col("weight") * share).alias("weight"), F.sum(F.col("style") * share).alias("style"),
+    ).where("m is not null")
+    presentation = F.coalesce(F.try_divide("style", "weight"), F.lit(0.0))
+    content = F.when(F.col("m") > 1, F.coalesce(1 - F.try_divide("l", F.col("k") * F.log("m")), F.lit(0.0))).otherwise(1.0)
+    found = 1 - (1 - presentation) * (1 - F.greatest(content, F.lit(0.0)))
+    trusted = 1 - (1 - F.lit(1.0) / F.col("m")) * (1 - found)
+    name = F.substring_index("branch", "/", -1)
+    marks = F.when(name.rlike("!~?$"), EVIDENCE).otherwise(1.0) * F.when(name.endswith("~"), EVIDENCE).otherwise(1.0)
+    # Plain flow of an article stays whatever its entropy.
+    return branches.select("host", F.col("branch").alias("path"), "plain", (F.when(F.col("plain"), 1.0).otherwise(trusted) * marks).alias("importance"))
+
+
+def unimportant(pages: DataFrame, importance: float = IMPORTANCE) -> DataFrame:
+    """(host, paths) of the branches to remove, the topmost ones, from pages (host, html)."""
+    low = materialize(importances(pages).where(F.col("importance") < importance).select("host", "path"), "low")
+    below = low.select("host", F.concat("path", F.lit("/")).alias("above"))
+    parent = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)))")
+    top = low.withColumn("above", parent).join(below, ["host", "above"], "left_anti")
+    return top.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+
+
+def main_text(pages: DataFrame, importance: float = IMPORTANCE) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages (page_id, url, html)."""
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    lists = materialize(sizes.join(unimportant(rows, min_pages, importance), "host"), "branches")
+    lists = materialize(sizes.join(unimportant(rows, importance), "host"), "branches")
     total = sizes.agg(F.sum("n").alias("n")).first().n or 0
-    joined = rows.withColumn("paths", F.lit(None).cast("array<bigint>")) if lists.isEmpty() else with_groups(rows, lists, ["host"], total, outer=True)
+    hot = lists.where(F.col("n") > total / HOT).agg(F.sum(F.length(F.array_join("paths", " "))).alias("n")).first().n or 0
+    joined = with_groups(rows, lists, ["host"], total, outer=True) if hot <= LISTS_BYTES else rows.join(lists.hint("merge"), "host", "left")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(html.as_py(), frozenset(paths or ())).text() for html, paths in zip(batch.column(2), batch.column(3).to_pylist())]
+            texts = [Page(html.as_py()).text(frozenset(paths or ())) for html, paths in zip(batch.column(2), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema=schema)
 
     return joined.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", "paths").mapInArrow(run, "page_id long, url string, text string, n_chars long")
