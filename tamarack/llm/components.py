@@ -29,16 +29,15 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min(priority("v")).alias("best")).select("u", F.least("best", priority("u"))["node"].alias("parent"))
         parents = materialize(nearest, "parents")
-        pointed = parents.hint("merge")
-        once = edges.join(pointed, "u").select(F.col("parent").alias("a"), F.col("v").alias("u"))
-        twice = once.join(pointed, "u").select(F.least("a", "parent").alias("u"), F.greatest("a", "parent").alias("v"))
+        once = edges.join(parents, "u").select(F.col("parent").alias("a"), F.col("v").alias("u"))
+        twice = once.join(parents, "u").select(F.least("a", "parent").alias("u"), F.greatest("a", "parent").alias("v"))
         if nodes is None:
             nodes = parents.select(F.col("u").alias("node"), F.col("parent").alias("at"))
         else:
-            moves = pointed.withColumnRenamed("u", "at")
+            moves = parents.withColumnRenamed("u", "at")
             nodes = materialize(nodes.join(moves, "at", "left").select("node", F.coalesce("parent", "at").alias("at")), "nodes")
         edges = materialize(twice.where("u != v").distinct(), "edges")
     if nodes is None:
         return links.select(F.col("u").alias("node"), F.col("u").alias("root")).where("false")
     roots = nodes.groupBy("at").agg(F.min("node").alias("root"))
-    return nodes.join(roots.hint("merge"), "at").select("node", "root")
+    return nodes.join(roots, "at").select("node", "root")

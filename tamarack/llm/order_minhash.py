@@ -17,19 +17,16 @@ over the words of the longer text, and pairs of `least` or more are linked. A pa
 that shares `least` of its k-mers has more than that of its words; such pairs are
 all found, with the probability above, and less alike ones where they meet.
 
-No bucket is expanded into its pairs. Equal texts are one text. In a bucket every
+No bucket is expanded into pair rows. Equal texts are one text. In a bucket every
 text is first compared with its leader, the text of least priority (a hash) in it, so
 that one text leads most buckets it is in; the texts of most buckets then lie in one
-component, and are done. Where texts of different components have met a leader, they
-are dealt anew, by an exact filter: two texts within 1 - `least` edits share all but
-that part of their words, so that in any order of words they share one of the first
-(1 - `least`) * size + 1. The order takes words that the leader lacks first, and of
-those rare ones (by counts over all these texts, in SLOTS slots): a passage that very
-many texts share comes last, and does not bring them together again. Groups of such a
-word are compared in blocks, of about BLOCK texts a group in the first round and twice
-as many in each one after, only between components, until none is left; so every two
-texts of a bucket either lie in one component, or have been compared, or cannot be
-alike.
+component, and are done. Where texts of different components have met a leader, all of
+its texts are compared with each other, in blocks of BLOCK texts of like size: two
+blocks are one row, and a bound by the counts of words in BINS bins, an exact one, is
+taken for all their pairs at once. Only pairs within that bound are written and
+aligned; so every two texts of a bucket either lie in one component, or have been
+compared, or cannot be alike. For many texts that share a leader and are all unlike,
+the bound's work (under a microsecond a pair) grows with the square of their number.
 
 Null texts count as empty, and empty texts equal one another; a null doc_id sorts
 before all others; rows that repeat a doc_id are grouped by their texts under that
@@ -54,10 +51,8 @@ from .wordhash import OF_WORDS, Words, mix, parts, prefixes, spans
 KMER, LEAST_ALIKE, SAMPLE, BANDS = 5, 0.8, 5, 32
 #: Texts of at most so many labels have SHORT_BANDS more sketches of two labels, and each label as one.
 SHORT, SHORT_BANDS = 24, 16
-#: Texts a group that the first round of blocks compares with all others of it.
-BLOCK = 32
-#: Bins of the words of two texts, by which pairs that cannot be alike are left out of the alignment; slots in which words are counted.
-BINS, SLOTS = 1024, 1 << 16
+#: Texts of a block, and bins in which words are counted to tell pairs that cannot be alike.
+BLOCK, BINS = 256, 1024
 NO_ID = -(2**63)
 
 
@@ -69,11 +64,7 @@ def labels_of(hashes: np.ndarray) -> np.ndarray:
         starts = np.arange(len(hashes) - KMER + 1)
         ends = starts + KMER
     sums, down = prefixes(hashes, OF_WORDS)
-    return labelled(spans(sums, down, starts, ends))
-
-
-def labelled(kmers: np.ndarray) -> np.ndarray:
-    """Each value with how often it has occurred before, as one hash; no two are equal."""
+    kmers = spans(sums, down, starts, ends)
     order = np.argsort(kmers, kind="stable")
     sorted_ = kmers[order]
     new = np.ones(len(kmers), bool)
@@ -261,96 +252,88 @@ def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return with_words(pairs, words).select("u", "v", "own", "theirs").mapInArrow(run, "u long, v long")
 
 
-def rarity(words: DataFrame) -> np.ndarray:
-    """For each of SLOTS slots, the rounded logarithm of how many words of the table (id, words) fall in it; SLOTS rows at most reach the driver."""
+def binned(words: DataFrame) -> DataFrame:
+    """(id, bins) of a table (id, words): how many words fall in each bin, 255 at most, a byte each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                counts += np.bincount((np.frombuffer(x.as_buffer(), np.uint64) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
-
-    out = np.zeros(SLOTS, np.uint8)
-    sums = words.select("words").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out[sums.slot.to_numpy(np.int64)] = np.log2(sums.n.to_numpy(np.float64)).astype(np.uint8)
-    return out
+            counts = (np.bincount((np.frombuffer(x.as_buffer(), np.uint64) & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS) for x in batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in counts], pa.binary())], names=["id", "bins"])
 
+    return words.select("id", "words").mapInArrow(run, "id long, bins binary")
 
-def rarest(own: np.ndarray, theirs: np.ndarray, least: float, rare: np.ndarray) -> np.ndarray:
-    """Of own words, labelled by occurrence, the first so many that texts alike share one: words that `theirs` lacks first, then rare ones."""
-    labels = labelled(own)
-    order = np.lexsort((labels, rare[(own & np.uint64(SLOTS - 1)).astype(np.int64)], np.isin(labels, labelled(theirs))))
-    return labels[order[: len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1]]
+
+def in_bound(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which rows of a and b (counts in bins) may be within `most` (a row for each of a) edits; see `unlike`."""
+    size_a, size_b = (x.sum(1, dtype=np.int64) for x in (a, b))
+    out = np.empty((len(a), len(b)), bool)
+    for k in range(len(a)):
+        either = np.maximum(a[k], b).sum(1, dtype=np.int64)
+        out[k] = either - np.minimum(size_a[k], size_b) <= most[k]
+    return out
 
 
-def dealt_anew(met: DataFrame, words: DataFrame, least: float) -> DataFrame:
-    """(id, size, key) of the texts u that have met a leader v, met (u, v, size): a row for each word by which u can meet another text alike."""
-    rare = rarity(words)
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int32()), ("key", pa.int64())])
+def may_be_alike(met: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """Pairs (u, v), u < v, of different roots among the texts that share a leader, whose counts of words allow `least`; met: leader, id, size, root."""
+    # Texts alike lie in one class of sizes or in neighbouring ones.
+    sized = met.withColumn("kind", F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / (1.001 * float(np.log(1 / least)))).cast("int"))
+    many = sized.groupBy("leader", "kind").agg(F.count(F.lit(1)).alias("n"))
+    dealt = sized.join(many, ["leader", "kind"]).withColumn("number", F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")))
+    held = dealt.join(binned(words.join(met.select("id").distinct(), "id", "left_semi")).hint("merge"), "id")
+    blocks = held.groupBy("leader", "kind", "number").agg(F.collect_list(F.struct("id", "size", "root", "bins")).alias("texts"))
+    blocks = materialize(blocks, "blocks")
+    one, other = (blocks.select("leader", F.col("kind").alias(f"kind{k}"), F.col("number").alias(f"number{k}"), F.col("texts").alias(f"texts{k}")) for k in "12")
+    meet = one.join(other.hint("merge"), "leader").where("kind2 = kind1 and number2 >= number1 or kind2 = kind1 + 1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
-            for v, a, b in zip(batch.column(1).to_pylist(), batch.column(3), batch.column(4)):
-                own, theirs = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                keys.append(mix(rarest(own, theirs, least, rare) ^ np.uint64(v % 2**64)))
-            if keys:
-                many = [len(x) for x in keys]
-                ids, sizes = (np.repeat(batch.column(c).to_numpy(), many) for c in (0, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys).view(np.int64))], schema=schema)
+            for pair in zip(batch.column(0), batch.column(1)):
+                (ids, sizes, roots, bins), (ids_2, sizes_2, roots_2, bins_2) = (
+                    (*(x.values.field(c).to_numpy() for c in ("id", "size", "root")), np.frombuffer(b"".join(x.values.field("bins").to_pylist()), np.uint8).reshape(-1, BINS)) for x in pair
+                )
+                large = np.maximum(sizes[:, None], sizes_2)
+                may = (np.minimum(sizes[:, None], sizes_2) >= least * large) & (roots[:, None] != roots_2)
+                at = np.flatnonzero(may.any(1))
+                may[at] &= in_bound(bins[at], bins_2, (1 - least) * large[at] + 1e-9)
+                i, j = np.nonzero(may)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids_2[j])), pa.array(np.maximum(ids[i], ids_2[j]))], names=["u", "v"])
 
-    return with_words(met, words).select("u", "v", "size", "own", "theirs").mapInArrow(run, "id long, size int, key long")
+    return meet.select("texts1", "texts2").mapInArrow(run, "u long, v long").distinct()
 
 
 def links_of(texts: DataFrame, words_of, least: float) -> DataFrame:
     """(node, root) of texts that are linked to any; texts: id, size (words), keys; words_of: a table of ids -> (id, words)."""
     spark = texts.sparkSession
-    count = F.count(F.lit(1)).alias("n")
-    fits = lambda a, b: F.least(a, b) >= least * F.greatest(a, b)
     rows = texts.select("id", "size", F.explode("keys").alias("key"))
-    first = rows.groupBy("key").agg(count, F.min(F.struct(priority("id").alias("p"), "size")).alias("l")).where("n > 1")
+    first = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(priority("id").alias("p"), "size")).alias("l")).where("n > 1")
     leaders = materialize(first.select("key", F.col("l.p.node").alias("v"), F.col("l.size").alias("leader_size")), "leaders")
     met = rows.join(leaders.hint("merge"), "key").where("id != v").select(F.col("id").alias("u"), "v", "size", "leader_size")
     met = materialize(met.distinct(), "met")
     sweep(spark)
     needed = met.select(F.col("u").alias("id")).unionByName(met.select(F.col("v").alias("id"))).distinct()
     words = materialize(words_of(needed), "words")
-    links = materialize(verified(met.where(fits("size", "leader_size")).select("u", "v"), words, least), "links")
+    fit = met.where(F.least("size", "leader_size") >= least * F.greatest("size", "leader_size")).select("u", "v")
+    links = materialize(verified(fit, words, least), "links")
     found = materialize(components(links), "components")
     sweep(spark)
 
     def placed(some: DataFrame, node: str) -> DataFrame:
         """some with the root of a node."""
-        return some.join(found.select(F.col("node").alias(node), "root").hint("merge"), node, "left").withColumn("root", F.coalesce("root", node))
+        return some.join(found.select(F.col("node").alias(node), "root"), node, "left").withColumn("root", F.coalesce("root", node))
 
-    # Leaders that texts of more than one component have met.
-    members = met.select("v", "u").unionByName(met.select("v", F.col("v").alias("u")).distinct())
-    mixed = placed(members, "u").groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("v")
-    again = materialize(met.join(mixed.hint("merge"), "v", "left_semi").select("u", "v", "size"), "met-again")
+    # Leaders that texts of more than one component have met, their own included.
+    met = materialize(placed(met.select(F.col("v").alias("leader"), F.col("u").alias("id"), "size"), "id"), "met-placed")
+    roots = met.groupBy("leader").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = placed(roots, "leader").where("least(low, root) < greatest(high, root)").select("leader")
+    again = materialize(met.join(mixed, "leader", "left_semi"), "met-again")
     if again.isEmpty():
         return found
-    rows = dealt_anew(again, words, least)
-    shared = rows.groupBy("key").agg(count).where("n > 1")
-    rows = materialize(rows.join(shared.hint("merge"), "key"), "dealt-anew")
+    pairs = materialize(may_be_alike(again, words, least), "pairs")
     sweep(spark)
-    number = 0
-    while True:
-        at = placed(rows, "id")
-        open_ = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        rows = materialize(at.drop("root").join(open_.hint("merge"), "key", "left_semi").where(f"n div {BLOCK} >= {2**number - 1}"), "open-rows")
-        if rows.isEmpty():
-            return found
-        at = materialize(placed(rows, "id"), "placed")
-        turn = at.where(F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")).between(2**number - 1, 2 ** (number + 1) - 2))
-        others = turn.select("key", F.col("id").alias("v"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-        pairs = at.join(others.hint("merge"), "key").where(fits("size", "other_size") & (F.col("root") != F.col("other_root")))
-        pairs = materialize(pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct(), "pairs")
-        links = verified(pairs, words, least).unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        found = materialize(components(materialize(links, "links")), "components")
-        number += 1
-        sweep(spark)
+    more = materialize(verified(pairs, words, least), "links")
+    if more.isEmpty():
+        return found
+    return materialize(components(more.unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))), "components")
 
 
 def near_groups(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
@@ -363,16 +346,16 @@ def near_groups(docs: DataFrame, least: float = LEAST_ALIKE) -> DataFrame:
     texts = materialize(each.withColumn("name", F.monotonically_increasing_id()), "texts")
 
     def words_of(names: DataFrame) -> DataFrame:
-        wanted = texts.select("name", "id", "text_key").join(names.withColumnRenamed("id", "name").hint("merge"), "name")
+        wanted = texts.select("name", "id", "text_key").join(names.withColumnRenamed("id", "name"), "name")
         wanted = materialize(wanted, "wanted")
         some = likely(own, wanted, ["id", "text_key"])
         return word_table(one_each(some.join(wanted.hint("merge"), ["id", "text_key"]), ["id", "text_key"]).select(F.col("name").alias("id"), "text"))
 
     roots = links_of(texts.select(F.col("name").alias("id"), "size", "keys"), words_of, least)
-    of_text = texts.select("name", "id", "text_key", "n").join(roots.withColumnRenamed("node", "name").hint("merge"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    of_text = texts.select("name", "id", "text_key", "n").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     of_text = materialize(of_text, "text-classes")
     classes = of_text.groupBy("root").agg(F.sum("n").alias("class_size"), F.min(F.struct("id", "text_key")).alias("least"))
-    classed = of_text.join(classes.hint("merge"), "root").select("text_key", "n", "class_size", F.col("least.id").alias("class_id"), F.col("least.text_key").alias("class_key"))
+    classed = of_text.join(classes, "root").select("text_key", "n", "class_size", F.col("least.id").alias("class_id"), F.col("least.text_key").alias("class_key"))
     out = with_groups(sketches.select("id", "text_key"), materialize(classed, "classed"), ["text_key"], sketches.count())
     kept = (F.col("id") == F.col("class_id")) & (F.col("text_key") == F.col("class_key"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))

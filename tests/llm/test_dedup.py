@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.components import components
 from tamarack.llm.exact_dedup import drop_copies, exact_groups
-from tamarack.llm.order_minhash import aligned, band_keys, drop_near_copies, each_words, edits, labels_of, near_groups
+from tamarack.llm.order_minhash import BINS, aligned, band_keys, drop_near_copies, each_words, edits, in_bound, labels_of, near_groups
 from tamarack.llm.substring_dedup import remove_repeats, repeated_words
 from tamarack.llm.wordhash import mix
 
@@ -180,3 +180,35 @@ def test_short_texts_meet_by_one_label(spark):
     texts = [" ".join([*words(300 + k, 5, 9000), end]) for k in range(40) for end in ("this", "that")]
     got = {r.doc_id: r.class_id for r in near_groups(documents(spark, texts)).collect()}
     assert got == {k: k - k % 2 for k in range(80)}
+
+
+def test_bound_leaves_out_no_pair_alike():
+    import random
+
+    rng = random.Random(8)
+    for _ in range(60):
+        base = [rng.randrange(1, 60) for _ in range(rng.choice([5, 40, 600]))]
+        texts = [[rng.randrange(1, 60) if rng.random() < p else x for x in base] for p in (0, 0.05, 0.15, 0.3, 1)] + [base * 3]
+        hashes = [mix(np.array(x, np.uint64)) for x in texts]
+        bins = np.array([np.minimum(np.bincount((h & np.uint64(BINS - 1)).astype(int), minlength=BINS), 255) for h in hashes], np.uint8)
+        sizes = np.array([len(x) for x in texts])
+        for k, x in enumerate(texts):
+            may = in_bound(bins[k : k + 1], bins, np.array([0.2 * max(len(x), 1) + 1e-9]))[0]
+            assert all(may[m] or distance(x, y) > 0.2 * len(x) for m, y in enumerate(texts) if sizes[m] <= sizes[k])
+
+
+def test_names_of_further_columns_may_clash(spark):
+    texts = ["a b c", "a b c", "A b c", " ".join(words(5, 90)), " ".join(words(5, 90)) + " end", None]
+    docs = documents(spark, texts).withColumnsRenamed({"id": "__id", "n": "__n"})
+    docs = docs.withColumns({c: F.concat(F.lit(c), "doc_id") for c in ("__key", "__sha", "__runs", "row", "key", "sha", "__slot", "__block", "a.b")})
+    for drop in (drop_copies, drop_near_copies, remove_repeats):
+        got = drop(docs).collect()
+        assert got and drop(docs).columns == docs.columns
+        assert all(r["__id"] == "x" and r["__n"] == 1 and all(r[c] == f"{c}{r.doc_id}" for c in docs.columns[7:]) for r in got)
+
+
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (3, "a b"), (None, "c")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.text) for r in drop_copies(docs).collect()) == [("3", "a b"), ("None", "c")]
+    assert sorted((str(r.doc_id), r.text) for r in drop_near_copies(docs).collect()) == [("None", "a b"), ("None", "c")]
+    assert len(remove_repeats(docs).collect()) == 4
