@@ -31,10 +31,10 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, sweep, table, with_groups
+from .common import materialize, nested, sweep, table, with_groups
 from .wordhash import OF_WORDS, OF_WORDS_TOO, Words, parts, prefixes, spans
 
 WINDOW = 50
@@ -103,9 +103,12 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("id", "text_key", "text", "runs").mapInArrow(run, "a long, b long, id long, text_key long, pos int")
 
 
+def key_columns() -> list[Column]:
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return docs.select(*key_columns(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def removed_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -180,11 +183,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A text without repeats stays as it is, a null text null; of others the words that stay are joined by one space.
     """
-    own = keyed(docs)
-    gone = removed_runs(own, window).select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), F.col("runs").alias("__runs"))
-    id_of = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
-    key_of = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    joined = docs.join(gone, (id_of == F.col("__id")) & (key_of == F.col("__key")), "left").drop("__id", "__key")
+    rows = nested(docs, *key_columns())
+    gone = removed_runs(keyed(docs), window)
+    joined = rows.join(gone, ["id", "text_key"], "left").select("row", "runs")
 
     @F.pandas_udf("string")
     def cut(text, runs):
@@ -199,10 +200,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 out.append(b" ".join(compress(words, mask(len(words), r, window).tolist())).decode())
         return pd.Series(out)
 
-    changed = joined.withColumn("text", F.when(F.col("__runs").isNull(), F.col("text")).otherwise(cut("text", "__runs")))
+    new = F.col("row").withField("text", cut("row.text", "runs"))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("__runs").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return changed.select(*docs.columns)
+        new = new.withField("n_chars", F.length(new["text"]).cast(docs.schema["n_chars"].dataType))
+    return joined.select(F.when(F.col("runs").isNull(), F.col("row")).otherwise(new).alias("row")).select("row.*")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
