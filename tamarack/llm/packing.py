@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import bisect
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,7 +42,10 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     step, end = 4 * capacity, struct.pack("<I", end_id)
 
     def as_bytes(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        own = array("I", ids)
+        if sys.byteorder == "big":
+            own.byteswap()
+        return own.tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out = encoder(vocabulary, as_bytes, "u4", cache_units), []

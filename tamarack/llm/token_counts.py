@@ -13,16 +13,18 @@ columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blocks, table, unit_keys, unit_text
 
-#: Units a worker remembers, and bytes of text given to one call of the library.
+#: Units a worker remembers, bytes of text given to one call of the library.
 CACHE_UNITS, BATCH_BYTES, BLOCK_CHARS = 1_000_000, 256_000, 64_000
 
 
@@ -41,23 +43,47 @@ def lower_latin(text: str) -> str:
     return text.lower()
 
 
+class Known(dict):
+    """Values of units, in two generations of at most half of `limit` and a group: the older one goes when the younger is full.
+
+    A lookup of what neither has gives None and is noted in `new`.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.old, self.new = limit, {}, []
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            self.new.append(key)
+        else:
+            self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.limit // 2:
+            self.old = self.copy()
+            self.clear()
+
+
 class UnitEncoder:
     """Encodes units through a `tokenizers` vocabulary and keeps value(ids) of each; values of parts must add up."""
 
     def __init__(self, path: str, value, cache_units: int = CACHE_UNITS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.value, self.cache_units = Tokenizer.from_file(path), value, cache_units
+        self.tokenizer, self.value = Tokenizer.from_file(path), value
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, object] = {}
+        self.known = Known(cache_units)
 
     def encode(self, texts: list[str]) -> list:
         """value(ids) of each text, in library calls of about BATCH_BYTES."""
         out, batch, size = [], [], 0
         for t in texts:
             batch.append(t)
-            size += len(t)
+            size += len(t.encode())
             if size >= BATCH_BYTES:
                 out += [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
                 batch, size = [], 0
@@ -65,55 +91,64 @@ class UnitEncoder:
             out += [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
         return out
 
-    def learn(self, units: set[str], spaced: bool) -> None:
-        new = units.difference(self.known)
-        if len(self.known) + 2 * len(new) > self.cache_units:
-            self.known.clear()
-            new = set(units)
+    def learn(self, spaced: bool) -> None:
+        """Encodes the units noted as new."""
+        known = self.known
+        new = set(known.new)
+        known.new.clear()
         if spaced:
-            self.known.update(zip(new, self.encode([unit_text(u) for u in new])))
+            known.update(zip(new, self.encode([unit_text(u) for u in new])))
             return
         # A word and the signs after it are encoded apart: most words are known without them.
         apart = {u: m.groups() for u in new if (m := WORD_AND_SIGNS(u))}
-        whole = list({x for both in apart.values() for x in both}.union(new.difference(apart)).difference(self.known))
-        self.known.update(zip(whole, self.encode(whole)))
-        self.known.update((u, self.known[a] + self.known[b]) for u, (a, b) in apart.items())
+        for x in {x for both in apart.values() for x in both}.union(new.difference(apart)):
+            known[x]  # notes what is new
+        whole = list(dict.fromkeys(known.new))
+        known.new.clear()
+        known.update(zip(whole, self.encode(whole)))
+        known.update((u, known[a] + known[b]) for u, (a, b) in apart.items())
 
     def parts(self, texts: list[str], spaced: bool) -> Iterator[list[list]]:
         """For each text the values of its parts, a list for each block of it; units new to the worker are encoded together.
 
         spaced: units keep the white space before them (byte-level vocabularies); else it only separates.
         """
-        cut = [[(b, unit_keys(b) if spaced else lower_latin(b).replace("\n", " ").split(" ")) for b in blocks(t, 1 << 20)] for t in texts]
-        units: set[str] = set()
-        for text in cut:
-            for _, keys in text:
-                if keys:
-                    units.update(keys)
-        if not units.issubset(self.known.keys()):
-            self.learn(units, spaced)
         value = self.known.__getitem__
-        for text in cut:
+        self.known.turn()
+        cut = []
+        for t in texts:
+            own = []
+            for block in blocks(t, 1 << 20):
+                keys = unit_keys(block) if spaced else lower_latin(block).replace("\n", " ").split(" ")
+                if keys is None:
+                    own.append((block, None, None))
+                    continue
+                start = keys.pop(0) if spaced and keys[0][:1] != "\n" else None
+                own.append((start, keys, list(map(value, keys))))
+            cut.append(own)
+        if self.known.new:
+            self.learn(spaced)
+        for own in cut:
             out = []
-            for block, keys in text:
+            for block, keys, values in own:
                 if keys is None:
                     out.append(self.encode(list(blocks(block, BLOCK_CHARS))))
-                elif spaced and keys[0][:1] != "\n":
-                    out.append(self.encode(keys[:1]) + list(map(value, keys[1:])))
-                else:
-                    out.append(list(map(value, keys)))
+                    continue
+                if None in values:
+                    values = list(map(value, keys))
+                out.append(values if block is None else self.encode([block]) + values)
             yield out
 
 
-def groups(batch: pa.RecordBatch, column: int, chars: int = 1 << 20, rows: int = 500) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of successive rows of a batch with about so many characters."""
-    first, texts, size = 0, [], 0
-    for k, value in enumerate(batch.column(column)):
+def groups(batch: pa.RecordBatch, column: int, size: int = 1 << 20, rows: int = 500) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of successive rows of a batch with about so many bytes."""
+    first, texts, held = 0, [], 0
+    for k, (value, n) in enumerate(zip(batch.column(column), pc.binary_length(batch.column(column)).to_pylist())):
         texts.append(value.as_py())
-        size += len(texts[-1])
-        if size >= chars or len(texts) >= rows:
+        held += n
+        if held >= size or len(texts) >= rows:
             yield first, texts
-            first, texts, size = k + 1, [], 0
+            first, texts, held = k + 1, [], 0
     if texts:
         yield first, texts
 
