@@ -29,25 +29,32 @@ from pyspark.sql import functions as F
 
 from .common import blocks, table, unit_keys, unit_text
 
-#: Words a query takes, bytes from which a word goes by the heap, words and units that a worker remembers.
-BATCH_WORDS, LONG, CACHE_WORDS, CACHE_UNITS = 10_000, 256, 500_000, 600_000
+#: Words a query takes, rows of all its steps at most, bytes from which a word goes by the heap, words and units that a worker remembers.
+BATCH_WORDS, BATCH_ROWS, LONG, CACHE_WORDS, CACHE_UNITS = 10_000, 2_000_000, 256, 500_000, 600_000
 
+#: A row is a token at a position of word w, with the token and position after it as one number (-1 at the word's end).
+#: A step's least (rank, position, position after it) of each word is one number too; words without any are done.
 CONTRACT = """
 WITH RECURSIVE state AS (
-    SELECT w, pos, tok, 0 AS step FROM start
+    SELECT w, pos, tok, coalesce(lead((tok::BIGINT << 16) | pos) OVER (PARTITION BY w ORDER BY pos), -1) AS next, false AS done FROM start
     UNION ALL
-    SELECT p.w, p.pos, CASE WHEN p.pos = b.pos THEN b.merged ELSE p.tok END AS tok, p.step + 1 AS step
-    FROM state p JOIN (
-        SELECT w, min_by(pos, key) AS pos, min_by(npos, key) AS npos, min_by(merged, key) AS merged
+    SELECT p.w, p.pos,
+        CASE WHEN p.pos = (b.key >> 16) & 65535 THEN (b.key >> 32)::INTEGER ELSE p.tok END AS tok,
+        CASE WHEN p.pos = (b.key >> 16) & 65535 THEN b.after
+             WHEN p.next >= 0 AND p.next & 65535 = (b.key >> 16) & 65535 THEN ((b.key >> 32) << 16) | ((b.key >> 16) & 65535)
+             ELSE p.next END AS next,
+        b.key IS NULL AS done
+    FROM state p LEFT JOIN (
+        SELECT l.w, l.key, r.next AS after
         FROM (
-            SELECT s.w, s.pos, s.npos, m.merged, m.merged::BIGINT * 65536 + s.pos AS key
-            FROM (SELECT w, pos, tok, lead(pos) OVER own AS npos, lead(tok) OVER own AS ntok FROM state WINDOW own AS (PARTITION BY w ORDER BY pos)) s
-            JOIN merges m ON m.low = s.tok AND m.high = s.ntok
-        ) GROUP BY w
+            SELECT s.w, min((m.merged::BIGINT << 32) | (s.pos::BIGINT << 16) | (s.next & 65535)) AS key
+            FROM state s JOIN merges m ON m.pair = (s.tok::BIGINT << 32) | (s.next >> 16) WHERE NOT s.done AND s.next >= 0 GROUP BY s.w
+        ) l JOIN state r ON r.w = l.w AND r.pos = l.key & 65535
     ) b ON b.w = p.w
-    WHERE p.pos <> b.npos
-), fix AS (SELECT s.w, s.pos, s.tok FROM state s JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) l ON l.w = s.w AND l.step = s.step)
-SELECT w, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids FROM fix GROUP BY w
+    WHERE NOT p.done AND (b.key IS NULL OR p.pos <> b.key & 65535)
+)
+SELECT s.w, string_agg(s.tok::VARCHAR, ' ' ORDER BY s.pos) AS ids, unhex(string_agg(t.hex, '' ORDER BY s.pos)) AS bytes
+FROM state s JOIN tokens t ON t.id = s.tok WHERE s.done GROUP BY s.w
 """
 
 DECODE = """
@@ -65,22 +72,24 @@ class RecursiveBpe:
         self.split = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.bytes_of = {i: b for b, i in self.ranks.items()}
-        low, high, merged = [], [], []
+        pairs, merged = [], []
         for token, rank in self.ranks.items():
             for k in range(1, len(token)):
                 a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
                 if a is not None and b is not None:
-                    low.append(a), high.append(b), merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
-        held = pa.table({"low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32()), "merged": pa.array(merged, pa.int32())})
+                    pairs.append(a << 32 | b), merged.append(rank)
+        # Without a folder to spill to: batches are bounded instead.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "350MB", "temp_directory": ""})
+        held = pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32())})
         names = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         for name, rows in (("merges", held), ("tokens", names)):
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        #: Decimal ids and decoded text.
+        #: Decimal ids and decoded text of words; of units the one and the other.
         self.words: dict[str, tuple[str, str]] = {}
-        self.units: dict[str, tuple[str, str]] = {}
+        self.unit_ids: dict[str, str] = {}
+        self.unit_texts: dict[str, str] = {}
 
     def heap_encode(self, data: bytes) -> list[int]:
         """Leftmost least-rank contraction of one long word."""
@@ -102,8 +111,8 @@ class RecursiveBpe:
                     heapq.heappush(queue, (rank, a, len(both)))
         return [self.ranks[part[k]] for k in range(n) if alive[k]]
 
-    def query_encode(self, words: list[bytes]) -> list[str]:
-        """The decimal ids of each word by the recursive query."""
+    def query_encode(self, words: list[bytes]) -> list[tuple[str, bytes]]:
+        """The decimal ids of each word by the recursive query, and what they decode to."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         rows = pa.table({
@@ -112,9 +121,9 @@ class RecursiveBpe:
             "tok": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)],
         })
         self.db.register("start", rows)
-        out = [""] * len(words)
-        for w, ids in self.db.execute(CONTRACT).fetchall():
-            out[w] = ids
+        out = [("", b"")] * len(words)
+        for w, ids, data in self.db.execute(CONTRACT).fetchall():
+            out[w] = (ids, data)
         self.db.unregister("start")
         return out
 
@@ -144,24 +153,32 @@ class RecursiveBpe:
                 ids = " ".join(map(str, self.heap_encode(data)))
                 self.words[word] = (ids, self.decode([ids])[0].decode())
         short.sort(key=lambda x: len(x[1]))  # words of like length end after like steps
-        for at in range(0, len(short), BATCH_WORDS):
-            some = short[at : at + BATCH_WORDS]
-            found = self.query_encode([data for _, data in some])
-            for (word, data), ids, back in zip(some, found, self.decode(found)):
+        at = 0
+        while at < len(short):
+            # A step adds the rows of a word again, so that a word of n bytes has n * n / 2 rows at most.
+            upto, rows = at, 0
+            while upto < len(short) and upto - at < BATCH_WORDS and (upto == at or rows < BATCH_ROWS):
+                rows += len(short[upto][1]) ** 2 // 2
+                upto += 1
+            some = short[at:upto]
+            for (word, data), (ids, back) in zip(some, self.query_encode([data for _, data in some])):
                 self.words[word] = (ids, word if back == data else back.decode())
+            at = upto
 
     def joined(self, words: list[str]) -> tuple[str, str]:
         got = [self.words[w] for w in words]
         return " ".join([x[0] for x in got]), "".join([x[1] for x in got])
 
     def learn_units(self, keys: set[str]) -> None:
-        new = keys.difference(self.units)
-        if len(self.units) + len(new) > CACHE_UNITS:
-            self.units.clear()
+        new = keys.difference(self.unit_ids)
+        if len(self.unit_ids) + len(new) > CACHE_UNITS:
+            self.unit_ids.clear()
+            self.unit_texts.clear()
             new = keys
         split = {key: self.split(unit_text(key)) for key in new}
         self.learn_words({w for x in split.values() for w in x})
-        self.units.update((key, self.joined(x)) for key, x in split.items())
+        for key, x in split.items():
+            self.unit_ids[key], self.unit_texts[key] = self.words[x[0]] if len(x) == 1 else self.joined(x)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """(n_tokens, ids_sha256, decoded_sha256) of each text."""
@@ -175,23 +192,23 @@ class RecursiveBpe:
                     if units[0][:1] != "\n":
                         loose.update(self.split(units[0]))
                     keys.update(units)
-        if not keys.issubset(self.units.keys()):
+        if not keys.issubset(self.unit_ids.keys()):
             self.learn_units(keys)
         if not loose.issubset(self.words.keys()):
             self.learn_words(loose)
+        id_of, text_of = self.unit_ids.__getitem__, self.unit_texts.__getitem__
         for text in cut:
             ids, data, n = hashlib.sha256(), hashlib.sha256(), 0
             for block, units in text:
-                if units is None:
-                    got = [self.joined(self.split(block))]
-                elif units[0][:1] == "\n":
-                    got = list(map(self.units.__getitem__, units))
-                else:
-                    got = [self.joined(self.split(units[0])), *map(self.units.__getitem__, units[1:])]
-                if part := " ".join([x[0] for x in got if x[0]]):
+                start = None if units is not None and units[0][:1] == "\n" else self.joined(self.split(block if units is None else units[0]))
+                rest = () if units is None else units if start is None else units[1:]
+                part, back = " ".join(map(id_of, rest)), "".join(map(text_of, rest))
+                if start is not None:
+                    part, back = f"{start[0]} {part}" if start[0] and part else start[0] or part, start[1] + back
+                if part:
                     ids.update((" " + part if n else part).encode())
                     n += part.count(" ") + 1
-                data.update("".join([x[1] for x in got]).encode())
+                data.update(back.encode())
             yield n, ids.hexdigest(), data.hexdigest()
 
 
