@@ -62,9 +62,9 @@ def q30_partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {FUNNEL}, t AS (SELECT s.s_suppkey, CASE WHEN decision = 'recommended' THEN 1 WHEN decision = 'borderline' AND coalesce(context, 'unknown') <> 'non_mlb' THEN 2
     WHEN decision = 'reject' AND cf > 0 AND context <> 'non_mlb' AND status <> 'failed' AND evidence = 'insufficient' THEN 3 WHEN decision = 'reject' AND cf > 0 AND context <> 'non_mlb' AND status <> 'failed' AND evidence = 'sufficient_bad' THEN 4 END AS tier, complete, cf, s_acctbal
     FROM supplier s LEFT JOIN decided d ON s.s_suppkey = d.l_suppkey)
-SELECT s_suppkey, CAST(tier AS INT) AS tier, CAST(row_number() OVER (ORDER BY tier, CASE WHEN tier <= 2 THEN complete ELSE cf END DESC, s_acctbal DESC, s_suppkey) AS INT) AS place FROM t WHERE tier IS NOT NULL ORDER BY place LIMIT 50""")
+SELECT s_suppkey, CAST(tier AS INT) AS tier, CAST(row_number() OVER (ORDER BY tier, CASE WHEN tier <= 2 THEN complete ELSE cf END DESC, s_acctbal DESC, s_suppkey) AS INT) AS place FROM t WHERE tier IS NOT NULL ORDER BY place""")
 def q31_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole pool: tiers in turn, then events or shots, then score. Its SQL still ends at fifty places."""
+    """The whole pool: tiers in turn, then events or shots, then score."""
     c = F.col
     s = table(spark, sf_dir, "supplier").join(funnel(spark, sf_dir), c("s_suppkey") == c("l_suppkey"), "left")
     t = s.withColumn("tier", gate.tier(c("decision"), c("evidence"), c("cf"), c("context"), c("status"))).where("tier IS NOT NULL").select("s_suppkey", "tier", "complete", "cf", "s_acctbal")

@@ -139,7 +139,7 @@ def q23_class_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FRAMING = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
-pairs AS (SELECT a.label, a.vec_id, list_cosine_similarity(a.v, b.v) AS sim, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.vec_id) AS rn, b.vec_id AS other FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND b.vec_id % 8 = 0),
+pairs AS (SELECT a.label, a.vec_id, list_cosine_similarity(a.v, b.v) AS sim, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.vec_id) AS rn, b.vec_id AS other FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
 framed AS (SELECT label, vec_id, count(*) AS others, CASE WHEN count(*) >= 5 THEN round(avg(sim) FILTER (WHERE rn <= 3), 4) + 0.0::DOUBLE END AS framing_score FROM pairs GROUP BY 1, 2)"""
 
 
@@ -150,7 +150,7 @@ def _framed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {FRAMING} SELECT label, vec_id, others, framing_score, coalesce(framing_score < 0.15, false) AS vetoed FROM framed")
 def q24_framing_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vectors pass the operator's rule, so each is scored against all others of its label. Its SQL still has an eighth of them as prototypes."""
+    """All vectors pass the operator's rule, so each is scored against all others of its label."""
     return _framed(spark, sf_dir).select(F.col("source").alias("label"), F.col("shot_id").alias("vec_id"), "others", "framing_score", F.coalesce(F.col("framing_score") < 0.15, F.lit(False)).alias("vetoed"))
 
 
