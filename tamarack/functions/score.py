@@ -58,10 +58,26 @@ def sanity_reason(kind: Column, seconds: Column) -> Column:
 
 
 def risk_terms(title: Column, description: Column, terms: list[str] | None = None) -> Column:
-    """The terms found, without those that another one found contains."""
+    """The terms found, without those that another one found contains.
+
+    Which terms contain which is known beforehand, so each term is looked for in the text, and needs only those above it.
+    """
     text = F.lower(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))))
-    hits = F.filter(F.array(*[F.lit(t) for t in terms or domain.RISKY]), lambda t: F.contains(text, t))
-    return F.filter(hits, lambda t: ~F.exists(hits, lambda o: (o != t) & F.contains(o, t)))
+    some = list(dict.fromkeys(terms or domain.RISKY))
+    found = F.transform(F.array(text), lambda t: F.array(*[F.contains(t, F.lit(x)) for x in some]))[0]
+
+    def kept(hits: Column) -> Column:
+        own = [F.when(hits[k] & ~_any([hits[m] for m, y in enumerate(some) if y != x and x in y]), F.lit(x)) for k, x in enumerate(some)]
+        return F.filter(F.array(*own), lambda x: x.isNotNull())
+
+    return F.transform(F.array(found), kept)[0]
+
+
+def _any(flags: list[Column]) -> Column:
+    out = F.lit(False)
+    for f in flags:
+        out = out | f
+    return out
 
 
 def editing_risk(terms: Column, seconds: Column) -> Column:

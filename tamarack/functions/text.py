@@ -22,21 +22,35 @@ def lowered(*parts: Column) -> Column:
     return F.lower(F.concat_ws("\n", *[F.coalesce(p, F.lit("")) for p in parts]))
 
 
-def source_type(title: Column, description: Column, duration: Column, url: Column, pack=domain) -> Column:
-    """The type of a source: long form against highlight wording by duration, then the pack's order, then duration, URL and hints."""
+def type_and_reason(title: Column, description: Column, duration: Column, url: Column, pack=domain) -> Column:
+    """struct(type, reason) of a source: long form against highlight wording by duration, then the pack's order, then duration, URL and hints."""
     text = lowered(title, description)
     wording = {name: patterns for name, patterns, _ in pack.PRIORITY}
     highlights, hinted = any_of(text, wording["general_highlights"]), any_of(text, pack.HINTS)
     tier = F.when(hinted, "pitching_highlights").otherwise("general_highlights")
-    rules: list[tuple[Column, Column]] = []
+    minutes = F.bround(F.floor(duration / 60), 0).cast("int").cast("string")
+    rules: list[tuple[Column, Column, Column]] = []
     earlier = F.lit(False)
     for name, seconds in pack.LONG_FORMS:
-        here = any_of(text, wording[name])
-        rules.append((highlights & here & ~earlier, F.when(F.coalesce(duration >= seconds, F.lit(False)), name).otherwise(tier)))
+        here, said = any_of(text, wording[name]), name.replace("_", " ")
+        long = F.coalesce(duration >= seconds, F.lit(False))
+        # The wording of reasons.
+        why = F.when(long, F.concat(F.lit(f"{said} + highlights suffix but duration consistent ("), minutes, F.lit("min)"))).otherwise(f"{said} claim contradicted by highlights wording at short/unknown duration")
+        rules.append((highlights & here & ~earlier, F.when(long, name).otherwise(tier), why))
         earlier = earlier | here
-    rules += [(any_of(text, patterns), tier if name == "general_highlights" else F.lit(name)) for name, patterns, _ in pack.PRIORITY]
-    rules += [(F.coalesce(duration <= 65, F.lit(False)) | F.coalesce(F.contains(url, F.lit("/shorts/")), F.lit(False)), F.lit("short")), (hinted, F.lit("pitching_highlights"))]
-    return F.coalesce(*[F.when(when, then) for when, then in rules], F.lit("unknown"))
+    for name, patterns, why in pack.PRIORITY:
+        raised = name == "general_highlights"
+        rules.append((any_of(text, patterns), tier if raised else F.lit(name), F.when(hinted, f"{why} + pitching context -> pitching_highlights").otherwise(why) if raised else F.lit(why)))
+    rules += [
+        (F.coalesce(duration <= 65, F.lit(False)), F.lit("short"), F.lit("duration <= 65s")), (F.coalesce(F.contains(url, F.lit("/shorts/")), F.lit(False)), F.lit("short"), F.lit("shorts URL")),
+        (hinted, F.lit("pitching_highlights"), F.lit("pitching context only")),
+    ]
+    none = F.struct(F.lit("unknown").alias("type"), F.lit("no type signal").alias("reason"))
+    return F.coalesce(*[F.when(when, F.struct(then.alias("type"), why.alias("reason"))) for when, then, why in rules], none)
+
+
+def source_type(title: Column, description: Column, duration: Column, url: Column, pack=domain) -> Column:
+    return type_and_reason(title, description, duration, url, pack)["type"]
 
 
 def context(title: Column, description: Column, channel: Column, pack=domain) -> Column:

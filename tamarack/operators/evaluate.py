@@ -26,10 +26,20 @@ def grouped(rows: DataFrame, truth: str, predicted: str, sets: list[list[str]])
 
 
 def leave_one_out(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """For each group the sorted values of all others, from one list of distinct groups, which is small."""
-    each = rows.groupBy(group).agg(F.collect_set(value).alias("__v"))
-    pairs = each.select(F.col(group).alias("held")).join(F.broadcast(each), F.col("held") != F.col(group))
-    return pairs.groupBy("held").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__v")))).alias("others"))
+    """For each group the sorted values that any other group has: a value stays out only where no group but this one has it."""
+    each = rows.select(group, value).where(F.col(value).isNotNull()).distinct()
+    held = rows.select(F.col(group).alias("held")).where("held IS NOT NULL").distinct()
+    owners = each.groupBy(value).agg(F.count(F.lit(1)).alias("__n"), F.min(group).alias("__owner"))
+    # One list of all values, as long as a single row of the result; each group takes out what is its own alone.
+    all_ = owners.agg(F.array_sort(F.collect_list(value)).alias("__all"))
+    own = owners.where("__n = 1").groupBy(F.col("__owner").alias("held")).agg(F.collect_list(value).alias("__own"))
+    lists = held.join(own, "held", "left").join(F.broadcast(all_))
+    return lists.select("held", F.array_except("__all", F.coalesce("__own", F.array().cast(rows.select(F.array(value)).schema[0].dataType))).alias("others"))
+
+
+def unmatched(predictions: DataFrame, matches: DataFrame, id_col: str) -> DataFrame:
+    """Predictions that no truth was matched with: false positives, of no group."""
+    return predictions.join(matches.where(F.col(id_col).isNotNull()).select(id_col).distinct(), id_col, "left_anti")
 
 
 def over_grid(rows: DataFrame, grid: list[dict], truth: Column, predicted) -> DataFrame:

@@ -34,6 +34,20 @@ def decide(status: Column, context: Column, cf: Column, events: Column, yield_:
     )
 
 
+def reasons(status: Column, error: Column, context: Column, cf: Column, events: Column, yield_: Column, discontinuity: Column, cf_ratio: Column, incomplete: Column, outside: str = "non_mlb") -> Column:
+    """Why a source was decided as it was, in order: one reason of the first rule that holds, and that the context is unknown."""
+    said = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    # The wording of reasons.
+    early = first_of([(status == "failed", said("acquisition failed: ", F.left(error, F.lit(120)))), (context == outside, "non-MLB competition context excluded from production"), (cf == 0, "zero center-field candidates in preview")], None)
+    good = (events >= 2) & (yield_ >= 0.20) & (discontinuity <= 0.20)
+    later = first_of([
+        (good, said("yield ", yield_, " over ", cf, " CF candidates")), (events >= 1, said("single complete event (yield ", yield_, ")")),
+        ((cf_ratio >= 0.40) & (discontinuity <= 0.30), said("no complete events, but CF available (", cf_ratio, ") with clean continuity")),
+    ], said("yield ", yield_, ", incomplete_rate ", incomplete))
+    unknown = F.when(context == "unknown", "competition context unknown (not confirmed MLB)")
+    return F.when(early.isNotNull(), F.array(early)).otherwise(F.filter(F.array(later, unknown), lambda r: r.isNotNull()))
+
+
 def evidence(cf: Column, complete: Column, rejected: Column, discontinuous: Column, start_incomplete: Column) -> Column:
     bad = (cf >= 8) & ((rejected >= 6) | (discontinuous >= 2) | (start_incomplete >= 4))
     return F.when(complete >= 1, "sufficient_good").when(bad, "sufficient_bad").otherwise("insufficient")
@@ -104,5 +118,5 @@ def first_success(attempts: DataFrame, keys: list[str], ok: Column, order: list[
     return attempts.where(ok).groupBy(*keys).agg(F.min_by(value, F.struct(*order)).alias(value))
 
 
-def first_of(rules: list[tuple[Column, str]], otherwise: str) -> Column:
+def first_of(rules: list[tuple[Column, str | Column]], otherwise: str | Column | None) -> Column:
     return reduce(lambda c, r: c.when(*r), rules[1:], F.when(*rules[0])).otherwise(otherwise)

@@ -95,3 +95,17 @@ def with_framing(shots: DataFrame, scores: DataFrame, source: str = "source", cu
     veto = F.col("accepted") & F.coalesce(F.col("framing_score") < cut, F.lit(False))
     reason = F.col("reject_reason") if "reject_reason" in shots.columns else F.lit(None).cast("string")
     return out.withColumn("reject_reason", F.when(veto, "framing_inconsistent").otherwise(reason)).withColumn("accepted", F.col("accepted") & ~veto)
+
+
+def cascade(shots: DataFrame, closeup, homogeneity, least: float = 0.5) -> DataFrame:
+    """shots with closeup and contaminated, each stage seeing only what the ones before it have left.
+
+    closeup(rows) and homogeneity(rows) give (shot_id, flag); the first sees confident shots of the wanted view, the second those
+    of them that are no close-up, so that the costly reading of frames is spared for all others.
+    """
+    wanted = shots.where((F.col("view_class") == VIEWS[0]) & (F.col("confidence") >= least))
+    near = closeup(wanted).select("shot_id", F.col("flag").alias("homogeneous_closeup"))
+    rest = wanted.join(near.where("homogeneous_closeup"), "shot_id", "left_anti")
+    mixed = homogeneity(rest).select("shot_id", F.col("flag").alias("transition_contaminated"))
+    no = F.lit(False)
+    return shots.join(near, "shot_id", "left").join(mixed, "shot_id", "left").withColumns({c: F.coalesce(c, no) for c in ("homogeneous_closeup", "transition_contaminated")})

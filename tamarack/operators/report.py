@@ -74,12 +74,14 @@ def missing_keys(held: Column, required=RUN_KEYS) -> Column:
     return F.array_sort(F.array_except(F.array(*[F.lit(k) for k in required]), F.map_keys(held)))
 
 
-def extremes(rows: DataFrame, group: str, value: str, id_col: str, k: int = 5) -> DataFrame:
-    """The k lowest and k highest of each group: (group, side, rank, id, value)."""
-    low = Window.partitionBy(group).orderBy(F.col(value), id_col)
-    high = Window.partitionBy(group).orderBy(F.col(value).desc(), id_col)
-    ranked = rows.select(group, id_col, value, F.row_number().over(low).alias("__low"), F.row_number().over(high).alias("__high"))
-    sides = [ranked.where(F.col(c) <= k).select(group, F.lit(name).alias("side"), F.col(c).alias("rank"), id_col, value) for c, name in (("__low", "lowest"), ("__high", "highest"))]
+def extremes(rows: DataFrame, group: str, value: str, id_col: str, k: int = 5, salts: int = 64) -> DataFrame:
+    """The k lowest and k highest of each group: (group, side, rank, id, value). Parts of a group keep their k first, so that none is sorted whole."""
+    sides = []
+    for name, order in (("lowest", [F.col(value), F.col(id_col)]), ("highest", [F.col(value).desc(), F.col(id_col)])):
+        dealt = rows.select(group, id_col, value, F.pmod(F.xxhash64(id_col), F.lit(salts)).alias("__salt"))
+        part = dealt.withColumn("__n", F.row_number().over(Window.partitionBy(group, "__salt").orderBy(*order))).where(F.col("__n") <= k)
+        whole = part.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k)
+        sides.append(whole.select(group, F.lit(name).alias("side"), "rank", id_col, value))
     return sides[0].unionByName(sides[1])
 
 
@@ -93,20 +95,36 @@ def stratified(rows: DataFrame, strata: list[tuple[str, Column, int]], id_col: s
     """Each row in the first stratum it fits, and of each stratum the first so many by id: (id, stratum, place)."""
     name = first_of([(c, n) for n, c, _ in strata], "rest")
     size = first_of([(F.col("stratum") == n, F.lit(k)) for n, _, k in strata], F.lit(0))
-    placed = rows.withColumn("stratum", name).withColumn("place", F.row_number().over(Window.partitionBy("stratum").orderBy(id_col)))
+    fit = rows.withColumn("stratum", name).where(F.col("stratum") != "rest").withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(64)))
+    some = fit.withColumn("place", F.row_number().over(Window.partitionBy("stratum", "__salt").orderBy(id_col))).where(F.col("place") <= size)
+    placed = some.withColumn("place", F.row_number().over(Window.partitionBy("stratum").orderBy(id_col)))
     return placed.where(F.col("place") <= size).select(id_col, "stratum", "place")
 
 
-def clip_bounds(events: DataFrame, keys: list[str], pre: float = 2.0, post: float = 1.5, edge: float = 0.1, end_edge: float = 0.25, gap: float = 0.3, most: float = 30.0) -> DataFrame:
-    """events (keys, shot_start, shot_end, clip_start, onset, settle, clip_end) with start and end of the delivered clip."""
+def clip_bounds(events: DataFrame, keys: list[str], pre: float = 2.0, post: float = 1.5, edge: float = 0.1, end_edge: float = 0.25, gap: float = 0.3, most: float = 30.0, id_col: str = "event_id") -> DataFrame:
+    """events (keys, shot_start, shot_end, clip_start, onset, settle, clip_end) with start and end of the delivered clip.
+
+    The last settle at or before an onset, and the first onset at or after a settle, among the others of the shot, come from
+    one pass each over settles and onsets in order of time; no row carries its group.
+    """
     c = F.col
-    own = Window.partitionBy(*keys)
-    # The last settle at or before this onset, and the first onset at or after this settle, among the others of the shot.
-    group = F.collect_list(F.struct("event_id", "onset", "settle")).over(own)
-    rows = events.withColumn("__g", group)
-    earlier = F.array_max(F.transform(F.filter("__g", lambda o: (o["event_id"] != c("event_id")) & (o["settle"] <= c("onset"))), lambda o: o["settle"]))
-    later = F.array_min(F.transform(F.filter("__g", lambda o: (o["event_id"] != c("event_id")) & (o["onset"] >= c("settle"))), lambda o: o["onset"]))
-    start = F.greatest(c("shot_start") + edge, c("onset") - pre, earlier + gap)
-    end = F.least(c("shot_end") - end_edge, c("settle") + post, later - gap)
+    order = Window.partitionBy(*keys).orderBy("__t", "__side", id_col)
+
+    def neighbour(mark: str, at: str, side: int, frame, best) -> DataFrame:
+        """For each event the best `mark` of the group's events in the frame around its `at`."""
+        rows = events.select(*keys, id_col, c("settle").alias("__t"), F.lit(0).alias("__side"), (c("settle") if mark == "settle" else F.lit(None).cast("double")).alias("__mark"))
+        rows = rows.unionByName(events.select(*keys, id_col, c("onset").alias("__t"), F.lit(1).alias("__side"), (c("onset") if mark == "onset" else F.lit(None).cast("double")).alias("__mark")))
+        return rows.withColumn("__best", best("__mark").over(frame)).where(c("__side") == side).select(*keys, id_col, c("__best").alias(at))
+
+    earlier = neighbour("settle", "__earlier", 1, order.rowsBetween(Window.unboundedPreceding, -1), F.max)
+    later = neighbour("onset", "__later", 0, order.rowsBetween(1, Window.unboundedFollowing), F.min)
+    # An event that settles no later than its onset would meet itself: those few are compared with the others of their group.
+    odd = events.where(c("settle") <= c("onset")).select(*keys, id_col, c("onset").alias("__o"), c("settle").alias("__s"))
+    others = events.select(*keys, c(id_col).alias("__id"), c("onset").alias("__oo"), c("settle").alias("__os"))
+    met = odd.join(others, keys).where(c(id_col) != c("__id")).groupBy(*keys, id_col).agg(F.max(F.when(c("__os") <= c("__o"), c("__os"))).alias("__earlier2"), F.min(F.when(c("__oo") >= c("__s"), c("__oo"))).alias("__later2"))
+    rows = events.join(earlier, [*keys, id_col]).join(later, [*keys, id_col]).join(met, [*keys, id_col], "left")
+    rows = rows.withColumn("__earlier", F.when(c("settle") <= c("onset"), c("__earlier2")).otherwise(c("__earlier"))).withColumn("__later", F.when(c("settle") <= c("onset"), c("__later2")).otherwise(c("__later")))
+    start = F.greatest(c("shot_start") + edge, c("onset") - pre, c("__earlier") + gap)
+    end = F.least(c("shot_end") - end_edge, c("settle") + post, c("__later") - gap)
     rows = rows.withColumn("__s", F.least(start, c("clip_start"))).withColumn("__e", F.least(F.greatest(end, c("clip_end")), c("shot_end") - end_edge))
-    return rows.withColumn("start", F.round("__s", 3)).withColumn("end", F.round(F.least(c("__e"), c("__s") + most), 3)).drop("__g", "__s", "__e")
+    return rows.withColumn("start", F.round("__s", 3)).withColumn("end", F.round(F.least(c("__e"), c("__s") + most), 3)).drop("__earlier", "__later", "__earlier2", "__later2", "__s", "__e")

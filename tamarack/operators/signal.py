@@ -94,3 +94,21 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, ri
     w = Window.partitionBy(*keys).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
     last = F.last(F.when(F.col("__side") == 0, F.struct(*right_cols)), ignorenulls=True).over(w)
     return both.withColumn("__r", last).where("__side = 1").select(*left.columns, *[F.col(f"__r.{c}").alias(c) for c in right_cols])
+
+
+def sample_agreement(rows: DataFrame, keys: list[str], order: list[str], value: str, samples: int, similar) -> DataFrame:
+    """(keys, least_adjacent, ends) over the first samples of each group: the least similarity of neighbours, and that of the last with the first."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    seen = rows.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= samples)
+    seen = seen.withColumn("__before", F.lag(value).over(w)).withColumn("__first", F.first(value).over(w))
+    adjacent = F.when(F.col("__before").isNotNull(), similar(F.col(value), F.col("__before")))
+    return seen.groupBy(*keys).agg(F.min(adjacent).alias("least_adjacent"), F.max_by(similar(F.col(value), F.col("__first")), "__k").alias("ends"))
+
+
+def lagged_energy(rows: DataFrame, keys: list[str], order: list[str], frame: str, difference, flow=None, weight: float = 0.5, rate: float = 10.0) -> DataFrame:
+    """rows with energy: difference(before, here) and, where given, weight * rate * flow(before, here); the first of a group has 0."""
+    before = F.lag(frame).over(Window.partitionBy(*keys).orderBy(*order))
+    value = difference(before, F.col(frame))
+    if flow is not None:
+        value = value + weight * rate * flow(before, F.col(frame))
+    return rows.withColumn("energy", F.coalesce(F.when(before.isNotNull(), value), F.lit(0.0)))

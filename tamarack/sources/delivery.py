@@ -15,6 +15,41 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def replace_folder(df: DataFrame, path: str, kind: str = "parquet") -> None:
+    """Store df beside its place, then rename it there, in the place of what was there."""
+    spark = df.sparkSession
+    staged = f"{path}.staged"
+    df.write.mode("overwrite").format(kind).save(staged)
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(_fs(spark, staged)[1], target):
+        raise OSError(f"cannot move {staged} to {path}")
+
+
+class HiddenCut(Exception):
+    """A clip to be delivered has a hard cut in it."""
+
+
+def delivery_items(clips: DataFrame, events: DataFrame, shots: DataFrame, keys: list[str], cuts: DataFrame | None = None) -> DataFrame:
+    """Items of a batch: kept clips with their event and its shot, their bounds among the other events of the shot, and anchors from the clip's start.
+
+    clips (keys, clip_id, clip_start), events (keys, event_id, source_shot_id, clip_start, motion_onset, motion_peak, settle_time, clip_end),
+    shots (keys, shot_id, start, end), cuts (keys, clip_id): hard cuts found in the clips, which are refused.
+    """
+    from ..operators.report import clip_bounds
+
+    if cuts is not None and (bad := clips.join(cuts, [*keys, "clip_id"], "left_semi").select("clip_id").limit(5).collect()):
+        raise HiddenCut(", ".join(str(r.clip_id) for r in bad))
+    c = F.col
+    of_shot = shots.select(*keys, c("shot_id").alias("source_shot_id"), c("start").alias("shot_start"), c("end").alias("shot_end"))
+    placed = events.join(of_shot, [*keys, "source_shot_id"]).withColumnsRenamed({"motion_onset": "onset", "settle_time": "settle"})
+    bounded = clip_bounds(placed, [*keys, "source_shot_id"]).withColumnRenamed("event_id", "clip_id").drop("clip_start")
+    items = clips.join(bounded.drop("shot_start", "shot_end", "clip_end"), [*keys, "clip_id"])
+    rel = lambda name: F.round(c(name) - c("start"), 3)
+    return items.select(*keys, "clip_id", "source_shot_id", "clip_start", "start", "end", rel("onset").alias("onset_at"), rel("motion_peak").alias("peak_at"), rel("settle").alias("settle_at"))
+
+
 def parse_exclusions(given: list[str], default: str = "excluded by review") -> dict[str, str]:
     """k=reason pairs; a bare k has the default reason."""
     return {k.strip(): v.strip() or default for k, _, v in (x.partition("=") for x in given)}
