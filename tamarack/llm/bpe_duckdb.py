@@ -111,7 +111,11 @@ class RecursiveBpe:
                     heapq.heappush(queue, (rank, a, len(both)))
         return [self.ranks[part[k]] for k in range(n) if alive[k]]
 
-    def query_encode(self, words: list[bytes]) -> list[tuple[str, bytes]]:
+    def query_encode(self, words: list[bytes]) -> list[str]:
+        """The decimal ids of each word by the recursive query."""
+        return [ids for ids, _ in self.query_both(words)]
+
+    def query_both(self, words: list[bytes]) -> list[tuple[str, bytes]]:
         """The decimal ids of each word by the recursive query, and what they decode to."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
@@ -161,7 +165,7 @@ class RecursiveBpe:
                 rows += len(short[upto][1]) ** 2 // 2
                 upto += 1
             some = short[at:upto]
-            for (word, data), (ids, back) in zip(some, self.query_encode([data for _, data in some])):
+            for (word, data), (ids, back) in zip(some, self.query_both([data for _, data in some])):
                 self.words[word] = (ids, word if back == data else back.decode())
             at = upto
 

@@ -91,3 +91,48 @@ def test_plan_places_each_piece_once(seed):
         assert low == ends.get(n, 0)
         ends[n] = high
     assert ends == counts
+
+
+#: Over the size of a block: words, one endless word, spaces and line ends alone, mixed scripts.
+LONG_TEXTS = ["some words, and more. " * 60_000, "z" * 300_000, " \n" * 600_000, "日本語 text été \n\n" * 80_000]
+
+
+def test_long_texts():
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from tamarack.llm.token_counts import UnitEncoder
+
+    counts, words_ = UnitEncoder(P.path("byte_bpe_50k.json"), len), UnitEncoder(P.path("word_bpe_49k.json"), len)
+    t, w = Tokenizer.from_file(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    enc, bpe = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), RecursiveBpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    for text, ours, of_words, (n, ids_sha, back_sha) in zip(LONG_TEXTS, counts.parts(LONG_TEXTS, True), words_.parts(LONG_TEXTS, False), bpe.encode(LONG_TEXTS)):
+        assert sum(map(sum, ours)) == len(t.encode(text, add_special_tokens=False).ids)
+        assert sum(map(sum, of_words)) == len(w.encode(text, add_special_tokens=False).ids)
+        assert back_sha == hashlib.sha256(text.encode()).hexdigest()
+        if not text.strip():
+            continue  # the library itself gives up on so much white space
+        ids = enc.encode_ordinary(text)
+        assert n == len(ids) and ids_sha == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_small_memories_change_nothing():
+    from tokenizers import Tokenizer
+
+    from tamarack.llm.token_counts import UnitEncoder
+
+    texts = [" ".join(f"{w}," if k % 5 == 0 else w for k, w in enumerate(words(seed, 300, 5000))) for seed in range(40)]
+    for path, spaced in ((P.path("byte_bpe_50k.json"), True), (P.path("word_bpe_49k.json"), False)):
+        small, t = UnitEncoder(path, len, cache_units=200), Tokenizer.from_file(path)
+        for at in range(0, len(texts), 4):
+            got = [sum(map(sum, parts)) for parts in small.parts(texts[at : at + 4], spaced)]
+            assert got == [len(t.encode(x, add_special_tokens=False).ids) for x in texts[at : at + 4]]
+        assert len(small.known) + len(small.known.old) < 6000
+
+
+def test_words_without_a_pair_and_words_of_one_token():
+    bpe = RecursiveBpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    some = [b"a", b"the", b"\xf0\x9f\x98\x80", b"qzqzqz", b" "]
+    assert [back for _, back in bpe.query_both(some)] == some
+    assert bpe.query_encode(some) == [" ".join(map(str, bpe.heap_encode(w))) for w in some]
