@@ -1,8 +1,10 @@
 """WARC archives through a chunked record table.
 
-Payloads travel as rows (record_id, chunk, data, digest, size, last): at most
-CHUNK bytes each, with the SHA-256 of all bytes up to and including the row's, so
-that the last row carries the whole payload's digest and nothing holds a whole
+Payloads travel as rows (record_id, chunk, data, last) of at most CHUNK bytes each. The
+reader's rows also have the size and the SHA-256 of all bytes up to and including the row's,
+so that the last row carries the whole payload's digest; the writer keeps such a running
+digest too and compares it, at the last chunk, with the one that the header had to state
+before. Outside the JVM, which has each page as one value of its table, nothing holds a whole
 record. The JVM cuts payloads into chunks; writers and readers go chunk by chunk
 between them and the archive. Archives are files of the shared folder, one or more
 a task, each record a gzip member; a task writes under a name of its own and
@@ -91,7 +93,7 @@ def write_archives(chunks: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, where = open_folder(folder)
         system.create_dir(where, recursive=True)
-        out = member = path = None
+        out = member = path = digest = None
         records = 0
         for batch in batches:
             meta, data = batch.select(names).to_pylist(), batch.column("data")
@@ -100,11 +102,14 @@ def write_archives(chunks: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
                     path, records = f"{where}/{uuid.uuid4().hex}.warc.gz", 0
                     out = system.open_output_stream(path, compression=None)
                 if row["chunk"] == 0:
-                    member = Member(out)
+                    member, digest = Member(out), hashlib.sha256()
                     member.write(header_of(row))
                 if row["record_type"] != "revisit":
                     member.write(value.as_buffer())
+                    digest.update(value.as_buffer())
                 if row["last"]:
+                    if row["record_type"] != "revisit" and digest.hexdigest() != row["stated_digest"]:
+                        raise ValueError(f"record {row['record_id']} is not the payload that its header states")
                     member.write(b"\r\n\r\n")
                     member.close()
                     records += 1
