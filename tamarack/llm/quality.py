@@ -168,7 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~in_held_out(F.col("doc_id")))
     few = usable.select(F.col("doc_id").alias("__id"), "quality").orderBy(F.xxhash64("__id"), "__id", "quality").limit(sample)
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= MAX_CHARS)
-    rows = own.join(F.broadcast(few), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "quality").dropDuplicates().toPandas().head(2 * sample)
+    rows = own.join(F.broadcast(few), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "quality").dropDuplicates()
+    # Repeated ids may have more texts than labels: no more rows than the sample reach the driver.
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "quality").limit(sample).toPandas()
     rows = rows.sort_values(["doc_id", "text", "quality"])
     return Model(list(rows.text), [int(q) for q in rows.quality])
 

@@ -71,3 +71,30 @@ def test_registered():
     from tamarack.llm.queries import ORACLES, QUERIES
 
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """No rows, null texts, repeated rows and further columns of clashing names, through all stages."""
+    import corpus_pipeline
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long, id string, __id string, n int, row int"
+    texts = [None, "", "", " ".join(words(1, 80)), " ".join(words(1, 80)), " ".join([*words(1, 79), "end"]), " ".join(words(2, 60)), "x" * 5000]
+    rows = [(k, t, "en", "s", len(t or ""), "i", f"c{k}", 1, 2) for k, t in enumerate(texts)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(8)], "doc_id long, quality int, toxic int")
+    for name, some in (("odd", [*rows, rows[3]]), ("none", [])):
+        place = f"{tmp_path}/{name}"
+        spark.createDataFrame(some, kind).write.parquet(f"{place}/documents.parquet")
+        labels.write.parquet(f"{place}/labels.parquet")
+        got = corpus_pipeline.run(spark, place).collect()
+        # All are good; of equal texts the largest id stays, of near ones the least.
+        assert sorted({r.doc_id for r in got}) == ([] if name == "none" else [2, 4, 6, 7])
+        assert all(r.start == 0 for r in got if r.doc_id != 7)
+
+
+def test_long_and_repeated_rows_score_alike(spark):
+    texts, quality = corpus(60)
+    labels = spark.createDataFrame([(k, q, 0) for k, q in enumerate(quality)], "doc_id long, quality int, toxic int")
+    long = " ".join(words(5, 60_000))
+    docs = documents(spark, [*texts, long, long])
+    got = {r.doc_id: r.score for r in quality_scores(docs.unionByName(docs.where("doc_id = 60")), labels).collect()}
+    assert got[60] == got[61] and 0 <= got[60] <= 1
