@@ -189,3 +189,35 @@ def localize(samples: DataFrame, params: Params | None = None) -> DataFrame:
         return pd.DataFrame(out, columns=["shot_id", "kind", "clip_start", "onset", "peak", "settle", "clip_end", "confidence", "reason"])
 
     return samples.groupBy("shot_id").applyInPandas(one, SCHEMA)
+
+
+def localize_stream(samples: DataFrame, params: Params | None = None, late: str = "10 minutes", late_ms: int = 600_000) -> DataFrame:
+    """The rows of `localize` from a stream of samples (shot_id, t, smoothed, shot_start, shot_end, ts), a shot when it is over.
+
+    A shot's samples are its state, and are kept until the one at its end has come, or until the watermark has passed its
+    last by `late_ms`; both then leave the state store. Samples may come in any order and in any number of batches.
+    """
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    used = params or Params()
+    names = ["shot_id", "kind", "clip_start", "onset", "peak", "settle", "clip_end", "confidence", "reason"]
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        times, values, begin, end, last = state.get if state.exists else ([], [], 0.0, 0.0, 0)
+        times, values = list(times), list(values)
+        for rows in batches:
+            times += rows.t.tolist()
+            values += rows.smoothed.tolist()
+            begin, end = float(rows.shot_start.iloc[0]), float(rows.shot_end.iloc[0])
+            last = max(last, int(rows.ts.max().timestamp() * 1000))
+        if not state.hasTimedOut and (not times or max(times) < end - 1e-9):
+            state.update((times, values, begin, end, last))
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + late_ms)
+            return
+        state.remove()
+        order = np.argsort(times, kind="stable")
+        shot = Shot(np.array(times)[order], np.array(values)[order], begin, end, used)
+        yield pd.DataFrame([(key[0], *r) for r in shot.results()], columns=names)
+
+    held = "times array<double>, values array<double>, shot_start double, shot_end double, last long"
+    return samples.withWatermark("ts", late).groupBy("shot_id").applyInPandasWithState(step, SCHEMA, held, "append", GroupStateTimeout.EventTimeTimeout)

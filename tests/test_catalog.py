@@ -42,4 +42,4 @@ def test_same_rows_as_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() >= 0
+    assert QUERIES[name](spark, SF).count() > 0  # test_plain.py has what they must give
