@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -10,11 +11,18 @@ from pyspark.sql import functions as F
 from ..rules import domain
 
 YEAR = "(?:19|20)[0-9]{2}"
+PLAIN = re.compile("[A-Za-z0-9 ,'/#%@-]+").fullmatch
 
 
 def any_of(text: Column, patterns: Iterable[str]) -> Column:
-    """Whether any of the patterns is found."""
-    return text.rlike("|".join(f"(?:{p})" for p in patterns))
+    """Whether any of the patterns is found; those that are plain words are looked for as such, which is faster."""
+    out, rest = F.lit(False), []
+    for p in patterns:
+        if PLAIN(p):
+            out = out | F.contains(text, F.lit(p))
+        else:
+            rest.append(p)
+    return out | text.rlike("|".join(f"(?:{p})" for p in rest)) if rest else out
 
 
 def lowered(*parts: Column) -> Column:
@@ -24,29 +32,35 @@ def lowered(*parts: Column) -> Column:
 
 def type_and_reason(title: Column, description: Column, duration: Column, url: Column, pack=domain) -> Column:
     """struct(type, reason) of a source: long form against highlight wording by duration, then the pack's order, then duration, URL and hints."""
-    text = lowered(title, description)
-    wording = {name: patterns for name, patterns, _ in pack.PRIORITY}
-    highlights, hinted = any_of(text, wording["general_highlights"]), any_of(text, pack.HINTS)
-    tier = F.when(hinted, "pitching_highlights").otherwise("general_highlights")
+    names = [name for name, _, _ in pack.PRIORITY]
+    patterns = [*(p for _, p, _ in pack.PRIORITY), pack.HINTS]
     minutes = F.bround(F.floor(duration / 60), 0).cast("int").cast("string")
-    rules: list[tuple[Column, Column, Column]] = []
-    earlier = F.lit(False)
-    for name, seconds in pack.LONG_FORMS:
-        here, said = any_of(text, wording[name]), name.replace("_", " ")
-        long = F.coalesce(duration >= seconds, F.lit(False))
-        # The wording of reasons.
-        why = F.when(long, F.concat(F.lit(f"{said} + highlights suffix but duration consistent ("), minutes, F.lit("min)"))).otherwise(f"{said} claim contradicted by highlights wording at short/unknown duration")
-        rules.append((highlights & here & ~earlier, F.when(long, name).otherwise(tier), why))
-        earlier = earlier | here
-    for name, patterns, why in pack.PRIORITY:
-        raised = name == "general_highlights"
-        rules.append((any_of(text, patterns), tier if raised else F.lit(name), F.when(hinted, f"{why} + pitching context -> pitching_highlights").otherwise(why) if raised else F.lit(why)))
-    rules += [
-        (F.coalesce(duration <= 65, F.lit(False)), F.lit("short"), F.lit("duration <= 65s")), (F.coalesce(F.contains(url, F.lit("/shorts/")), F.lit(False)), F.lit("short"), F.lit("shorts URL")),
-        (hinted, F.lit("pitching_highlights"), F.lit("pitching context only")),
-    ]
-    none = F.struct(F.lit("unknown").alias("type"), F.lit("no type signal").alias("reason"))
-    return F.coalesce(*[F.when(when, F.struct(then.alias("type"), why.alias("reason"))) for when, then, why in rules], none)
+
+    def decided(found: Column) -> Column:
+        has = {name: found[k] for k, name in enumerate(names)}
+        highlights, hinted = has["general_highlights"], found[len(names)]
+        tier = F.when(hinted, "pitching_highlights").otherwise("general_highlights")
+        rules: list[tuple[Column, Column, Column]] = []
+        earlier = F.lit(False)
+        for name, seconds in pack.LONG_FORMS:
+            said, long = name.replace("_", " "), F.coalesce(duration >= seconds, F.lit(False))
+            # The wording of reasons.
+            why = F.when(long, F.concat(F.lit(f"{said} + highlights suffix but duration consistent ("), minutes, F.lit("min)"))).otherwise(f"{said} claim contradicted by highlights wording at short/unknown duration")
+            rules.append((highlights & has[name] & ~earlier, F.when(long, name).otherwise(tier), why))
+            earlier = earlier | has[name]
+        for name, _, why in pack.PRIORITY:
+            raised = name == "general_highlights"
+            rules.append((has[name], tier if raised else F.lit(name), F.when(hinted, f"{why} + pitching context -> pitching_highlights").otherwise(why) if raised else F.lit(why)))
+        rules += [
+            (F.coalesce(duration <= 65, F.lit(False)), F.lit("short"), F.lit("duration <= 65s")), (F.coalesce(F.contains(url, F.lit("/shorts/")), F.lit(False)), F.lit("short"), F.lit("shorts URL")),
+            (hinted, F.lit("pitching_highlights"), F.lit("pitching context only")),
+        ]
+        none = F.struct(F.lit("unknown").alias("type"), F.lit("no type signal").alias("reason"))
+        return F.coalesce(*[F.when(when, F.struct(then.alias("type"), why.alias("reason"))) for when, then, why in rules], none)
+
+    # The text is lowered once and each wording looked for once, whatever the number of rules that ask.
+    found = F.transform(F.array(lowered(title, description)), lambda t: F.array(*[any_of(t, p) for p in patterns]))[0]
+    return F.transform(F.array(found), decided)[0]
 
 
 def source_type(title: Column, description: Column, duration: Column, url: Column, pack=domain) -> Column:
