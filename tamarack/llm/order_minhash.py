@@ -279,26 +279,34 @@ def may_be_alike(met: DataFrame, words: DataFrame, least: float) -> DataFrame:
     sized = met.withColumn("kind", F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / (1.001 * float(np.log(1 / least)))).cast("int"))
     many = sized.groupBy("leader", "kind").agg(F.count(F.lit(1)).alias("n"))
     dealt = sized.join(many, ["leader", "kind"]).withColumn("number", F.pmod(F.xxhash64("id"), F.expr(f"n div {BLOCK} + 1")))
-    held = dealt.join(binned(words.join(met.select("id").distinct(), "id", "left_semi")).hint("merge"), "id")
-    blocks = held.groupBy("leader", "kind", "number").agg(F.collect_list(F.struct("id", "size", "root", "bins")).alias("texts"))
+    # A text has no more leaders than sketches. Two texts that share several are told by the least of these.
+    own = met.groupBy("id").agg(F.collect_set("leader").alias("leaders"))
+    held = dealt.join(binned(words.join(own, "id", "left_semi")).hint("merge"), "id").join(own, "id")
+    blocks = held.groupBy("leader", "kind", "number").agg(F.collect_list(F.struct("id", "size", "root", "bins", "leaders")).alias("texts"))
     blocks = materialize(blocks, "blocks")
     one, other = (blocks.select("leader", F.col("kind").alias(f"kind{k}"), F.col("number").alias(f"number{k}"), F.col("texts").alias(f"texts{k}")) for k in "12")
     meet = one.join(other.hint("merge"), "leader").where("kind2 = kind1 and number2 >= number1 or kind2 = kind1 + 1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pair in zip(batch.column(0), batch.column(1)):
+            for leader, same, *pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 (ids, sizes, roots, bins), (ids_2, sizes_2, roots_2, bins_2) = (
                     (*(x.values.field(c).to_numpy() for c in ("id", "size", "root")), np.frombuffer(b"".join(x.values.field("bins").to_pylist()), np.uint8).reshape(-1, BINS)) for x in pair
                 )
+                led, led_2 = (list(map(set, x.values.field("leaders").to_pylist())) for x in pair)
                 large = np.maximum(sizes[:, None], sizes_2)
                 may = (np.minimum(sizes[:, None], sizes_2) >= least * large) & (roots[:, None] != roots_2)
+                if same:
+                    may &= ids[:, None] < ids_2
                 at = np.flatnonzero(may.any(1))
                 may[at] &= in_bound(bins[at], bins_2, (1 - least) * large[at] + 1e-9)
                 i, j = np.nonzero(may)
+                here = [min(led[m] & led_2[n]) == leader for m, n in zip(i.tolist(), j.tolist())]
+                i, j = i[here], j[here]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids_2[j])), pa.array(np.maximum(ids[i], ids_2[j]))], names=["u", "v"])
 
-    return meet.select("texts1", "texts2").mapInArrow(run, "u long, v long").distinct()
+    same = (F.col("kind1") == F.col("kind2")) & (F.col("number1") == F.col("number2"))
+    return meet.select("leader", same.alias("same"), "texts1", "texts2").mapInArrow(run, "u long, v long")
 
 
 def links_of(texts: DataFrame, words_of, least: float) -> DataFrame:
