@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.purity import VIEWS
+
 
 def gray(frame: np.ndarray) -> np.ndarray:
     """Luma of a BGR frame."""
@@ -90,34 +92,51 @@ def green_share(frame: np.ndarray) -> float:
     return float(((span > 0) & (hue > 70) & (hue < 170) & (span / np.where(high > 0, high, 1) > 40 / 255)).mean())
 
 
+# Of each layout, in order: shares of green and of edges over or under which it holds, and its votes. The last takes the rest.
+LAYOUTS = [
+    ({"green_over": 0.45, "edges_under": 0.10}, {"center_field_good": 1.0}),
+    ({"green_over": 0.35}, {"center_field_good": 0.6, "field_bad": 0.4}),
+    ({"edges_over": 0.18, "green_under": 0.15}, {"graphic_bad": 1.0}),
+    ({"green_under": 0.2, "edges_over": 0.10}, {"closeup_bad": 0.6, "other_bad": 0.4}),
+    ({}, {"other_bad": 1.0}),
+]
+
+
+def _holds(cuts: dict[str, float], **shares):
+    """Whether shares (numbers or columns) are strictly beyond each cut."""
+    out = None
+    for name, cut in cuts.items():
+        share, side = name.split("_")
+        test = shares[share] > cut if side == "over" else shares[share] < cut
+        out = test if out is None else out & test
+    return out
+
+
 def layout_votes(green: Column, edges: Column) -> Column:
     """A frame's votes by class from its shares of green and of edges."""
-    # Classes, cuts and weights of the votes.
-    vote = lambda **v: F.create_map(*[F.lit(x) for kv in v.items() for x in kv])
-    return (
-        F.when((green > 0.45) & (edges < 0.10), vote(center_field_good=1.0)).when(green > 0.35, vote(center_field_good=0.6, field_bad=0.4))
-        .when((edges > 0.18) & (green < 0.15), vote(graphic_bad=1.0)).when((green < 0.2) & (edges > 0.10), vote(closeup_bad=0.6, other_bad=0.4)).otherwise(vote(other_bad=1.0))
-    )
+    out = F
+    for cuts, votes in LAYOUTS:
+        given = F.create_map(*[F.lit(x) for kv in votes.items() for x in kv])
+        out = out.when(_holds(cuts, green=green, edges=edges), given) if cuts else out.otherwise(given)
+    return out
 
 
 class LayoutClassifier:
-    """Views of shots from layout alone, for where no trained model is at hand; `classify(frames)` gives (label, confidence, scores)."""
+    """Views of shots from layout alone, for where no trained model is at hand; `classify(frames)` gives (label, confidence, scores).
+
+    Scores are a share of the votes for each view; of equal ones the first in the order of views wins. No frames: the last view, without any vote.
+    """
 
     backend = "heuristic_fallback:v1"
 
     def classify(self, frames: list[np.ndarray]) -> tuple[str, float, dict[str, float]]:
-        if not frames:
-            return "other_bad", 0.0, {}
-        scores: dict[str, float] = {}
+        scores = dict.fromkeys(VIEWS, 0.0)
         for f in frames:
-            green, edges = green_share(f), edge_density(f)
-            votes = (
-                {"center_field_good": 1.0} if green > 0.45 and edges < 0.10 else {"center_field_good": 0.6, "field_bad": 0.4} if green > 0.35
-                else {"graphic_bad": 1.0} if edges > 0.18 and green < 0.15 else {"closeup_bad": 0.6, "other_bad": 0.4} if green < 0.2 and edges > 0.10 else {"other_bad": 1.0}
-            )
-            for k, v in votes.items():
-                scores[k] = scores.get(k, 0.0) + v / len(frames)
-        best = max(scores, key=scores.__getitem__)
+            shares = {"green": np.float64(green_share(f)), "edges": np.float64(edge_density(f))}
+            votes = next(votes for cuts, votes in LAYOUTS if not cuts or _holds(cuts, **shares))
+            for view, share in votes.items():
+                scores[view] += share / len(frames)
+        best = max(VIEWS, key=scores.__getitem__) if frames else VIEWS[-1]
         return best, scores[best], scores
 
 

@@ -39,36 +39,3 @@ def latest_run(table: DataFrame, run_col: str = "run_id") -> DataFrame:
     """Rows of the last run; with the column as a partition only that run's files are read."""
     last = table.agg(F.max(run_col).alias("r")).first().r
     return table.where(F.col(run_col) == last) if last is not None else table.limit(0)
-
-
-def attempts(jobs: DataFrame, fetch, times: int = 3, waits: tuple[float, ...] = (5.0, 15.0), sleep=None) -> DataFrame:
-    """jobs (id, url) with ok, attempts and error after fetch(url) -> (ok, error), tried again until it succeeds.
-
-    A failure is a row, never a failed task; a timeout (error "timeout") is not tried again. The result should be stored
-    before it is used twice, as fetching has side effects.
-    """
-    import time
-
-    import pandas as pd
-
-    rest = sleep or time.sleep
-
-    def run(batches):
-        for rows in batches:
-            out = []
-            for key, url in zip(rows["id"], rows["url"]):
-                ok, error, tried = False, "", 0
-                while tried < times and not ok:
-                    tried += 1
-                    try:
-                        ok, error = fetch(url)
-                    except Exception as e:  # what went wrong is a column of the result
-                        ok, error = False, str(e)
-                    if ok or error == "timeout":
-                        break
-                    if tried < times:
-                        rest(waits[min(tried, len(waits)) - 1])
-                out.append((key, url, ok, tried, None if ok else error))
-            yield pd.DataFrame(out, columns=["id", "url", "ok", "attempts", "error"])
-
-    return jobs.select("id", "url").mapInPandas(run, "id string, url string, ok boolean, attempts int, error string")

@@ -9,21 +9,36 @@ from tamarack.operators import acquire, evaluate, gate, purity, replay, report,
 from tamarack.sources import delivery, frames
 
 
-def test_tried_needs_a_file_and_stops_at_a_timeout():
+def test_trials_need_a_file_and_stop_at_a_timeout(spark):
     waits = []
     codes = iter([(1, "x\nERROR: gone\n"), (0, ""), (0, "")])
-    sizes = iter([0, 5])
-    assert acquire.tried(lambda: next(codes), lambda: next(sizes), 3, (5.0, 15.0), waits.append) == (True, 3, "") and waits == [5.0, 15.0]
+    sizes = iter([7, 0, 5])
+    got = acquire.trial_list([acquire.Strategy("s", lambda: next(codes), lambda: next(sizes), 3, (5.0, 15.0))], (), waits.append)
+    assert [(t["code"], t["bytes"]) for t in got] == [(1, 7), (0, 0), (0, 5)] and waits == [5.0, 15.0]
 
     def late():
         raise TimeoutError("timeout after 300s")
 
-    assert acquire.tried(late, lambda: 1, 3, (5.0,), waits.append) == (False, 1, "timeout after 300s")
-    assert acquire.tried(lambda: (1, "a\nERROR: b\nERROR: c"), lambda: 0, 1, (5.0,), waits.append)[2] == "ERROR: b | ERROR: c"
-    assert acquire.tried(lambda: (0, ""), lambda: 0, 1, (5.0,), waits.append)[2] == "exit 0, no output file"
+    def said(run, size=lambda: 0):
+        trials = acquire.trial_list([acquire.Strategy("s", run, size, 3, (5.0,))], (), lambda s: None)
+        df = spark.createDataFrame([(trials,)], f"trials array<{acquire.TRIAL}>")
+        last = F.element_at("trials", -1)
+        return df.select(F.size("trials"), acquire.worked(last), acquire.trouble(last)).first()
+
+    assert tuple(said(late, lambda: 1)) == (1, False, "timeout after 300s")
+    assert tuple(said(lambda: (1, "a\nERROR: b\r\nERROR: c"))) == (3, False, "ERROR: b | ERROR: c")
+    assert said(lambda: (0, ""))[2] == "exit 0, no output file"
+    assert said(lambda: (2, "a\n\n b\nc\nd\n"))[2] == "b | c | d" and len(said(lambda: (2, "x" * 900))[2]) == 300
+    assert said(lambda: 1 / 0)[2] == "ZeroDivisionError: division by zero"
+    assert said(lambda: (0, ""), lambda: 9)[1]
     assert acquire.runtime_args({"node": "n"}.get) == ["--js-runtimes", "node"] and acquire.runtime_args({"deno": "d", "node": "n"}.get) == [] == acquire.runtime_args({}.get)
 
 
+def test_waits_of_outcomes():
+    waits = []
+    assert len(list(acquire.outcomes(lambda: 1 / 0, 4, (5.0, 15.0), waits.append))) == 4 and waits == [5.0, 15.0, 15.0]
+
+
 def test_search_and_lookup(spark):
     def find(query, limit):
         if "bad" in query:
@@ -56,7 +71,8 @@ def test_sections_fall_back(spark):
 
     got = {r["index"]: r for r in acquire.download_sections(plans, section, full, lambda whole, s, n, path: done.add(path), lambda p: int(p in done), sleep=lambda s: None).collect()}
     assert [got[k].method for k in range(4)] == ["section", "full-then-trim", "failed", "failed"]
-    assert got[0].file == "/x/0" and got[2].file is None and "403" in got[2].error and "gone" in got[2].error
+    assert got[0].file == "/x/0" and got[2].file is None and got[2].error == "section: ERROR: 403 (attempts=2) | full: ERROR: gone"
+    assert got[1].error == "section: ERROR: 403 (attempts=2)" and got[0].error is None and got[3].error.startswith("section: ValueError: odd (attempts=2)")
 
 
 def test_media_rows(spark):
@@ -187,7 +203,9 @@ def test_frames(spark):
     green, black = np.zeros((20, 30, 3), np.uint8), np.zeros((20, 30, 3), np.uint8)
     green[..., 1] = 200
     assert frames.green_share(green) == 1.0 and frames.green_share(black) == 0.0 and frames.colour_entropy(black) == 0.0
-    assert frames.LayoutClassifier().classify([green])[0] == "center_field_good" and frames.LayoutClassifier().classify([]) == ("other_bad", 0.0, {})
+    assert frames.LayoutClassifier().classify([green])[0] == "center_field_good" and frames.LayoutClassifier().classify([]) == ("other_bad", 0.0, dict.fromkeys(purity.VIEWS, 0.0))
+    label, share, scores = frames.LayoutClassifier().classify([np.zeros_like(green), green])
+    assert (label, share) == ("center_field_good", 0.5) and list(scores) == list(purity.VIEWS)  # a tie goes to the first view
     assert frames.clip_hashes([green, None]) is None and len(frames.clip_hashes([green] * 8)) == 8 and len(frames.sample_times(0, 8)) == 8
 
     def broken():

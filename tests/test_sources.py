@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tamarack.operators import acquire
 from tamarack.sources import delivery, frames, records
 from tamarack.streaming import windows
 
@@ -23,7 +24,7 @@ def test_attempts_are_rows_not_failures(spark):
         return (url == "good", "timeout" if url == "slow" else "refused")
 
     jobs = spark.createDataFrame([("1", "good"), ("2", "bad"), ("3", "slow")], "id string, url string")
-    got = {r.id: (r.ok, r.attempts, r.error) for r in records.attempts(jobs, fetch, sleep=lambda s: None).collect()}
+    got = {r.id: (r.ok, r.attempts, r.error) for r in acquire.attempts(jobs, fetch, sleep=lambda s: None).collect()}
     assert got == {"1": (True, 1, None), "2": (False, 3, "refused"), "3": (False, 1, "timeout")}
 
 
