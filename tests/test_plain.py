@@ -1,14 +1,12 @@
 """Queries that SQL does not express, against plain Python over whole tables of sf0.01."""
 
 import os
-from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tamarack.catalog import QUERIES
-from tamarack.operators.events import Params, localize, localize_stream
+from tamarack.operators.events import Params
 from tamarack.plans import signals
 
 SF = "/root/testdata/sf0.01"
@@ -149,23 +147,3 @@ def test_q27_by_all_pairs(spark):
             wanted[a] = "removed" if a in removed else "flagged" if a in flagged else "kept"
     got = {r.clip_id: r.status for r in QUERIES["q27_neardup_greedy"](spark, SF).collect()}
     assert got == wanted
-
-
-@needs
-def test_q18_over_a_stream(spark, tmp_path):
-    """The machine over a stream, in several batches and out of order, gives the rows of the table."""
-    p = Params(low=0.2, high=0.3, min_prepared=0.3, min_active=0.3, min_settle=0.3, quiet_anchor=0.2)
-    samples = signals._samples(spark, SF).where("crc32(shot_id) % 3 = 0").toPandas().sample(frac=1.0, random_state=3)
-    samples["ts"] = [datetime(2024, 1, 1) + timedelta(seconds=float(t)) for t in samples.t]
-    kind = "shot_id string, t double, smoothed double, shot_start double, shot_end double, ts timestamp"
-    # The sample at a shot's end comes in the last batch; the watermark allows for the disorder.
-    ends = samples.t >= samples.shot_end
-    parts = [*(samples[~ends].iloc[k::3] for k in range(3)), samples[ends]]
-    for k, part in enumerate(parts):
-        spark.createDataFrame(pd.DataFrame(part), kind).coalesce(1).write.parquet(f"{tmp_path}/{k}")
-    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/*")
-    q = localize_stream(stream, p, late="10 days").writeStream.format("memory").queryName("machine").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    key = lambda df: sorted(map(repr, (tuple(r) for r in df.collect())))
-    whole = localize(spark.createDataFrame(pd.DataFrame(samples), kind).drop("ts"), p)
-    assert key(spark.table("machine")) == key(whole) and whole.where(F.col("kind") == "event").count() > 0
