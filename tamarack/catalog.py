@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import accounting, discovery, running, signals  # noqa: F401
+from .plans import accounting, discovery, running, signals, streams  # noqa: F401
 from .plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

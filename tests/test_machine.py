@@ -77,3 +77,9 @@ def test_q18_over_a_stream(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out").where("shot_id != 'clock'")
     assert key(got) == key(localize(samples_df := spark.createDataFrame(samples[["shot_id", "t", "smoothed", "shot_start", "shot_end"]]), p)) and samples_df.count() > 1000
     assert key(got) == key(QUERIES["q18_localize_relative"](spark, SF))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_q71_is_q18(spark):
+    key = lambda df: sorted(map(repr, (tuple(r) for r in df.collect())))
+    assert key(QUERIES["q71_localize_stream"](spark, SF)) == key(QUERIES["q18_localize_relative"](spark, SF))
