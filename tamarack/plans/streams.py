@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.events import Params
-from ..sources import scan
+from ..sources import batches, scan
 from ..sources.shared import shared_path
 from ..streaming.machine import localize_stream
 from .registry import query, table
@@ -38,3 +38,19 @@ def q72_frame_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan.record(signal, place, 10.0)
     found = scan.frames(spark, place, fps="2").where("t >= 1 AND t < 7.5")
     return found.select("source", "frame", "t", F.round(F.col("value")[0].cast("double"), 3).alias("value"))
+
+
+@query("""WITH kept AS (SELECT source, doc_id, lang, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)),
+bad AS (SELECT source, count(*) AS excluded FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY source)
+SELECT source AS batch_id, format('p{:02d}', row_number() OVER (PARTITION BY source ORDER BY n_chars, doc_id)) AS number, doc_id, lang, n_chars, count(*) OVER (PARTITION BY source) AS items, coalesce(excluded, 0) AS excluded
+FROM kept LEFT JOIN bad USING (source)""")
+def q73_deliver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source of documents as a batch, toxic ones excluded, all in one job; read back with the index."""
+    root = shared_path(spark, "batches")
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("batch_id"), "doc_id", "lang", "n_chars")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").join(docs.select("batch_id", "doc_id"), "doc_id").select("batch_id", "doc_id", F.lit("toxic").alias("reason"))
+    batches.deliver_run(docs, root, id_col="doc_id", order=["n_chars", "doc_id"], exclude=toxic)
+    index = batches.index(spark, root)
+    names = [r.batch_id for r in index.select("batch_id").collect()]  # as many as sources
+    items = batches.delivered(spark, root, names)
+    return items.join(index.select("batch_id", "items", F.size("excluded").cast("long").alias("excluded")), "batch_id").select("batch_id", "number", "doc_id", "lang", "n_chars", "items", "excluded")

@@ -1,13 +1,12 @@
-"""Sinks: staged, immutable batches with an index that is appended last."""
+"""Delivery: items of batches, single batches, manifests of runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-class BatchExists(Exception):
-    """A batch of that name has been delivered; batches never change."""
+from . import batches
+from .batches import BatchExists  # noqa: F401
 
 
 def _fs(spark: SparkSession, path: str):
@@ -16,15 +15,21 @@ def _fs(spark: SparkSession, path: str):
 
 
 def replace_folder(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Store df beside its place, then rename it there, in the place of what was there."""
+    """Store df beside its place, then rename it there; what was there is kept beside it until then, and put back if a crash came between."""
     spark = df.sparkSession
-    staged = f"{path}.staged"
-    df.write.mode("overwrite").format(kind).save(staged)
+    staged, aside = f"{path}.staged", f"{path}.before"
     fs, target = _fs(spark, path)
+    old = _fs(spark, aside)[1]
+    if fs.exists(old) and not fs.exists(target):
+        fs.rename(old, target)
+    df.write.mode("overwrite").format(kind).save(staged)
     if fs.exists(target):
-        fs.delete(target, True)
+        fs.delete(old, True)
+        fs.rename(target, old)
     if not fs.rename(_fs(spark, staged)[1], target):
+        fs.rename(old, target)
         raise OSError(f"cannot move {staged} to {path}")
+    fs.delete(old, True)
 
 
 class HiddenCut(Exception):
@@ -56,35 +61,14 @@ def parse_exclusions(given: list[str], default: str = "excluded by review") -> d
 
 
 def deliver(items: DataFrame, root: str, batch_id: str, exclude: dict[str, str] | None = None, least: int = 1, id_col: str = "item_id", order: list[str] | None = None) -> str:
-    """Store items as the batch root/batch_id and append it to root/index; gives the batch's path.
-
-    Items are renumbered p01, p02, ... in order after exclusions, which the index records. The batch is written beside its
-    place and renamed, and the index follows only then, so that readers of the index never meet half a batch.
-    """
+    """Store items as the batch root/batch_id and append it to root/index; gives the batch's path. See `batches` for what holds when something fails."""
     spark = items.sparkSession
-    place, staged = f"{root}/{batch_id}", f"{root}/.staged-{batch_id}"
-    fs, target = _fs(spark, place)
-    if fs.exists(target):
-        raise BatchExists(place)
-    left = items.where(~F.col(id_col).isin(*(exclude or {""})))
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.orderBy(*(order or [id_col])))  # a batch is one source's few clips
-    numbered = left.withColumn("__n", n).withColumn("number", F.concat(F.lit("p"), F.lpad(F.col("__n").cast("string"), 2, "0"))).drop("__n")
-    numbered.write.mode("overwrite").parquet(staged)
-    count = spark.read.parquet(staged).count()
-    if count < least:
-        fs.delete(_fs(spark, staged)[1], True)
-        raise ValueError(f"{count} items, {least} needed")
-    if not fs.rename(_fs(spark, staged)[1], target):
-        raise OSError(f"cannot move a batch to {place}")
-    try:
-        index = spark.createDataFrame([(batch_id, count, dict(exclude or {}))], "batch_id string, items long, excluded map<string,string>")
-        index.withColumn("delivered_at", F.current_timestamp()).coalesce(1).write.mode("append").json(f"{root}/index")
-    except Exception:
-        fs.delete(target, True)
-        raise
-    return place
+    left_out = None
+    if exclude:
+        rows = spark.createDataFrame([(batch_id, k, v) for k, v in exclude.items()], "batch_id string, id string, reason string")
+        left_out = rows.select("batch_id", F.col("id").cast(items.schema[id_col].dataType).alias(id_col), "reason")
+    batches.deliver_run(items.withColumn("batch_id", F.lit(batch_id)), root, "batch_id", id_col, order, left_out, least)
+    return f"{root}/{batch_id}"
 
 
 def write_run(df: DataFrame, path: str, *partitions: str) -> None:
