@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 
 def change_points(rows: DataFrame, keys: list[str], order: list[str], same) -> DataFrame:
     """rows with is_cut: unlike the row before, and unlike the one before also one row later (a flash is no cut), unless last."""
@@ -17,26 +19,40 @@ def change_points(rows: DataFrame, keys: list[str], order: list[str], same) -> D
     return flagged.withColumn("is_cut", cut).drop("__before", "__after")
 
 
-def spaced_cuts(cuts, length: float, gap: float = 0.4):
-    """Shots (start, end) from an array of cut times: cuts at least `gap` after the one accepted before, slivers merged backwards."""
-    accepted = F.aggregate(F.sort_array(cuts), F.array(F.lit(0.0)), lambda s, c: F.when(c - F.element_at(s, -1) >= gap, F.concat(s, F.array(c))).otherwise(s))
-    bounds = F.concat(accepted, F.array(length))
-    shots = F.zip_with(F.slice(bounds, F.lit(1), F.size(bounds) - 1), F.slice(bounds, F.lit(2), F.size(bounds) - 1), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
-    real = F.filter(shots, lambda s: s["end"] > s["start"])
-
-    def merge(done, shot):
-        last = F.element_at(done, -1)
-        short = (shot["end"] - shot["start"] < gap) | (last["end"] - last["start"] < gap)
-        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), shot["end"].alias("end"))))
-        return F.when(F.size(done) == 0, F.array(shot)).when(short, joined).otherwise(F.concat(done, F.array(shot)))
+def accepted_cuts(cuts: DataFrame, roots: DataFrame, keys: list[str], gap: float) -> DataFrame:
+    """(keys, t): the root of each group, and of its cuts those at least `gap` after the one accepted before.
 
-    return F.aggregate(real, F.array().cast("array<struct<start:double,end:double>>"), merge)
+    Which cut follows an accepted one depends on it alone: the first `gap` or more after it, found for all cuts by one
+    ordered pass. From the roots, steps are doubled: after k rounds the first 2**k of each chain are known, so that the
+    rounds go with the logarithm of the longest chain and no row grows with a group.
+    """
+    cuts = cuts.where(F.col("t") >= gap).distinct()
+    probes = cuts.unionByName(roots).withColumn("__at", F.col("t") + gap).withColumn("__cut", F.lit(None).cast("double"))
+    both = probes.unionByName(cuts.withColumn("__at", F.col("t")).withColumn("__cut", F.col("t")))
+    later = Window.partitionBy(*keys).orderBy(F.desc("__at"), F.desc_nulls_last("__cut")).rowsBetween(Window.unboundedPreceding, 0)
+    step = both.withColumn("next", F.last("__cut", ignorenulls=True).over(later)).where("__cut IS NULL AND next IS NOT NULL").select(*keys, "t", "next")
+    known, step = stored(roots, "cuts"), stored(step, "steps")
+    while True:
+        new = stored(known.join(step, [*keys, "t"]).select(*keys, F.col("next").alias("t")), "cuts")
+        if new.isEmpty():
+            return known
+        known = known.unionByName(new)
+        step = stored(step.join(step.select(*keys, F.col("t").alias("next"), F.col("next").alias("__far")), [*keys, "next"]).select(*keys, "t", F.col("__far").alias("next")), "steps")
 
 
 def shots_of(rows: DataFrame, keys: list[str], time: str, cut: str, gap: float = 0.4) -> DataFrame:
-    """(keys, shot, start, end) from rows whose cut flag marks the time of a change; a group's signal is one array of its cuts."""
-    grouped = rows.groupBy(*keys).agg(F.collect_list(F.when(F.col(cut), F.col(time))).alias("__cuts"), F.max(time).alias("__length"))
-    return grouped.select(*keys, F.posexplode(spaced_cuts(F.col("__cuts"), F.col("__length"), gap)).alias("shot", "__s")).select(*keys, "shot", "__s.start", "__s.end")
+    """(keys, shot, start, end) from rows whose cut flag marks the time of a change, times from 0 on.
+
+    Cuts follow the accepted one before by `gap` or more. As these are that far apart, only what is left after the last
+    can be a sliver; it goes to the shot before.
+    """
+    length = rows.groupBy(*keys).agg(F.max(time).cast("double").alias("__length")).where("__length > 0")
+    at = rows.where(F.col(cut)).select(*keys, F.col(time).cast("double").alias("t"))
+    accepted = accepted_cuts(at, length.select(*keys, F.lit(0.0).alias("t")), keys, gap).join(length, keys)
+    w = Window.partitionBy(*keys).orderBy("t")
+    sliver = F.lead("t").over(w).isNull() & (F.col("t") > 0) & (F.col("__length") - F.col("t") < gap)
+    starts = accepted.withColumn("__sliver", sliver).where("NOT __sliver")
+    return starts.select(*keys, (F.row_number().over(w) - 1).alias("shot"), F.col("t").alias("start"), F.coalesce(F.lead("t").over(w), "__length").alias("end"))
 
 
 def smooth(rows: DataFrame, keys: list[str], order: list[str], value: str, median: int = 1, trail: int = 3) -> DataFrame:

@@ -28,14 +28,23 @@ def q12_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.change_points(e, KEYS, ORDER, lambda a, b: a["event_type"] == b["event_type"]).select("event_id", "user_id", "is_cut")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id, ts, event_type, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id, CAST(ts AS DATE)))::DOUBLE AS t FROM events),
+near AS (SELECT *, lag(event_type) OVER w AS b, lead(event_type) OVER w AS a FROM e WINDOW w AS (PARTITION BY user_id, day ORDER BY ts, event_id)),
+cuts AS (SELECT DISTINCT user_id, day, t FROM near WHERE b <> event_type AND (a IS NULL OR a <> b)),
+groups AS (SELECT user_id, day, max(t) AS length FROM e GROUP BY 1, 2 HAVING max(t) > 0),
+kept AS (SELECT user_id, day, 0.0::DOUBLE AS t FROM groups
+    UNION ALL SELECT k.user_id, k.day, min(c.t) FROM kept k JOIN cuts c ON c.user_id = k.user_id AND c.day = k.day AND c.t - k.t >= 1800e6 GROUP BY k.user_id, k.day, k.t),
+whole AS (SELECT k.*, length FROM kept k JOIN groups USING (user_id, day)),
+real AS (SELECT * FROM whole QUALIFY NOT (lead(t) OVER (PARTITION BY user_id, day ORDER BY t) IS NULL AND t > 0 AND length - t < 1800e6))
+SELECT user_id, day, CAST(row_number() OVER w - 1 AS INT) AS shot, t / 1e6 AS start, coalesce(lead(t) OVER w, length) / 1e6 AS "end" FROM real WINDOW w AS (PARTITION BY user_id, day ORDER BY t)""")
 def q13_sliver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shots of each user's day: cuts at least 1800 s apart, slivers merged."""
-    e = timed(spark, sf_dir).withColumn("day", F.to_date("ts"))
-    first = F.min("t").over(Window.partitionBy("user_id", "day"))
-    e = e.select("event_id", "user_id", "day", "ts", "event_type", (F.col("t") - first).alias("t"))
+    """Shots of each user's day: cuts at least 1800 s apart, slivers merged; times in microseconds are whole until the end."""
+    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string")).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    first = F.min("us").over(Window.partitionBy("user_id", "day"))
+    e = e.select("event_id", "user_id", "day", "ts", "event_type", (F.col("us") - first).cast("double").alias("t"))
     cut = signal.change_points(e, ["user_id", "day"], ORDER, lambda a, b: a["event_type"] == b["event_type"])
-    return signal.shots_of(cut, ["user_id", "day"], "t", "is_cut", 1800.0).withColumn("start", F.round("start", 3)).withColumn("end", F.round("end", 3))
+    shots = signal.shots_of(cut, ["user_id", "day"], "t", "is_cut", 1800e6)
+    return shots.withColumn("start", F.col("start") / 1e6).withColumn("end", F.col("end") / 1e6)
 
 
 SMOOTH = """level AS (SELECT *, quantile_cont(value, 0.5) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS m FROM events),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -17,3 +17,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
         where = "file://" + tempfile.mkdtemp(prefix="tamarack-")
         spark.conf.set("spark.checkpoint.dir", where)
     return f"{where.rstrip('/')}/tamarack/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df written below the shared folder and read back: what follows doesn't compute it again, also where executors are lost."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,9 +1,11 @@
 """The event machine and signal operators on small signals."""
 
+import random
+
 import pytest
 
 from tamarack.operators.events import Params, Shot, localize
-from tamarack.operators.signal import spaced_cuts, spikes
+from tamarack.operators.signal import shots_of, spikes
 
 
 def v(text):
@@ -57,16 +59,34 @@ def test_grouped_over_any_partitioning(spark):
     assert once == again and [r[1] for r in once] == ["event", "event"]
 
 
-def test_cuts_and_slivers(spark):
-    from pyspark.sql import functions as F
+def fold(cuts, length, gap=0.4):
+    """Shots by a loop over the cuts."""
+    bounds = [0.0]
+    for c in sorted(cuts):
+        if c - bounds[-1] >= gap:
+            bounds.append(c)
+    shots = []
+    for a, b in zip(bounds, [*bounds[1:], length]):
+        if b <= a:
+            continue
+        if shots and (b - a < gap or shots[-1][1] - shots[-1][0] < gap):
+            shots[-1] = (shots[-1][0], b)
+        else:
+            shots.append((a, b))
+    return shots
 
-    def shots(cuts, length):
-        a = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-        return [tuple(s) for s in spark.range(1).select(spaced_cuts(a, F.lit(float(length))).alias("s")).first().s]
 
-    assert shots([], 5) == [(0.0, 5.0)]
-    assert shots([2, 2.1, 3], 5) == [(0.0, 2.0), (2.0, 3.0), (3.0, 5.0)]
-    assert shots([0.2, 2], 2.1) == [(0.0, 2.1)]
+def test_cuts_and_slivers(spark):
+    rng = random.Random(4)
+    cases = [([], 5.0), ([2.0, 2.1, 3.0], 5.0), ([0.2, 2.0], 2.1), ([0.0, 0.25, 0.5], 0.5), ([], 0.0), ([1.0, 1.0, 1.0], 1.0)]
+    cases += [([rng.randrange(4000) / 8 for _ in range(rng.choice([1, 5, 60, 700]))], 500.0) for _ in range(25)]
+    rows = [(k, c, True) for k, (cuts, _) in enumerate(cases) for c in cuts] + [(k, n, False) for k, (_, n) in enumerate(cases)]
+    got = {}
+    for r in shots_of(spark.createDataFrame(rows, "g int, t double, cut boolean"), ["g"], "t", "cut").orderBy("g", "shot").collect():
+        got.setdefault(r.g, []).append((r.start, r.end))
+        assert r.shot == len(got[r.g]) - 1
+    assert got == {k: s for k, (cuts, n) in enumerate(cases) if (s := fold(cuts, n))}
+    assert got[0] == [(0.0, 5.0)] and got[1] == [(0.0, 2.0), (2.0, 3.0), (3.0, 5.0)] and got[2] == [(0.0, 2.1)] and 4 not in got
 
 
 def test_jump_cut(spark):
