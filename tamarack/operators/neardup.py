@@ -1,14 +1,14 @@
-"""Near-duplicate clips: band join on time, Hamming distance of frame hashes, sequential resolution."""
+"""Near-duplicate clips: joins by time and by bands of frame hashes, resolution in runs of conflicting pairs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vector
+from ..sources.shared import stored
+from .graph import chase
 
 
 def band_pairs(rows: DataFrame, keys: list[str], id_col: str, time: str, hash_col: str, gap: float = 60, most: int = 8) -> DataFrame:
@@ -23,6 +23,68 @@ def band_pairs(rows: DataFrame, keys: list[str], id_col: str, time: str, hash_co
     return near.withColumn("distance", vector.hamming(F.col("__ha"), F.col("__hb"))).where(F.col("distance") <= most).select(*keys, "id_a", "id_b", "distance")
 
 
+def mean_distance(a: Column, b: Column) -> Column:
+    """Mean Hamming distance of two arrays of hashes over as many as both have."""
+    bits = F.zip_with(F.slice(a, 1, F.least(F.size(a), F.size(b))), F.slice(b, 1, F.least(F.size(a), F.size(b))), vector.hamming)
+    return F.aggregate(bits, F.lit(0).cast("double"), lambda s, x: s + x) / F.greatest(F.lit(1), F.least(F.size(a), F.size(b)))
+
+
+def similar_pairs(rows: DataFrame, keys: list[str], place: str, hashes: str, most: float) -> DataFrame:
+    """(keys, i, j, mean) of rows i < j (by `place`) of one key whose hashes are `most` bits apart in the mean or less.
+
+    The least distance of two hashes at the same index is no more than the mean; so that of 64 bits dealt into
+    floor(most) + 1 bands one band at one index must be equal. Rows are joined on (index, band, bits) alone, a pair is
+    taken where its first equal band is, and only then compared in full.
+    """
+    bands = int(most) + 1
+    cut = [64 * k // bands for k in range(bands + 1)]
+    band = lambda h, k: F.shiftright(h, cut[k]).bitwiseAND(F.lit((1 << (cut[k + 1] - cut[k])) - 1).cast("long"))
+    signs = F.flatten(F.transform(F.col(hashes), lambda h: F.array(*[band(h, k) for k in range(bands)])))
+    each = rows.where(F.size(hashes) > 0).select(*keys, F.col(place).alias("__i"), F.col(hashes).alias("__h"), signs.alias("__s"))
+    each = each.select("*", F.posexplode("__s").alias("__band", "__bits"))
+    left = each.select(*keys, F.col("__i").alias("i"), F.col("__h").alias("__ha"), F.col("__s").alias("__sa"), "__band", "__bits")
+    right = each.select(*keys, F.col("__i").alias("j"), F.col("__h").alias("__hb"), F.col("__s").alias("__sb"), "__band", "__bits")
+    met = left.join(right, [*keys, "__band", "__bits"]).where("i < j")
+    first = F.array_position(F.zip_with("__sa", "__sb", lambda a, b: F.coalesce(a == b, F.lit(False))), True) - 1
+    mean = mean_distance(F.col("__ha"), F.col("__hb"))
+    return met.where(first == F.col("__band")).withColumn("mean", mean).where(F.col("mean") <= most).select(*keys, "i", "j", "mean")
+
+
+def overlapping_pairs(rows: DataFrame, keys: list[str], place: str, start: str, end: str, width: float = 60.0) -> DataFrame:
+    """(keys, i, j) of rows i < j (by `place`, which follows start) whose times overlap: a start is met in its own bucket of time only."""
+    known = rows.where(F.col(start).isNotNull() & F.col(end).isNotNull())
+    bucket = lambda c: F.floor(F.col(c) / width).cast("long")
+    left = known.select(*keys, F.col(place).alias("i"), F.col(start).alias("__s"), F.col(end).alias("__e"), F.explode(F.sequence(bucket(start), F.greatest(bucket(start), bucket(end)))).alias("__b"))
+    right = known.select(*keys, F.col(place).alias("j"), F.col(start).alias("__t"), F.col(end).alias("__u"), bucket(start).alias("__b"))
+    return left.join(right, [*keys, "__b"]).where((F.col("i") < F.col("j")) & vector.overlaps(F.col("__s"), F.col("__e"), F.col("__t"), F.col("__u"))).select(*keys, "i", "j")
+
+
+def conflict_runs(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """pairs (keys, i, j) with `run`: stretches of places that no pair reaches out of, found by a sweep over the pairs' first places."""
+    w = Window.partitionBy(*keys).orderBy("i", "j")
+    reach = F.max("j").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return pairs.withColumn("__new", F.coalesce((F.col("i") > reach).cast("long"), F.lit(1))).withColumn("run", F.sum("__new").over(w)).drop("__new")
+
+
+def losses(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, lost, to, i, j) of pairs (keys, i, j, loser, winner) taken in order of i and j: one of which either has lost before is left out.
+
+    Only pairs of one conflict run depend on each other, so a run is a group.
+    """
+    schema = pairs.select(*keys, F.col("loser").alias("lost"), F.col("winner").alias("to"), "i", "j").schema
+
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("i", "ascending"), ("j", "ascending")])
+        gone, take = set(), []
+        for n, (i, j, loser) in enumerate(zip(rows.column("i").to_pylist(), rows.column("j").to_pylist(), rows.column("loser").to_pylist())):
+            if i not in gone and j not in gone:
+                gone.add(loser)
+                take.append(n)
+        return rows.take(pa.array(take, pa.int64())).select([*keys, "loser", "winner", "i", "j"]).rename_columns(schema.names)
+
+    return conflict_runs(pairs, keys).groupBy(*keys, "run").applyInArrow(one, schema)
+
+
 STATUS = "source string, clip_id string, status string, duplicate_of string, confidence double, reason string"
 
 
@@ -30,53 +92,39 @@ def resolve(clips: DataFrame, gap: float = 60.0, most: float = 8.0, tolerance: f
     """(source, clip_id, status, duplicate_of, confidence, reason) of clips (source, clip_id, frame_hashes, clip_start, clip_end, duration).
 
     Clips are taken in order of clip_start: a removed clip is compared no more, overlapping ones lose the shorter, ones that
-    look alike within the gap lose the shorter (the later of equals), and ones further apart are flagged and kept. As each
-    decision depends on earlier ones, a source's clips are one group.
+    look alike within the gap lose the shorter (the later of equals), and ones further apart, or whose times are not all
+    known, are flagged and kept. Pairs that overlap come from a join by time, alike ones from a banded index of hashes; what
+    depends on earlier decisions is settled in runs of conflicting pairs, and a removed clip's kept one by following
+    duplicates. Clips without hashes look like none.
     """
-
-    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["clip_start", "clip_id"]).to_dict("records")
-        lost: dict[str, tuple[str, float, str]] = {}
-        flagged: set[str] = set()
-
-        def verdicts(a: dict, rest: list[dict]) -> Iterator[tuple[dict, dict, float, str]]:
-            for b in rest:
-                if a["clip_id"] in lost:
-                    return
-                if b["clip_id"] in lost:
-                    continue
-                times = [a["clip_start"], a["clip_end"], b["clip_start"], b["clip_end"]]
-                known = all(pd.notna(x) for x in times)
-                apart = max(0.0, times[2] - times[1], times[0] - times[3]) if known else None
-                shorter, longer = (a, b) if a["duration"] < b["duration"] else (b, a)
-                if known and times[1] > times[2] and times[3] > times[0]:
-                    yield shorter, longer, 1.0, "time-overlap"
-                    continue
-                if a["frame_hashes"] is None or b["frame_hashes"] is None:
-                    continue
-                bits = [((int(x) ^ int(y)) & (2**64 - 1)).bit_count() for x, y in zip(a["frame_hashes"], b["frame_hashes"])]
-                mean = sum(bits) / max(1, len(a["frame_hashes"]))
-                if mean > most or abs(a["duration"] - b["duration"]) / max(a["duration"], b["duration"], 1e-6) > tolerance:
-                    continue
-                if apart is None or apart > gap:
-                    flagged.update((a["clip_id"], b["clip_id"]))
-                else:
-                    yield shorter, longer, round(1 - mean / 64, 3), "near-identical-frames"
-
-        for k, a in enumerate(rows):
-            for loser, winner, sure, why in verdicts(a, rows[k + 1 :]):
-                lost[loser["clip_id"]] = (winner["clip_id"], sure, why)
-        out = []
-        for r in rows:
-            own = r["clip_id"]
-            if own in lost:
-                kept, seen = lost[own][0], {own}
-                while kept in lost and kept not in seen:
-                    seen.add(kept)
-                    kept = lost[kept][0]
-                out.append((key[0], own, "removed", kept, *lost[own][1:]))
-            else:
-                out.append((key[0], own, "flagged" if own in flagged else "kept", None, None, None))
-        return pd.DataFrame(out, columns=["source", "clip_id", "status", "duplicate_of", "confidence", "reason"])
-
-    return clips.groupBy("source").applyInPandas(one, STATUS)
+    key = ["source"]
+    place = F.row_number().over(Window.partitionBy("source").orderBy(F.asc_nulls_last("clip_start"), "clip_id"))
+    rows = stored(clips.select("source", "clip_id", "frame_hashes", "clip_start", "clip_end", "duration").withColumn("place", place), "clips")
+    times = lambda p, n: rows.select("source", F.col("place").alias(n), F.col("clip_start").alias(f"{p}s"), F.col("clip_end").alias(f"{p}e"), F.col("duration").alias(f"{p}d"))
+    alike = similar_pairs(rows, key, "place", "frame_hashes", most).join(times("a", "i"), [*key, "i"]).join(times("b", "j"), [*key, "j"])
+    alike = alike.where(F.abs(F.col("ad") - F.col("bd")) / F.greatest("ad", "bd", F.lit(1e-6)) <= tolerance)
+    apart = vector.time_gap(F.col("as"), F.col("ae"), F.col("bs"), F.col("be"))
+    together = F.coalesce(vector.overlaps(F.col("as"), F.col("ae"), F.col("bs"), F.col("be")) & apart.isNotNull(), F.lit(False))
+    alike = stored(alike.where(~together).select(*key, "i", "j", "ad", "bd", "mean", F.coalesce(apart <= gap, F.lit(False)).alias("near")), "alike")
+
+    shorter = lambda a, b: F.when(F.col("ad") < F.col("bd"), F.col(a)).otherwise(F.col(b))
+    over = overlapping_pairs(rows, key, "place", "clip_start", "clip_end", gap).join(times("a", "i"), [*key, "i"]).join(times("b", "j"), [*key, "j"]).select(*key, "i", "j", "ad", "bd", F.lit(None).cast("double").alias("mean"))
+    conflicts = over.unionByName(alike.where("near").select(*key, "i", "j", "ad", "bd", "mean")).select(*key, "i", "j", "mean", shorter("i", "j").alias("loser"), shorter("j", "i").alias("winner"))
+    conflicts = stored(conflicts, "conflicts")
+    lost = stored(losses(conflicts, key).join(conflicts.select(*key, "i", "j", "mean"), [*key, "i", "j"]), "losses")
+
+    # A pair that is far apart flags both if neither had lost when it was looked at, which was at (i, j).
+    when = lambda n: lost.select(*key, F.col("lost").alias(n), F.struct("i", "j").alias(f"__{n}"))
+    alive = lambda n: F.coalesce(F.col(f"__{n}") > F.struct("i", "j"), F.lit(True))
+    far = alike.where("NOT near").join(when("i"), [*key, "i"], "left").join(when("j"), [*key, "j"], "left").where(alive("i") & alive("j"))
+    flagged = far.select(*key, F.explode(F.array("i", "j")).alias("place")).distinct().withColumn("flag", F.lit(True))
+
+    ends = chase(lost.select(F.struct("source", F.col("lost").alias("place")).alias("node"), F.struct("source", F.col("to").alias("place")).alias("to")))
+    kept = ends.select(F.col("node.source").alias("source"), F.col("node.place").alias("place"), F.col("last.place").alias("__kept"))
+    of_lost = lost.select(*key, F.col("lost").alias("place"), "mean", F.lit(True).alias("gone")).join(kept, [*key, "place"])
+    names = rows.select(*key, F.col("place").alias("__kept"), F.col("clip_id").alias("duplicate_of"))
+    told = rows.select(*key, "place", "clip_id").join(of_lost, [*key, "place"], "left").join(flagged, [*key, "place"], "left").join(names, [*key, "__kept"], "left")
+    status = F.when(F.col("gone"), "removed").when(F.col("flag"), "flagged").otherwise("kept")
+    sure = F.when(F.col("gone"), F.coalesce(F.bround(1 - F.col("mean") / 64, 3), F.lit(1.0)))
+    why = F.when(F.col("gone"), F.when(F.col("mean").isNull(), "time-overlap").otherwise("near-identical-frames"))
+    return told.select("source", "clip_id", status.alias("status"), "duplicate_of", sure.alias("confidence"), why.alias("reason"))

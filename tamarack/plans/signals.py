@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vector
 from ..operators import events as machine
-from ..operators import neardup, purity, report, signal
+from ..operators import graph, neardup, purity, report, signal
 from .registry import query, table
 
 KEYS, ORDER = ["user_id"], ["ts", "event_id"]
@@ -179,7 +179,25 @@ def q26_neardup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.band_pairs(e, [], "vec_id", "at", "h", 60, 20)
 
 
-@query()
+LIKE = "mean <= 24 AND abs(ad - bd) / greatest(ad, bd) <= 0.25"
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT label::VARCHAR AS source, vec_id::VARCHAR AS clip_id, row_number() OVER (PARTITION BY label ORDER BY vec_id * 10.0, vec_id::VARCHAR) AS p, vec_id * 10.0::DOUBLE AS s,
+    5.0::DOUBLE + vec_id % 3 AS d, s + 5 + vec_id % 3 AS e, array_to_string(list_transform(embedding[1:64]::DOUBLE[], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '')::BIT AS h FROM embeddings),
+pairs AS (SELECT a.source, a.p AS i, b.p AS j, a.d AS ad, b.d AS bd, bit_count(xor(a.h, b.h))::DOUBLE AS mean, greatest(0, b.s - a.e, a.s - b.e) AS apart, a.e > b.s AND b.e > a.s AS meet FROM c a JOIN c b ON a.source = b.source AND a.p < b.p),
+conflicts AS (SELECT *, CASE WHEN ad < bd THEN i ELSE j END AS loser, CASE WHEN ad < bd THEN j ELSE i END AS winner, row_number() OVER (PARTITION BY source ORDER BY i, j) AS k FROM pairs WHERE meet OR ({LIKE} AND apart <= 400)),
+sim AS (SELECT DISTINCT source, 0::BIGINT AS k, []::BIGINT[] AS gone, []::BIGINT[] AS took FROM c
+    UNION ALL SELECT s.source, f.k, CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gone ELSE list_append(gone, loser) END, CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN took ELSE list_append(took, f.k) END
+    FROM sim s JOIN conflicts f ON f.source = s.source AND f.k = s.k + 1),
+lost AS (SELECT f.* FROM (SELECT source, unnest(took) AS k FROM (SELECT source, arg_max(took, k) AS took FROM sim GROUP BY source)) JOIN conflicts f USING (source, k)),
+chain AS (SELECT source, loser AS p, winner AS last, 1 AS steps FROM lost UNION ALL SELECT c.source, c.p, l.winner, steps + 1 FROM chain c JOIN lost l ON l.source = c.source AND l.loser = c.last),
+ends AS (SELECT source, p, arg_max(last, steps) AS last FROM chain GROUP BY 1, 2),
+far AS (SELECT x.source, x.i, x.j FROM pairs x LEFT JOIN lost a ON a.source = x.source AND a.loser = x.i LEFT JOIN lost b ON b.source = x.source AND b.loser = x.j
+    WHERE NOT x.meet AND x.mean <= 24 AND abs(x.ad - x.bd) / greatest(x.ad, x.bd) <= 0.25 AND x.apart > 400 AND (a.i IS NULL OR (a.i, a.j) > (x.i, x.j)) AND (b.i IS NULL OR (b.i, b.j) > (x.i, x.j))),
+flags AS (SELECT DISTINCT source, unnest([i, j]) AS p FROM far)
+SELECT c.source, c.clip_id, CASE WHEN l.loser IS NOT NULL THEN 'removed' WHEN f.p IS NOT NULL THEN 'flagged' ELSE 'kept' END AS status, t.clip_id AS duplicate_of,
+    CASE WHEN l.meet THEN 1.0 WHEN l.loser IS NOT NULL THEN round_even(1 - l.mean / 64, 3) END::DOUBLE AS confidence, CASE WHEN l.meet THEN 'time-overlap' WHEN l.loser IS NOT NULL THEN 'near-identical-frames' END AS reason
+FROM c LEFT JOIN lost l ON l.source = c.source AND l.loser = c.p LEFT JOIN flags f ON f.source = c.source AND f.p = c.p LEFT JOIN ends n ON n.source = c.source AND n.p = c.p LEFT JOIN c t ON t.source = c.source AND t.p = n.last""")
 def q27_neardup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     clips = e.select(F.col("label").cast("string").alias("source"), F.col("vec_id").cast("string").alias("clip_id"), F.array(vector.sign_bits(F.col("embedding"))).alias("frame_hashes"), (F.col("vec_id") * 10.0).alias("clip_start"), (F.col("vec_id") * 10.0 + 5 + F.col("vec_id") % 3).alias("clip_end"), (5.0 + F.col("vec_id") % 3).alias("duration"))
@@ -213,3 +231,13 @@ def q47_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = e.where("event_type = 'view'").groupBy("user_id", "ts").agg(F.max("event_id").alias("view_id"), F.max_by("value", "event_id").alias("view_value"))
     clicks = e.where("event_type = 'click'").select("event_id", "user_id", "ts")
     return signal.as_of(clicks, views.withColumnRenamed("ts", "vts").select("user_id", "vts", "view_id", "view_value"), KEYS, "ts", "vts", ["view_id", "view_value"]).select("event_id", "view_id", "view_value")
+
+
+@query("""WITH RECURSIVE p AS (SELECT doc_id AS node, lag(doc_id) OVER (PARTITION BY md5(text) ORDER BY doc_id) AS prev FROM documents),
+chain AS (SELECT node, prev AS last, 1 AS steps FROM p WHERE prev IS NOT NULL UNION ALL SELECT c.node, p.prev, steps + 1 FROM chain c JOIN p ON p.node = c.last WHERE p.prev IS NOT NULL)
+SELECT node AS doc_id, arg_max(last, steps) AS first_copy, max(steps) AS steps FROM chain GROUP BY node""")
+def q74_copies_to_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each copy of a text points to the one before it; following that leads to the first."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
+    pointers = d.select(F.col("doc_id").alias("node"), F.lag("doc_id").over(Window.partitionBy("h").orderBy("doc_id")).alias("to")).where("to IS NOT NULL")
+    return graph.chase(pointers).select(F.col("node").alias("doc_id"), F.col("last").alias("first_copy"), "steps")

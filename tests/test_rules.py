@@ -1,10 +1,12 @@
 """Classification, years, contexts, plans, tiers and reports on small rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tamarack.functions import score, text, vector
-from tamarack.operators import discover, gate, neardup, purity, report
+from tamarack.operators import discover, gate, graph, neardup, purity, report
 
 
 def one(spark, expr):
@@ -105,6 +107,64 @@ def test_near_duplicate_resolution(spark):
     assert got == {"a": ("flagged", None), "b": ("removed", "a"), "c": ("flagged", None), "d": ("kept", None), "e": ("kept", None)}
 
 
+def plain_resolution(rows, gap=60.0, most=8.0, tolerance=0.25):
+    """{clip: (status, duplicate_of, confidence, reason)} of one source by a loop over all pairs."""
+    rows = sorted(rows, key=lambda r: (r[3] is None, r[3] or 0.0, r[1]))
+    lost, flagged = {}, set()
+    for n, a in enumerate(rows):
+        for b in rows[n + 1 :]:
+            if a[1] in lost:
+                break
+            if b[1] in lost:
+                continue
+            known = None not in (a[3], a[4], b[3], b[4])
+            loser, winner = (a, b) if a[5] < b[5] else (b, a)
+            if known and a[4] > b[3] and b[4] > a[3]:
+                lost[loser[1]] = (winner[1], 1.0, "time-overlap")
+            elif a[2] and b[2]:
+                bits = [((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a[2], b[2])]
+                mean = sum(bits) / len(bits)
+                if mean <= most and abs(a[5] - b[5]) / max(a[5], b[5], 1e-6) <= tolerance:
+                    if known and max(0.0, b[3] - a[4], a[3] - b[4]) <= gap:
+                        lost[loser[1]] = (winner[1], round(1 - mean / 64, 3), "near-identical-frames")
+                    else:
+                        flagged |= {a[1], b[1]}
+    out = {}
+    for r in rows:
+        kept = r[1]
+        while kept in lost:
+            kept = lost[kept][0]
+        out[r[1]] = ("removed", kept, *lost[r[1]][1:]) if r[1] in lost else ("flagged" if r[1] in flagged else "kept", None, None, None)
+    return out
+
+
+def test_resolution_by_all_pairs(spark):
+    rng = random.Random(6)
+    looks = [[rng.getrandbits(64) - 2**63 for _ in range(8)] for _ in range(4)]
+    rows = []
+    for s in range(8):
+        for k in range(60):
+            base = rng.choice(looks)
+            hashes = [h ^ sum(1 << k for k in rng.sample(range(63), rng.choice([0, 2, 6, 9, 12]))) for h in base][: rng.choice([8, 8, 8, 3])]
+            start = rng.choice([None, *[round(rng.uniform(0, 900), 1)] * 12])
+            length = rng.choice([4.0, 5.0, 5.5, 8.0])
+            rows.append((f"s{s}", f"c{k:02d}", rng.choice([hashes] * 9 + [None, []]), start, None if start is None or rng.random() < 0.05 else start + length, length))
+    df = spark.createDataFrame(rows, "source string, clip_id string, frame_hashes array<long>, clip_start double, clip_end double, duration double")
+    got = {}
+    for r in neardup.resolve(df).collect():
+        got.setdefault(r.source, {})[r.clip_id] = (r.status, r.duplicate_of, r.confidence, r.reason)
+    assert got == {s: plain_resolution([r for r in rows if r[0] == s]) for s in got} and len(got) == 8
+    kinds = [v[0] + str(v[3]) for s in got.values() for v in s.values()]
+    assert len(set(kinds)) == 4 and neardup.resolve(df.where("false")).count() == 0
+
+
+def test_chains_of_pointers(spark):
+    links = [(k, k + 1) for k in range(40)] + [(1000, 1001), (1001, 1002), (1002, 1000), (5000, 5000)]
+    got = {r.node: (r.last, r.steps) for r in graph.chase(spark.createDataFrame(links, "node long, to long")).collect()}
+    assert all(got[k] == (40, 40 - k) for k in range(40)) and got[1000] == (1002, 2) and 5000 not in got
+    assert graph.chase(spark.createDataFrame([], "node string, to string")).count() == 0
+
+
 def test_clip_bounds(spark):
     rows = [("p001", "s0", 0.0, 10.0, 2.0, 3.0, 4.5, 4.9), ("p002", "s0", 0.0, 10.0, 5.0, 6.0, 7.5, 7.9), ("p003", "s1", 10.0, 20.0, 10.2, 11.0, 12.5, 12.9)]
     df = spark.createDataFrame(rows, "event_id string, shot string, shot_start double, shot_end double, clip_start double, onset double, settle double, clip_end double")
