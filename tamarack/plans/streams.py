@@ -1,10 +1,11 @@
-"""Queries of streams and of the library's own data sources."""
+"""Queries of streams, of the library's own data sources, and of calibration."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import calibrate
 from ..operators.events import Params
 from ..sources import batches, scan
 from ..sources.shared import shared_path
@@ -54,3 +55,30 @@ def q73_deliver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [r.batch_id for r in index.select("batch_id").collect()]  # as many as sources
     items = batches.delivered(spark, root, names)
     return items.join(index.select("batch_id", "items", F.size("excluded").cast("long").alias("excluded")), "batch_id").select("batch_id", "number", "doc_id", "lang", "n_chars", "items", "excluded")
+
+
+#: Levels for signals of users' values, lower than those of the default grid.
+LEVELS = {"low": (0.2,), "high": (0.3, 0.4), "decay_ratio": (0.5, 0.7), "min_settle": (0.2, 0.3), "gap_bridge": (0.2, 0.3), "min_prepared": (0.1, 0.2), "min_active": (0.2,), "quiet_anchor": (0.2,)}
+
+
+def calibration_windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Windows of 40 samples of each user, and their samples: complete where a fifth of the rows are purchases; groups of users are held out."""
+    c = F.col
+    n = F.expr("row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1")
+    bought = table(spark, sf_dir, "events").select("user_id", F.floor(n / 40).alias("block"), (c("event_type") == "purchase").alias("buy"))
+    complete = bought.groupBy("user_id", "block").agg((F.count_if("buy") * 5 >= F.count(F.lit(1))).alias("complete"))
+    name = lambda u, b: F.concat_ws("-", u, b.cast("string"))
+    s = _samples(spark, sf_dir).withColumn("block", F.floor(F.round(c("t") * 10) / 40)).withColumn("window_id", name(c("shot_id"), c("block")))
+    w = F.expr("block * 4.0D")
+    samples = s.select("window_id", "t", "smoothed", w.alias("t0"), F.expr("least(block * 4.0D + 3.9D, shot_end)").alias("t1"))
+    bounds = samples.groupBy("window_id").agg(F.max("t0").alias("t0"), F.max("t1").alias("t1"))
+    windows = complete.select(name(c("user_id").cast("string"), c("block")).alias("window_id"), (c("user_id") % 7).alias("held"), "complete").join(bounds, "window_id")
+    return windows.withColumn("latest", F.expr("t0 + 1.0D")).withColumn("earliest", F.expr("t1 - 1.0D")), samples
+
+
+@query()
+def q75_calibrate_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each group of users the parameters that the others' windows rate best, and how these do on its own."""
+    windows, samples = calibration_windows(spark, sf_dir)
+    rows = calibrate.judged(windows, samples, calibrate.machine_grid(LEVELS))
+    return calibrate.chosen(calibrate.held_out(rows))

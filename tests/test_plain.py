@@ -6,8 +6,9 @@ import pandas as pd
 import pytest
 
 from tamarack.catalog import QUERIES
-from tamarack.operators.events import Params
-from tamarack.plans import signals
+from tamarack.operators import calibrate
+from tamarack.operators.events import Params, Shot
+from tamarack.plans import signals, streams
 
 SF = "/root/testdata/sf0.01"
 needs = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
@@ -146,3 +147,43 @@ def test_q27_by_all_pairs(spark):
             wanted[a] = "removed" if a in removed else "flagged" if a in flagged else "kept"
     got = {r.clip_id: r.status for r in QUERIES["q27_neardup_greedy"](spark, SF).collect()}
     assert got == wanted
+
+
+def plain_rates(rows):
+    """Counts and rates of (outcome, strict start, strict end), rounded to 3 places."""
+    n = {k: sum(r[0].startswith(k) for r in rows) for k in ("TP", "FP", "FN", "TN")}
+    tps = [r for r in rows if r[0] == "TP"]
+    p = n["TP"] / (n["TP"] + n["FP"]) if n["TP"] + n["FP"] else 0.0
+    r = n["TP"] / (n["TP"] + n["FN"]) if n["TP"] + n["FN"] else 0.0
+    f1 = 2 * p * r / (p + r) if p + r else 0.0
+    return [n["TP"], n["FP"], n["FN"], n["TN"], *(round(x + 1e-12, 3) for x in (p, r, f1, sum(x[1] for x in tps) / max(1, len(tps)), sum(x[2] for x in tps) / max(1, len(tps)), n["FP"] / max(1, n["FP"] + n["TN"])))]
+
+
+@needs
+def test_q75_by_loops(spark):
+    windows, samples = (df.toPandas() for df in streams.calibration_windows(spark, SF))
+    sets = calibrate.machine_grid(streams.LEVELS)
+    assert len(sets) == 33 and len(calibrate.machine_grid()) == 33
+    of = {k: g.sort_values("t") for k, g in samples.groupby("window_id")}
+    judged = {}
+    for w in windows.itertuples():
+        g = of[w.window_id]
+        for name, p in sets.items():
+            events = [(r[1], r[5]) for r in Shot(g.t, g.smoothed, w.t0, w.t1, p).results() if r[0] == "event"]
+            half = (w.t1 - w.t0) * 0.5
+            hits = [e for e in events if e[0] <= w.t0 + half and e[1] >= w.t1 - half]
+            if w.complete:
+                row = ("TP", hits[0][0] <= (w.latest or 1e9), hits[0][1] >= (w.earliest or -1e9)) if hits else ("FN-start" if events else "FN-none", False, False)
+            else:
+                row = ("FP" if events else "TN", True, True)
+            judged.setdefault(name, []).append((w.held, row))
+    wanted = {}
+    for held in set(windows.held):
+        best = min(((-plain_rates([r for h, r in rows if h != held])[6], -plain_rates([r for h, r in rows if h != held])[4], name) for name, rows in judged.items()))
+        wanted[held] = (best[2], -best[0], plain_rates([r for h, r in judged[best[2]] if h == held]))
+    got = {r.held: r for r in QUERIES["q75_calibrate_machine"](spark, SF).collect()}
+    names = ["tp", "fp", "fn", "tn", "precision", "recall", "f1", "strict_start", "strict_end", "false_rate"]
+    assert {k: (r.config, r.train_f1, [r[n] for n in names]) for k, r in got.items()} == wanted
+    assert sum(r.tp for r in got.values()) > 0 and sum(r.fp for r in got.values()) > 0
+    one = calibrate.pooled(QUERIES["q75_calibrate_machine"](spark, SF)).first()
+    assert [one[n] for n in names] == plain_rates([r for held, (name, _, _) in wanted.items() for h, r in judged[name] if h == held])
