@@ -128,3 +128,38 @@ def clip_bounds(events: DataFrame, keys: list[str], pre: float = 2.0, post: floa
     end = F.least(c("shot_end") - end_edge, c("settle") + post, c("__later") - gap)
     rows = rows.withColumn("__s", F.least(start, c("clip_start"))).withColumn("__e", F.least(F.greatest(end, c("clip_end")), c("shot_end") - end_edge))
     return rows.withColumn("start", F.round("__s", 3)).withColumn("end", F.round(F.least(c("__e"), c("__s") + most), 3)).drop("__earlier", "__later", "__earlier2", "__later2", "__s", "__e")
+
+
+def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: list[float], accuracy: int = 1000) -> DataFrame:
+    """(keys, n, quantiles): exact quantiles of each group, interpolated; no state grows with a group's distinct values.
+
+    A sketch of bounded size brackets each quantile by values whose ranks are off by a share of 1/accuracy at most. A
+    second pass counts what lies below each bracket and, of values within one, each with how often it comes, so that only
+    about a 4/accuracy part of the distinct values is sorted. Should a sketch be off further than it says, the group is
+    computed in full. Nulls don't count; a group of nulls only has no quantiles.
+    """
+    x, off = F.col("__x"), 2.0 / accuracy
+    known = rows.select(*keys, F.col(value).cast("double").alias("__x")).where(x.isNotNull())
+    probes = [p for q in shares for p in (max(0.0, q - off), min(1.0, q + off))]
+    sketch = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probes, accuracy).alias("__p"), F.min(x).alias("__min"), F.max(x).alias("__max"))
+    brackets = F.array(*[
+        F.struct(F.lit(k).alias("k"), (F.col("__min") if q - off <= 0 else F.get("__p", 2 * k)).alias("low"), (F.col("__max") if q + off >= 1 else F.get("__p", 2 * k + 1)).alias("high"), (F.lit(q) * (F.col("n") - 1)).alias("at"))
+        for k, q in enumerate(shares)
+    ])
+    held = sketch.select(*keys, "n", brackets.alias("__b"))
+    both = known.join(held, keys)
+    below = both.groupBy(*keys).agg(F.array(*[F.count_if(x < F.col("__b")[k]["low"]) for k in range(len(shares))]).alias("__below"))
+    within = both.select(*keys, "__x", F.explode(F.filter("__b", lambda b: (x >= b["low"]) & (x <= b["high"]))).alias("b")).groupBy(*keys, F.col("b.k").alias("k"), "__x").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*keys, "k").orderBy("__x")
+    placed = within.withColumn("__to", F.sum("__c").over(w)).join(below, keys).join(held, keys)
+    first = F.col("__below")[F.col("k")] + F.col("__to") - F.col("__c")
+    at = F.col("__b")[F.col("k")]["at"]
+    has = lambda rank: (first <= rank) & (rank < first + F.col("__c"))
+    ranks = placed.groupBy(*keys, "k").agg(F.max(at).alias("at"), F.max(F.when(has(F.floor(at)), x)).alias("low"), F.max(F.when(has(F.ceil(at)), x)).alias("high"))
+    lower, upper = F.floor("at"), F.ceil("at")
+    one = F.when(lower == upper, F.col("low")).otherwise((upper - F.col("at")) * F.col("low") + (F.col("at") - lower) * F.col("high"))
+    found = ranks.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("k", one.alias("v")))), lambda r: r["v"]).alias("__q"))
+    out = sketch.select(*keys, "n").join(found, keys, "left").withColumn("__whole", (F.size("__q") == len(shares)) & ~F.exists("__q", lambda v: v.isNull()))
+    missed = out.where(~F.coalesce("__whole", F.lit(False))).select(*keys, "n")
+    rest = known.join(missed, keys).groupBy(*keys).agg(F.max("n").alias("n"), F.percentile("__x", F.array(*[F.lit(q) for q in shares])).alias("quantiles"))
+    return out.where("__whole").select(*keys, "n", F.col("__q").alias("quantiles")).unionByName(rest)

@@ -7,10 +7,10 @@ from types import SimpleNamespace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import score, text
+from ..functions import generators, score, text
 from ..operators import discover
 from ..rules import domain, generic
-from .registry import any_of, query, table
+from .registry import ORACLES, any_of, query, table
 
 #: The default scores over channels that the driver's tables have.
 SCORES = SimpleNamespace(OFFICIAL=["src1"], MEDIA=["src2"], GENERIC=["src3", "src4"], RISKY=["sh", "she", "the", "ß", "###", "eaux", "ción"], SEMANTIC=domain.SEMANTIC, HOLD=domain.HOLD, WEIGHTS=domain.WEIGHTS)
@@ -203,3 +203,26 @@ def q49_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q50_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = F.from_json("props", "k bigint")
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"), F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))).alias("encoded"))
+
+
+@query(ORACLES["q01_build_queries"])
+def q76_queries_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q01 as SQL over a table function."""
+    generators.register(spark)
+    return spark.sql("SELECT n_name AS name, q.* FROM {nation}, LATERAL build_queries(n_name, 5) q", nation=table(spark, sf_dir, "nation"))
+
+
+@query(ORACLES["q10_plan_segments"])
+def q77_segments_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q10 as SQL over a table function."""
+    generators.register(spark)
+    return spark.sql("SELECT p_partkey, s.* FROM {parts}, LATERAL plan_segments(duration, 20.0D) s", parts=_timed_parts(spark, sf_dir))
+
+
+@query(ORACLES["q11_plan_expansion"])
+def q78_expansion_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q11 as a table function over q10's rows, a part at a time."""
+    generators.register(spark)
+    parts = _timed_parts(spark, sf_dir).where("duration IS NOT NULL")
+    plans = discover.plan_segments(parts).select(F.col("p_partkey").alias("key"), "duration", "start", "length")
+    return spark.sql("SELECT key AS p_partkey, index, start, length FROM plan_expansion(TABLE(SELECT * FROM {plans}))", plans=plans)
