@@ -199,9 +199,13 @@ SELECT c.source, c.clip_id, CASE WHEN l.loser IS NOT NULL THEN 'removed' WHEN f.
     CASE WHEN l.meet THEN 1.0 WHEN l.loser IS NOT NULL THEN round_even(1 - l.mean / 64, 3) END::DOUBLE AS confidence, CASE WHEN l.meet THEN 'time-overlap' WHEN l.loser IS NOT NULL THEN 'near-identical-frames' END AS reason
 FROM c LEFT JOIN lost l ON l.source = c.source AND l.loser = c.p LEFT JOIN flags f ON f.source = c.source AND f.p = c.p LEFT JOIN ends n ON n.source = c.source AND n.p = c.p LEFT JOIN c t ON t.source = c.source AND t.p = n.last""")
 def q27_neardup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
-    clips = e.select(F.col("label").cast("string").alias("source"), F.col("vec_id").cast("string").alias("clip_id"), F.array(vector.sign_bits(F.col("embedding"))).alias("frame_hashes"), (F.col("vec_id") * 10.0).alias("clip_start"), (F.col("vec_id") * 10.0 + 5 + F.col("vec_id") % 3).alias("clip_end"), (5.0 + F.col("vec_id") % 3).alias("duration"))
-    return neardup.resolve(clips, gap=400.0, most=24.0)
+    return neardup.resolve(_clips(spark, sf_dir), gap=400.0, most=24.0)
+
+
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as a clip of its label, ten seconds after the one before."""
+    n = F.col("vec_id")
+    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("string").alias("source"), n.cast("string").alias("clip_id"), F.array(vector.sign_bits(F.col("embedding"))).alias("frame_hashes"), (n * 10.0).alias("clip_start"), (n * 10.0 + 5 + n % 3).alias("clip_end"), (5.0 + n % 3).alias("duration"))
 
 
 SPANS = f"""{TIMED}, a AS (SELECT event_id, user_id, t AS s, t + 7200 AS e FROM timed WHERE event_id % 2 = 0), b AS (SELECT event_id, user_id, t + 900 AS s, t + 7500 AS e FROM timed WHERE event_id % 2 = 1),

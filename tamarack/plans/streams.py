@@ -1,17 +1,17 @@
-"""Queries of streams, of the library's own data sources, and of calibration."""
+"""Queries of streams, of the library's own data sources, of calibration and of resumed runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import calibrate
+from ..operators import calibrate, neardup, resume
 from ..operators.events import Params
 from ..sources import batches, scan
 from ..sources.shared import shared_path
 from ..streaming.machine import localize_stream
-from .registry import query, table
-from .signals import _samples
+from .registry import ORACLES, query, table
+from .signals import _clips, _samples
 
 
 @query()
@@ -82,3 +82,15 @@ def q75_calibrate_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows, samples = calibration_windows(spark, sf_dir)
     rows = calibrate.judged(windows, samples, calibrate.machine_grid(LEVELS))
     return calibrate.chosen(calibrate.held_out(rows))
+
+
+@query(f"""SELECT source, clip_id, status, duplicate_of, CASE WHEN status <> 'removed' THEN format('p{{:02d}}', row_number() OVER (PARTITION BY source, status <> 'removed' ORDER BY clip_id::INT)) END AS number,
+    CASE WHEN source::INT % 3 = 0 THEN 'stale' ELSE 'current' END AS state FROM ({ORACLES["q27_neardup_greedy"]})""")
+def q79_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finals of all sources, first made of clips that differ in every third source, then brought up to date."""
+    root, clips = shared_path(spark, "finals"), _clips(spark, sf_dir)
+    decide = lambda c: neardup.resolve(c, gap=400.0, most=24.0)
+    longer = F.when(F.col("source").cast("int") % 3 == 0, F.col("duration") + 20).otherwise(F.col("duration"))
+    resume.rebuild(clips.withColumn("duration", longer), root, decide)
+    states = resume.rebuild(clips, root, decide)
+    return spark.read.parquet(f"{root}/finals").withColumn("source", F.col("source").cast("string")).join(states, "source").select("source", "clip_id", "status", "duplicate_of", "number", "state")
