@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import calibrate, neardup, resume
 from ..operators.events import Params
-from ..sources import batches, scan
+from ..sources import batches, kernels, scan
 from ..sources.shared import shared_path
 from ..streaming.machine import localize_stream
 from .registry import ORACLES, query, table
@@ -94,3 +94,13 @@ def q79_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     resume.rebuild(clips.withColumn("duration", longer), root, decide)
     states = resume.rebuild(clips, root, decide)
     return spark.read.parquet(f"{root}/finals").withColumn("source", F.col("source").cast("string")).join(states, "source").select("source", "clip_id", "status", "duplicate_of", "number", "state")
+
+
+@query()
+def q80_image_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's first 64 values as a grey image of 8 x 8: its hash, edges and brightness."""
+    pixels = F.transform(F.slice("embedding", 1, 64), lambda x: F.least(F.lit(255.0), F.greatest(F.lit(0.0), (x.cast("double") + 0.5) * 255)))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", pixels.alias("value"))
+    halves = {"high": lambda f: kernels.thumbnail_hash(f) >> 32, "low": lambda f: kernels.thumbnail_hash(f) & 0xFFFFFFFF}  # a double holds either exactly
+    out = kernels.over_batches(e, {**halves, "edges": kernels.edge_share, "brightness": lambda f: f.mean()}, (8, 8))
+    return out.select("vec_id", (F.col("high").cast("long") * 4294967296 + F.col("low").cast("long")).alias("hash"), "edges", "brightness")

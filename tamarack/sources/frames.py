@@ -1,4 +1,4 @@
-"""Kernels on decoded frames (numpy arrays); a decoder is passed in, as none is required."""
+"""Measures and classes of decoded frames (numpy arrays) and where frames come from; a decoder is passed in, as none is required. `kernels` has the image kernels."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.purity import VIEWS
+from . import kernels
 
 
 def gray(frame: np.ndarray) -> np.ndarray:
@@ -15,22 +16,6 @@ def gray(frame: np.ndarray) -> np.ndarray:
     return f if f.ndim == 2 else 0.114 * f[..., 0] + 0.587 * f[..., 1] + 0.299 * f[..., 2]
 
 
-def shrink(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Area means on a grid."""
-    rows = np.linspace(0, image.shape[0], height + 1).astype(int)
-    cols = np.linspace(0, image.shape[1], width + 1).astype(int)
-    sums = np.add.reduceat(np.add.reduceat(image.astype(np.float64), rows[:-1], 0), cols[:-1], 1)
-    return sums / np.outer(np.maximum(1, np.diff(rows)), np.maximum(1, np.diff(cols)))
-
-
-def difference_hash(frame: np.ndarray) -> int:
-    """64 bits: whether each cell of an 8 x 9 grid is darker than its right neighbour, as a signed integer."""
-    small = shrink(gray(frame), 8, 9)
-    bits = (small[:, :-1] < small[:, 1:]).ravel()
-    value = int("".join("1" if b else "0" for b in bits), 2)
-    return value - (1 << 64) if value >> 63 else value
-
-
 def motion(frames: list[np.ndarray]) -> list[float]:
     """Mean absolute difference from the frame before; the first has none."""
     grays = [gray(f) for f in frames]
@@ -67,7 +52,7 @@ def box_share(a: np.ndarray, b: np.ndarray, first: tuple, second: tuple) -> floa
 
 def clip_hashes(frames: list[np.ndarray | None]) -> list[int] | None:
     """The hashes of a clip's samples, None where one is unreadable or there is none."""
-    return [difference_hash(f) for f in frames] if frames and all(f is not None for f in frames) else None
+    return [kernels.thumbnail_hash(f) for f in frames] if frames and all(f is not None for f in frames) else None
 
 
 def sample_times(start: float, end: float, samples: int = 8) -> list[float]:
