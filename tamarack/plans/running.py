@@ -26,7 +26,7 @@ def _reason_sql() -> str:
     wording = {n: p for n, p, _ in generic.PRIORITY}
     t = "lower(title || chr(10) || description_excerpt)"
     hinted, high = any_of(t, generic.HINTS), any_of(t, wording["general_highlights"])
-    out = [f"WHEN {high} AND {any_of(t, wording[n])} THEN CASE WHEN duration >= {s} THEN '{n.replace('_', ' ')} + highlights suffix but duration consistent' ELSE '{n.replace('_', ' ')} claim contradicted by highlights wording at short/unknown duration' END" for n, s in generic.LONG_FORMS]
+    out = [f"WHEN {high} AND {any_of(t, wording[n])} THEN CASE WHEN duration >= {s} THEN '{n.replace('_', ' ')} + highlights suffix but duration consistent (' || CAST(floor(duration / 60) AS INT) || 'min)' ELSE '{n.replace('_', ' ')} claim contradicted by highlights wording at short/unknown duration' END" for n, s in generic.LONG_FORMS]
     out += [f"WHEN {any_of(t, p)} THEN " + (f"CASE WHEN {hinted} THEN '{why} + pitching context -> pitching_highlights' ELSE '{why}' END" if n == "general_highlights" else f"'{why}'") for n, p, why in generic.PRIORITY]
     return f"CASE {' '.join(out)} WHEN duration <= 65 THEN 'duration <= 65s' WHEN contains(url, '/shorts/') THEN 'shorts URL' WHEN {hinted} THEN 'pitching context only' ELSE 'no type signal' END"
 
@@ -36,7 +36,7 @@ def q54_type_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     why = text.type_and_reason(c("title"), c("description_excerpt"), c("duration"), c("url"), generic)
     rows = candidates(spark, sf_dir).select("doc_id", why.alias("w"))
-    return rows.select("doc_id", c("w.type").alias("source_type"), F.regexp_replace("w.reason", r" \(\d+min\)$", "").alias("reason"))
+    return rows.select("doc_id", c("w.type").alias("source_type"), c("w.reason").alias("reason"))
 
 
 @query(f"""WITH {FUNNEL} SELECT l_suppkey, CASE WHEN status = 'failed' THEN 'acquisition failed: tool error' WHEN context = 'non_mlb' THEN 'non-MLB competition context excluded from production' WHEN cf = 0 THEN 'zero center-field candidates in preview' ELSE
@@ -147,16 +147,21 @@ def q64_rescored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.differences(old, new, "c_custkey", ["segment", "score"]).select("c_custkey", "column")
 
 
-@query("""WITH v AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '30000/1001' WHEN 1 THEN '25/1' WHEN 2 THEN '0/0' WHEN 3 THEN 'x' ELSE '60/1' END AS r, CASE o_orderkey % 3 WHEN 0 THEN '30000/1001' WHEN 1 THEN '25/1' ELSE '59/1' END AS a FROM orders),
+@query("""WITH v AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '30000/1001' WHEN 1 THEN '25/1' WHEN 2 THEN '0/0' WHEN 3 THEN 'x' ELSE '60/1' END AS r, CASE o_orderkey % 3 WHEN 0 THEN '30000/1001' WHEN 1 THEN '25/1' ELSE '59/1' END AS a,
+    CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 1000 ELSE 0 END AS n, CASE WHEN o_orderkey % 6 > 0 THEN (o_orderkey % 900) * 0.25 ELSE 0 END AS d, CASE o_orderkey % 3 WHEN 0 THEN '1:1' WHEN 1 THEN '4:3' END AS sar, o_orderkey % 2 AS streams FROM orders),
 q AS (SELECT *, coalesce(TRY_CAST(split_part(r, '/', 1) AS DOUBLE) / nullif(TRY_CAST(nullif(split_part(r, '/', 2), '') AS DOUBLE), 0), 0) AS rr, TRY_CAST(split_part(a, '/', 1) AS DOUBLE) / TRY_CAST(split_part(a, '/', 2) AS DOUBLE) AS aa FROM v)
-SELECT o_orderkey, round(rr, 3) AS fps_float, rr <> 0 AND aa <> 0 AND coalesce(abs(rr - aa) / nullif(rr, 0) < 0.005, false) AS constant_frame_rate FROM q""")
+SELECT o_orderkey, round(rr, 3) AS fps_float, rr <> 0 AND aa <> 0 AND coalesce(abs(rr - aa) / nullif(rr, 0) < 0.005, false) AS constant_frame_rate, n::BIGINT AS frame_count, d::DOUBLE AS duration_sec, 0.5::DOUBLE AS container_start_time_sec,
+    coalesce(sar = '1:1', true) AS square_pixels, streams > 0 AS has_audio FROM q""")
 def q65_file_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     r = F.when(k % 5 == 0, "30000/1001").when(k % 5 == 1, "25/1").when(k % 5 == 2, "0/0").when(k % 5 == 3, "x").otherwise("60/1")
     avg = F.when(k % 3 == 0, "30000/1001").when(k % 3 == 1, "25/1").otherwise("59/1")
-    none = {c: F.lit(None).cast("string") for c in ("nb_read_frames", "duration", "start_time", "sample_aspect_ratio")}
-    probe = table(spark, sf_dir, "orders").select("o_orderkey", r.alias("r_frame_rate"), avg.alias("avg_frame_rate"), *[v.alias(n) for n, v in none.items()], F.lit(0).alias("audio_streams"))
-    return acquire.file_facts(probe).select("o_orderkey", "fps_float", "constant_frame_rate")
+    given = {
+        "nb_read_frames": F.when(k % 4 > 0, (k % 1000).cast("string")).otherwise("N/A"), "duration": F.when(k % 6 > 0, ((k % 900) * 0.25).cast("string")), "start_time": F.lit("0.500000"),
+        "sample_aspect_ratio": F.when(k % 3 == 0, "1:1").when(k % 3 == 1, "4:3"), "audio_streams": k % 2,
+    }
+    probe = table(spark, sf_dir, "orders").select("o_orderkey", r.alias("r_frame_rate"), avg.alias("avg_frame_rate"), *[v.alias(n) for n, v in given.items()])
+    return acquire.file_facts(probe).select("o_orderkey", "fps_float", "constant_frame_rate", "frame_count", "duration_sec", "container_start_time_sec", "square_pixels", "has_audio")
 
 
 @query("""WITH f AS (SELECT l_suppkey, l_orderkey * 10 + l_linenumber AS frame, l_discount::DOUBLE * 6 AS green, l_tax::DOUBLE * 3 AS edges FROM lineitem),
@@ -209,12 +214,19 @@ def q69_delivery_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.delivery_items(clips, e, shots, ["o_custkey"]).select("clip_id", "start", "end", "onset_at", "settle_at")
 
 
-@query(f"""WITH {FUNNEL} SELECT l_suppkey, round(coalesce(shots / nullif(seconds, 0), 0), 4) AS center_field_rate, coalesce(CASE WHEN l_suppkey % 4 <> 0 THEN seconds END, 0) > 0 AS timed, CASE WHEN l_suppkey % 6 = 0 THEN 'checked' END AS note FROM decided""")
+@query(f"""WITH {FUNNEL}, r AS (SELECT l_suppkey, status, context, seconds AS shots, shots AS cf, complete, final, start_incomplete AS bad_start, discontinuous, l_suppkey % 7 AS removed, CASE WHEN l_suppkey % 4 <> 0 THEN seconds END AS length FROM decided),
+x AS (SELECT *, coalesce(round(cf / nullif(shots, 0), 4), 0) AS center_field_rate, coalesce(round(complete / nullif(cf, 0), 4), 0) AS complete_yield, coalesce(round(final / nullif(cf, 0), 4), 0) AS final_yield,
+    coalesce(round(final / nullif(coalesce(length, 0) / 60.0::DOUBLE, 0), 4), 0) AS clips_per_source_minute FROM r)
+SELECT l_suppkey, center_field_rate, complete_yield, final_yield, clips_per_source_minute, coalesce(length, 0) > 0 AS timed, CASE WHEN l_suppkey % 6 = 0 THEN 'checked' END AS note,
+    CASE WHEN status <> 'ok' THEN CASE WHEN context = 'non_mlb' THEN 'SOURCE_NOT_MLB' WHEN shots = 0 THEN 'UNKNOWN' WHEN center_field_rate < 0.3 THEN 'LOW_CENTER_FIELD_COVERAGE' WHEN bad_start > 0 THEN 'HIGH_START_INCOMPLETE'
+        WHEN complete = 0 AND final = 0 THEN 'ZERO_USABLE_EVENTS' WHEN complete_yield < 0.05 THEN 'LOW_COMPLETE_EVENT_YIELD' WHEN length < 180 THEN 'SOURCE_TOO_SHORT' WHEN discontinuous / shots >= 0.05 THEN 'SOURCE_BAD_EDITING' ELSE 'UNKNOWN' END END AS failure,
+    coalesce(removed / nullif(removed + final, 0)::DOUBLE > 0.3, false) AS dedup_warning FROM x""")
 def q70_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a report over runs, with durations and notes given from outside."""
     c = F.col
     f = funnel(spark, sf_dir).select(c("l_suppkey").alias("video_id"), c("seconds").cast("double").alias("shot_count"), c("shots").alias("center_field_candidates"), c("complete").alias("complete_events"), c("final").alias("final_clip_count"), "status", c("context").alias("competition_context"),
-        c("start_incomplete").alias("rejected_start_incomplete"), F.lit(0).alias("rejected_end_incomplete"), F.lit(0).alias("rejected_no_complete_pitch"), c("discontinuous").alias("rejected_discontinuity"), F.lit(0).alias("duplicate_rejected"))
+        c("start_incomplete").alias("rejected_start_incomplete"), F.lit(0).alias("rejected_end_incomplete"), F.lit(0).alias("rejected_no_complete_pitch"), c("discontinuous").alias("rejected_discontinuity"), (c("l_suppkey") % 7).alias("duplicate_rejected"))
     durations = f.where("video_id % 4 <> 0").select("video_id", c("shot_count").alias("seconds"))
     notes = f.where("video_id % 6 = 0").select("video_id", F.lit("checked").alias("note"))
-    return replay.report_rows(f, durations, notes).select(c("video_id").alias("l_suppkey"), "center_field_rate", (F.coalesce("seconds", F.lit(0.0)) > 0).alias("timed"), "note")
+    rows = replay.report_rows(f, durations, notes).withColumn("timed", F.coalesce("seconds", F.lit(0.0)) > 0)
+    return rows.select(c("video_id").alias("l_suppkey"), "center_field_rate", "complete_yield", "final_yield", "clips_per_source_minute", "timed", "note", "failure", "dedup_warning")
