@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import calibrate, neardup, resume
+from ..operators import calibrate, neardup, product, resume
 from ..operators.events import Params
 from ..sources import batches, kernels, scan
 from ..sources.shared import shared_path
@@ -104,3 +104,43 @@ def q80_image_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
     halves = {"high": lambda f: kernels.thumbnail_hash(f) >> 32, "low": lambda f: kernels.thumbnail_hash(f) & 0xFFFFFFFF}  # a double holds either exactly
     out = kernels.over_batches(e, {**halves, "edges": kernels.edge_share, "brightness": lambda f: f.mean()}, (8, 8))
     return out.select("vec_id", (F.col("high").cast("long") * 4294967296 + F.col("low").cast("long")).alias("hash"), "edges", "brightness")
+
+
+@query("""WITH cand AS (SELECT o_custkey AS run_id, o_orderkey AS v, o_totalprice::DOUBLE AS s, CASE WHEN o_orderkey % 5 = 0 THEN 'non_mlb' WHEN o_orderkey % 5 = 1 THEN 'unknown' ELSE 'mlb' END AS context, o_orderkey % 7 = 0 AS game,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice::DOUBLE DESC, o_orderkey) AS rk FROM orders),
+chosen AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY rk) AS r FROM cand WHERE rk <= 6 AND context <> 'non_mlb' AND NOT game QUALIFY r <= 3),
+lines AS (SELECT l_orderkey AS v, count(*) AS n, sum(l_quantity)::DOUBLE AS seconds FROM lineitem GROUP BY 1),
+said AS (SELECT c.*, coalesce(n, 0) AS n, coalesce(seconds, 0) AS seconds, CASE v % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 END AS tier FROM chosen c LEFT JOIN lines USING (v)),
+tried AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY tier, CASE WHEN tier <= 2 THEN -(v % 6) ELSE -(v % 9 + 1) END, -s, r) AS attempt FROM said WHERE tier IS NOT NULL),
+firsts AS (SELECT run_id, min(attempt) FILTER (v % 11 > 0 AND n >= 3) AS won, count(*) AS selected, count(*) FILTER (v % 11 = 0) AS lost FROM tried GROUP BY 1),
+ended AS (SELECT f.run_id, won, selected, lost, v, seconds, n FROM firsts f LEFT JOIN tried t ON t.run_id = f.run_id AND t.attempt = f.won)
+SELECT run_id, CASE WHEN e.won IS NOT NULL THEN 'ok' WHEN e.selected > 0 AND e.lost = e.selected THEN 'acquisition_failed' ELSE 'no_suitable_source' END AS status, e.v AS video_id, coalesce(e.won, e.selected, 0) AS attempted,
+    coalesce(CASE WHEN e.won IS NOT NULL THEN e.n END, 0) AS final_clips, coalesce(CASE WHEN e.won IS NOT NULL THEN e.seconds END, 0) AS final_seconds
+FROM (SELECT DISTINCT run_id FROM cand) LEFT JOIN ended e USING (run_id)""")
+def q81_whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each customer, whose orders are its candidates and their lines the clips; tools are plans over the tables."""
+    c, k = F.col, F.col("video_id").cast("long")
+    o = table(spark, sf_dir, "orders")
+    context = F.when(c("o_orderkey") % 5 == 0, "non_mlb").when(c("o_orderkey") % 5 == 1, "unknown").otherwise("mlb")
+    rows = o.select(
+        c("o_custkey").cast("string").alias("run_id"), c("o_orderkey").cast("string").alias("video_id"), F.lit("u").alias("url"), c("o_totalprice").cast("double").alias("final_score"), c("o_orderkey").alias("ord"), F.lit(False).alias("given"),
+        context.alias("competition_context"), F.when(c("o_orderkey") % 7 == 0, "full_game").otherwise("full_outing").alias("source_type"),
+    )
+
+    def preview(sources: DataFrame) -> DataFrame:
+        kind = F.when(k % 4 == 0, "recommended").when(k % 4 == 1, "borderline").otherwise("reject")
+        state = F.when(k % 4 == 2, "insufficient").otherwise("sufficient_good")
+        return sources.select("run_id", "video_id", "competition_context", F.lit("ok").alias("preview_status"), kind.alias("preview_decision"), state.alias("evidence_state"), (k % 6).alias("complete_events"), (k % 9 + 1).alias("center_field_shots"))
+
+    def make(sources: DataFrame) -> DataFrame:
+        n = c("l_linenumber").cast("long")
+        clip = F.struct(n.cast("string").alias("clip_id"), F.array(F.xxhash64("l_linenumber")).alias("frame_hashes"), (n * 100.0).alias("clip_start"), (n * 100.0 + 1).alias("clip_end"), c("l_quantity").cast("double").alias("duration"), F.concat_ws("/", "video_id", n.cast("string")).alias("path"))
+        lines = table(spark, sf_dir, "lineitem").withColumn("video_id", c("l_orderkey").cast("string"))
+        clips = sources.select("run_id", "video_id").join(lines, "video_id").groupBy("run_id", "video_id").agg(F.collect_list(clip).alias("clips"))  # an order has few lines
+        ok = k % 11 > 0
+        return sources.select("run_id", "video_id").join(clips, ["run_id", "video_id"], "left").select("run_id", "video_id", ok.alias("downloaded"), ok.alias("normalised"), F.coalesce("clips", F.array().cast(product.CLIPS)).alias("clips"), F.lit(None).cast("string").alias("error"))
+
+    tools = product.Tools(preview, make, lambda paths: {"file": "+".join(paths), "duration": float(len(paths))})
+    runs = product.produce(spark, rows, tools, shared_path(spark, "runs"))
+    kept = table(spark, sf_dir, "lineitem").groupBy(c("l_orderkey").cast("string").alias("video_id")).agg(F.sum("l_quantity").cast("double").alias("__seconds"))
+    return runs.join(kept, "video_id", "left").select(c("run_id").cast("long").alias("run_id"), "status", k.alias("video_id"), "attempted", "final_clips", F.coalesce("__seconds", F.lit(0.0)).alias("final_seconds"))
