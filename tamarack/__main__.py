@@ -2,6 +2,7 @@
 
 query QUERY TABLES OUTPUT    a registered query over a folder of tables, stored as Parquet
 discover HITS OUTPUT         search results (JSON lines) to ranked candidates, those selected and those excluded
+run CANDIDATES ROOT          a whole run over what `discover` found, with the tools of a module: preview, production, finals, manifest, delivery
 segments SELECTED OUTPUT     where to look into each selected source
 locate SAMPLES OUTPUT        events and rejections of signal samples (CSV or Parquet)
 deliver ITEMS ROOT BATCH     an immutable batch of items (Parquet) and its line in the index
@@ -12,12 +13,14 @@ summary RESULTS OUTPUT       what each run came to, from the results of its sour
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import QUERIES
-from .operators import discover, evaluate, events, run
+from .functions import text
+from .operators import discover, evaluate, events, product, run
 from .sources import delivery, records
 
 
@@ -38,6 +41,18 @@ def _discover(spark: SparkSession, a: argparse.Namespace) -> None:
     run.excluded(stored).write.json(f"{a.output}/excluded")
 
 
+def _run(spark: SparkSession, a: argparse.Namespace) -> None:
+    module, _, name = a.tools.partition(":")
+    tools = getattr(importlib.import_module(module), name or "tools")
+    c = F.col
+    found = spark.read.json(a.candidates)
+    known = {"run_id": text.slug(F.lit(a.name)), "final_score": c("score"), "ord": F.lit(0), "given": F.lit(False)}
+    rows = found.withColumns({k: v for k, v in known.items() if k not in found.columns})
+    product.produce(spark, rows, tools(spark) if callable(tools) else tools, a.root, a.top, a.most, None if a.year is None else F.lit(a.year), a.least)
+    if a.deliver:
+        product.deliver(spark, a.root, a.deliver)
+
+
 def _segments(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = spark.read.schema("video_id string, url string, duration double").json(a.selected)
     discover.plan_segments(rows).write.json(a.output)
@@ -84,6 +99,14 @@ def parser() -> argparse.ArgumentParser:
     d = command("discover", _discover, "hits", "output")
     d.add_argument("--top", type=int, default=3)
     d.add_argument("--year", type=int)
+    d = command("run", _run, "candidates", "root")
+    d.add_argument("--tools", required=True, metavar="MODULE:NAME", help="a product.Tools, or a function of the session that gives one")
+    d.add_argument("--name", default="run")
+    d.add_argument("--top", type=int, default=3)
+    d.add_argument("--most", type=int, default=3)
+    d.add_argument("--year", type=int)
+    d.add_argument("--least", type=int, default=run.LEAST_CLIPS)
+    d.add_argument("--deliver", metavar="ROOT")
     command("segments", _segments, "selected", "output")
     command("locate", _locate, "samples", "output").add_argument("--absolute", action="store_true")
     d = command("deliver", _deliver, "items", "root", "batch")

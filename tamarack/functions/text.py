@@ -130,7 +130,7 @@ def iso_date(digits: Column) -> Column:
 
 def error_tail(log: Column, most: int = 300) -> Column:
     """What to keep of a tool's log: its error lines, else its last three, and no more than `most` characters."""
-    lines = F.filter(F.split(F.coalesce(log, F.lit("")), "\n"), lambda x: F.trim(x) != "")
-    errors = F.filter(lines, lambda x: F.contains(x, F.lit("ERROR")))
+    lines = F.filter(F.transform(F.split(F.coalesce(log, F.lit("")), "\\R"), lambda x: F.trim(x)), lambda x: x != "")
+    errors = F.filter(lines, lambda x: x.startswith("ERROR"))
     last = F.slice(lines, F.greatest(F.size(lines) - 2, F.lit(1)), F.lit(3))
     return F.right(F.array_join(F.when(F.size(errors) > 0, errors).otherwise(last), " | "), F.lit(most))

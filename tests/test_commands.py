@@ -2,7 +2,24 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from tamarack.__main__ import main
+from tamarack.operators import product
+
+
+def scripted(spark):
+    """Tools that admit every source and give it three clips."""
+
+    def preview(sources):
+        kind = F.when(F.col("video_id") == "a", "recommended").otherwise("borderline")
+        return sources.select("run_id", "video_id", "competition_context", F.lit("ok").alias("preview_status"), kind.alias("preview_decision"), F.lit("sufficient_good").alias("evidence_state"), F.lit(3).alias("complete_events"), F.lit(3).alias("center_field_shots"))
+
+    def produce(sources):
+        clip = lambda k: F.struct(k.cast("string").alias("clip_id"), F.array(F.xxhash64(k)).alias("frame_hashes"), (k * 100.0).alias("clip_start"), (k * 100.0 + 5).alias("clip_end"), F.lit(5.0).alias("duration"), k.cast("string").alias("path"))
+        return sources.select("run_id", "video_id", F.lit(True).alias("downloaded"), F.lit(True).alias("normalised"), F.transform(F.sequence(F.lit(1), F.lit(3)), clip).alias("clips"), F.lit(None).cast("string").alias("error"))
+
+    return product.Tools(preview, produce, lambda paths: {"file": "+".join(paths), "duration": 15.0})
 
 
 def test_discover_and_segments(spark, tmp_path):
@@ -17,6 +34,10 @@ def test_discover_and_segments(spark, tmp_path):
     selected = {r.video_id: r for r in spark.read.json(f"{tmp_path}/out/selected").collect()}
     assert set(selected) == {"a", "c"} and selected["a"].query_source == "q1 + q2"
     assert [(r.video_id, r.reason) for r in spark.read.json(f"{tmp_path}/out/excluded").collect()] == [("b", "non_mlb")]
+    main(["run", f"{tmp_path}/out/candidates", f"{tmp_path}/runs", "--name", "Jane Roe", "--tools", "test_commands:scripted", "--deliver", f"{tmp_path}/box"])
+    (got,) = spark.read.parquet(f"{tmp_path}/runs/run_manifest").collect()
+    assert (got.status, got.video_id, got.candidates, got.excluded, got.final_clips) == ("ok", "a", 3, 1, 3)
+    assert [(r.batch_id.split("-")[-1], r["items"]) for r in spark.read.json(f"{tmp_path}/box/index").collect()] == [("a", 3)]
     main(["segments", f"{tmp_path}/out/selected", f"{tmp_path}/plan"])
     assert spark.read.json(f"{tmp_path}/plan").where("video_id = 'a'").count() == 5
 
