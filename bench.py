@@ -7,7 +7,7 @@ import time
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 #: The shuffle- and compute-bound queries, and one of each family.
-NAMES = ["q06_score_candidates", "q08_rank_topn", "q09_dedup_provenance", "q12_change_points", "q14_signal_smooth", "q16_bridged_blobs", "q20_spike_detect", "q24_framing_knn", "q26_neardup_pairs", "q28_gate_funnel", "q31_tiers", "q34_iou_match", "q38_ratios_taxonomy", "q43_order_stats", "q44_delivery_manifest", "q47_asof", "q48_windows"]
+NAMES = ["q06_score_candidates", "q08_rank_topn", "q09_dedup_provenance", "q12_change_points", "q14_signal_smooth", "q16_bridged_blobs", "q20_spike_detect", "q24_framing_knn", "q26_neardup_pairs", "q28_gate_funnel", "q31_tiers", "q34_iou_match", "q38_ratios_taxonomy", "q43_order_stats", "q44_delivery_manifest", "q47_asof", "q48_windows", "q58_run_summary", "q62_veto_volume", "q67_five_samples", "q69_delivery_items"]
 
 
 def main() -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import calibrate, neardup, product, resume
+from ..operators import calibrate, neardup, product, resume, stages
 from ..operators.events import Params
 from ..sources import batches, kernels, scan
 from ..sources.shared import shared_path
@@ -144,3 +144,15 @@ def q81_whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = product.produce(spark, rows, tools, shared_path(spark, "runs"))
     kept = table(spark, sf_dir, "lineitem").groupBy(c("l_orderkey").cast("string").alias("video_id")).agg(F.sum("l_quantity").cast("double").alias("__seconds"))
     return runs.join(kept, "video_id", "left").select(c("run_id").cast("long").alias("run_id"), "status", k.alias("video_id"), "attempted", "final_clips", F.coalesce("__seconds", F.lit(0.0)).alias("final_seconds"))
+
+
+@query("""WITH s AS (SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id, event_type, value, (epoch_us(ts) // 1000000)::DOUBLE AS t FROM events),
+e AS (SELECT user_id, day, event_id, t - 1800 AS a, t + 3600 AS b FROM s WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY t, event_id) <= 2)
+SELECT user_id, day, e.event_id, t, value AS motion, s.t BETWEEN a AND b AS in_clip FROM e JOIN s USING (user_id, day)""")
+def q82_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two purchases of each user's day with all of the day's values, marked where they lie near."""
+    c = F.col
+    s = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").cast("string").alias("day"), "event_id", "event_type", F.floor(F.unix_micros(c("ts").cast("timestamp")) / 1000000).cast("double").alias("t"), c("value").alias("motion"), c("value").alias("smoothed"))
+    n = F.expr("row_number() OVER (PARTITION BY user_id, day ORDER BY t, event_id)")
+    e = s.where("event_type = 'purchase'").withColumn("n", n).where("n <= 2").select("user_id", "day", "event_id", (c("t") - 1800).alias("clip_start"), (c("t") + 3600).alias("clip_end"))
+    return stages.event_windows(e, s, ["user_id", "day"]).drop("smoothed")
