@@ -70,7 +70,7 @@ def test_pipeline_stages(spark):
 def test_registered():
     from tamarack.llm.queries import ORACLES, QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_pipeline_on_odd_tables(spark, tmp_path):
