@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
 from .gate import first_of, safe_ratio
 
 # The keys that the manifests of a run and of a source must have.
@@ -146,20 +147,21 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: list[f
         F.struct(F.lit(k).alias("k"), (F.col("__min") if q - off <= 0 else F.get("__p", 2 * k)).alias("low"), (F.col("__max") if q + off >= 1 else F.get("__p", 2 * k + 1)).alias("high"), (F.lit(q) * (F.col("n") - 1)).alias("at"))
         for k, q in enumerate(shares)
     ])
-    held = sketch.select(*keys, "n", brackets.alias("__b"))
-    both = known.join(held, keys)
-    below = both.groupBy(*keys).agg(F.array(*[F.count_if(x < F.col("__b")[k]["low"]) for k in range(len(shares))]).alias("__below"))
-    within = both.select(*keys, "__x", F.explode(F.filter("__b", lambda b: (x >= b["low"]) & (x <= b["high"]))).alias("b")).groupBy(*keys, F.col("b.k").alias("k"), "__x").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*keys, "k").orderBy("__x")
-    placed = within.withColumn("__to", F.sum("__c").over(w)).join(below, keys).join(held, keys)
-    first = F.col("__below")[F.col("k")] + F.col("__to") - F.col("__c")
-    at = F.col("__b")[F.col("k")]["at"]
-    has = lambda rank: (first <= rank) & (rank < first + F.col("__c"))
-    ranks = placed.groupBy(*keys, "k").agg(F.max(at).alias("at"), F.max(F.when(has(F.floor(at)), x)).alias("low"), F.max(F.when(has(F.ceil(at)), x)).alias("high"))
+    held = stored(sketch.select(*keys, "n", brackets.alias("__b")), "sketch")
+    # Of each bracket what lies below it is one row (of a null value), and each value within it another.
+    marks = F.transform(F.filter("__b", lambda b: x <= b["high"]), lambda b: F.struct(b["k"].alias("k"), b["at"].alias("at"), F.when(x >= b["low"], x).alias("x")))
+    counted = known.join(held, keys).select(*keys, "n", F.explode(marks).alias("m")).groupBy(*keys, "n", F.col("m.k").alias("k"), F.col("m.at").alias("at"), F.col("m.x").alias("x")).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*keys, "k").orderBy(F.asc_nulls_first("x"))
+    first = F.sum("__c").over(w) - F.col("__c")
+    placed = counted.withColumn("__first", first).where("x IS NOT NULL")
+    has = lambda rank: (F.col("__first") <= rank) & (rank < F.col("__first") + F.col("__c"))
     lower, upper = F.floor("at"), F.ceil("at")
+    ranks = placed.groupBy(*keys, "n", "k", "at").agg(F.max(F.when(has(lower), F.col("x"))).alias("low"), F.max(F.when(has(upper), F.col("x"))).alias("high"))
     one = F.when(lower == upper, F.col("low")).otherwise((upper - F.col("at")) * F.col("low") + (F.col("at") - lower) * F.col("high"))
-    found = ranks.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("k", one.alias("v")))), lambda r: r["v"]).alias("__q"))
-    out = sketch.select(*keys, "n").join(found, keys, "left").withColumn("__whole", (F.size("__q") == len(shares)) & ~F.exists("__q", lambda v: v.isNull()))
-    missed = out.where(~F.coalesce("__whole", F.lit(False))).select(*keys, "n")
+    found = ranks.groupBy(*keys, "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", one.alias("v")))), lambda r: r["v"]).alias("quantiles"))
+    found = stored(found.where((F.size("quantiles") == len(shares)) & ~F.exists("quantiles", lambda v: v.isNull())), "quantiles")
+    missed = held.select(*keys, "n").join(found, keys, "left_anti")
+    if missed.isEmpty():
+        return found
     rest = known.join(missed, keys).groupBy(*keys).agg(F.max("n").alias("n"), F.percentile("__x", F.array(*[F.lit(q) for q in shares])).alias("quantiles"))
-    return out.where("__whole").select(*keys, "n", F.col("__q").alias("quantiles")).unionByName(rest)
+    return found.unionByName(rest)
