@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 
 #: Places where cutting a text before a space or line end could change how it is split.
@@ -61,6 +65,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, build: Callable[[], object]):
+    """What a worker process keeps between tasks: one thing, so that operators run in turn by one worker don't add up."""
+    if key not in _kept:
+        forget()
+        _kept[key] = build()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Drops what this worker process has kept."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def unit_keys(block: str) -> list[str] | None:
     """A text cut before each space and line end, or None where that could change how it is split.
 
@@ -88,6 +111,42 @@ def blocks(text: str, size: int) -> Iterable[str]:
     yield text[at:]
 
 
+def in_groups(texts: Iterable[str], size: int) -> Iterator[list[tuple[bool, str]]]:
+    """(whether its text ends there, block) of the successive blocks of texts, in lists of about `size` characters."""
+    held, n = [], 0
+    for text in texts:
+        own = list(blocks(text, 1 << 20))
+        for k, block in enumerate(own, 1):
+            held.append((k == len(own), block))
+            n += len(block)
+            if n >= size:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
+
+
+def joined_slices(values: pa.Array, ends: np.ndarray) -> list[memoryview]:
+    """The values (large_binary) between successive ends, joined."""
+    if not len(values):
+        return [memoryview(b"")] * (len(ends) - 1)
+    places = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1)[ends].tolist()
+    data = memoryview(values.buffers()[2] or b"")
+    return [data[a:b] for a, b in zip(places, places[1:])]
+
+
+def gathered(texts: list[str | None], values: Callable[[list[str]], tuple[list, ...]]) -> Iterator[tuple[memoryview, ...]]:
+    """For each text the joined values of its units, which single spaces separate (a null has none).
+
+    values: distinct units -> lists of their values, bytes or text. It is called once, so that a unit which the texts
+    repeat is looked up once; Arrow cuts them, tells units apart and puts the values in order.
+    """
+    cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    coded = cut.values.dictionary_encode()
+    ends, own = cut.offsets.to_numpy(), values(coded.dictionary.to_pylist())
+    return zip(*(joined_slices(pa.array(x, pa.large_binary()).take(coded.indices), ends) for x in own))
+
+
 #: A group of over a 1/HOT part of all rows is joined by broadcast: by this definition there are fewer than HOT of them.
 HOT = 10_000
 
@@ -107,8 +166,6 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int,
 
 def sweep(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove the shuffle files of jobs that are over."""
-    import gc
-
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
-from .token_counts import CACHE_UNITS, encoder, groups
+from .common import in_groups, materialize, table
+from .token_counts import CACHE_UNITS, encoder
 
-CAPACITY = 2048
+#: Tokens of a sequence, characters of texts whose units are looked up together.
+CAPACITY, GROUP_CHARS = 2048, 4_000_000
 
 
 def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, cache_units: int = CACHE_UNITS) -> DataFrame:
@@ -50,20 +51,19 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out = encoder(vocabulary, as_bytes, "u4", cache_units), []
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, texts in groups(batch, 1):
-                for doc_id, parts in zip(ids[first:], enc.parts(texts, spaced=False)):
-                    rest, piece = b"", 0
-                    for part in parts:
-                        rest += b"".join(part)
-                        while len(rest) > step:  # its closing id is still to come
-                            out.append((doc_id, piece, piece * capacity, capacity, zlib.crc32(rest[:step])))
-                            rest, piece = rest[step:], piece + 1
-                    rest += end
-                    for at in range(0, len(rest), step):
+            ids, rest, piece = iter(batch.column(0).to_pylist()), b"", 0
+            doc_id = next(ids, None)
+            for some in in_groups((x.as_py() for x in batch.column(1)), GROUP_CHARS):
+                for (last, _), part in zip(some, enc.joined([block for _, block in some])):
+                    rest = b"".join((rest, part, end)) if last else rest + part
+                    at, upto = 0, len(rest) if last else len(rest) - 1  # the closing id of others is still to come
+                    while at + step <= upto or last and at < upto:
                         own = rest[at : at + step]
                         out.append((doc_id, piece, piece * capacity, len(own) // 4, zlib.crc32(own)))
-                        piece += 1
+                        at, piece = at + step, piece + 1
+                    rest = rest[at:]
+                    if last:
+                        doc_id, rest, piece = next(ids, None), b"", 0
                 if len(out) >= 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], schema=schema)
                     out = []

@@ -22,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, table, unit_keys, unit_text
+from .common import blocks, gathered, kept, table, unit_keys, unit_text
 
-#: Units a worker remembers, bytes of text given to one call of the library.
-CACHE_UNITS, BATCH_BYTES, BLOCK_CHARS = 1_000_000, 256_000, 64_000
+#: Units a worker remembers, characters of text given to one call of the library.
+CACHE_UNITS, BATCH_CHARS, BLOCK_CHARS = 1_000_000, 256_000, 64_000
 
 
 #: A word of Latin letters with signs after it: two matches of any pre-tokenizer used here.
@@ -79,12 +79,12 @@ class UnitEncoder:
         self.known = Known(cache_units)
 
     def encode(self, texts: list[str]) -> list:
-        """value(ids) of each text, in library calls of about BATCH_BYTES."""
+        """value(ids) of each text, in library calls of about BATCH_CHARS."""
         out, batch, size = [], [], 0
         for t in texts:
             batch.append(t)
-            size += len(t.encode())
-            if size >= BATCH_BYTES:
+            size += len(t)
+            if size >= BATCH_CHARS:
                 out += [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
                 batch, size = [], 0
         if batch:
@@ -139,6 +139,20 @@ class UnitEncoder:
                 out.append(values if block is None else self.encode([block]) + values)
             yield out
 
+    def joined(self, texts: list[str]) -> Iterator[memoryview]:
+        """For each text the values (bytes) of its units one after the other; white space only separates, as `spaced` false above."""
+        known = self.known
+        known.turn()
+
+        def values(units: list[str]) -> tuple[list]:
+            out = list(map(known.__getitem__, units))
+            if known.new:
+                self.learn(False)
+                out = [known[u] if x is None else x for u, x in zip(units, out)]
+            return (out,)
+
+        return (own for (own,) in gathered([lower_latin(t).replace("\n", " ") for t in texts], values))
+
 
 def groups(batch: pa.RecordBatch, column: int, size: int = 1 << 20, rows: int = 500) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of successive rows of a batch with about so many bytes."""
@@ -153,15 +167,9 @@ def groups(batch: pa.RecordBatch, column: int, size: int = 1 << 20, rows: int =
         yield first, texts
 
 
-_encoders: dict[tuple, UnitEncoder] = {}
-
-
 def encoder(path: str, value, kind: str, cache_units: int = CACHE_UNITS) -> UnitEncoder:
     """One encoder a worker process, vocabulary and kind of value."""
-    key = (path, kind, cache_units)
-    if key not in _encoders:
-        _encoders[key] = UnitEncoder(path, value, cache_units)
-    return _encoders[key]
+    return kept(("units", path, kind, cache_units), lambda: UnitEncoder(path, value, cache_units))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

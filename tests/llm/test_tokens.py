@@ -136,3 +136,17 @@ def test_words_without_a_pair_and_words_of_one_token():
     some = [b"a", b"the", b"\xf0\x9f\x98\x80", b"qzqzqz", b" "]
     assert [back for _, back in bpe.query_both(some)] == some
     assert bpe.query_encode(some) == [" ".join(map(str, bpe.heap_encode(w))) for w in some]
+
+
+def test_repeated_units_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    from tamarack.llm.common import gathered
+    from tamarack.llm.token_counts import UnitEncoder
+
+    asked = []
+    got = list(gathered(["a b  a", None, "", "b"] * 50, lambda units: (asked.extend(units) or [x.encode() + b"." for x in units],)))
+    assert [bytes(x) for (x,) in got] == [b"a.b..a.", b"", b".", b"b."] * 50 and sorted(asked) == ["", "a", "b"]
+    enc, t = UnitEncoder(P.path("word_bpe_49k.json"), lambda ids: np.array(ids, "<u4").tobytes(), cache_units=200), Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    some = [x or "" for x in TEXTS]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.joined(some)] == [t.encode(x, add_special_tokens=False).ids for x in some]
