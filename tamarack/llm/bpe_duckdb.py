@@ -4,11 +4,11 @@ Each worker holds an in-memory DuckDB with the table of merges: every pair of
 tokens whose bytes joined are a token, which then is its rank. The distinct words
 (matches of the splitting pattern) that a worker has not met become token-position
 rows; a recursive query joins neighbours with the merges and contracts each word's
-leftmost pair of least rank until no pair of any word is left; an ordered
-aggregation writes the ids and decodes them. Words longer than LONG bytes, on
+leftmost pair of least rank until no pair of any word is left; the tokens that are
+left, in order, take their ids' digits and their bytes from two Arrow columns. Words longer than LONG bytes, on
 which one contraction a step would be quadratic, follow the same rule by a heap.
-Texts are cut before spaces as in `token_counts`, so that each distinct unit is
-split and looked up once.
+Texts are cut before spaces as in `token_counts`, so that each distinct unit of some
+megabytes of text is looked up once and of those that a worker remembers split once.
 
 Null texts count as empty ones (no ids; both digests of the empty string);
 repeated rows each give a row; an empty table an empty table; further columns are
@@ -20,17 +20,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, table, unit_keys, unit_text
+from .common import UNSAFE_CUT, gathered, in_groups, joined_slices, kept, table, unit_text
+from .token_counts import Known
 
-#: Words a query takes, rows of all its steps at most, bytes from which a word goes by the heap, words and units that a worker remembers.
-BATCH_WORDS, BATCH_ROWS, LONG, CACHE_WORDS, CACHE_UNITS = 10_000, 2_000_000, 256, 500_000, 600_000
+#: Words a query takes, rows of all its steps at most, bytes from which a word goes by the heap, words and units that a worker
+#: remembers, characters of texts whose units are looked up together.
+BATCH_WORDS, BATCH_ROWS, LONG, CACHE_UNITS, GROUP_CHARS = 10_000, 2_000_000, 256, 1_000_000, 4_000_000
 
 #: A row is a token at a position of word w, with the token and position after it as one number (-1 at the word's end).
 #: A step's least (rank, position, position after it) of each word is one number too; words without any are done.
@@ -53,8 +55,7 @@ WITH RECURSIVE state AS (
     ) b ON b.w = p.w
     WHERE NOT p.done AND (b.key IS NULL OR p.pos <> b.key & 65535)
 )
-SELECT s.w, string_agg(s.tok::VARCHAR, ' ' ORDER BY s.pos) AS ids, unhex(string_agg(t.hex, '' ORDER BY s.pos)) AS bytes
-FROM state s JOIN tokens t ON t.id = s.tok WHERE s.done GROUP BY s.w
+SELECT s.w, s.tok FROM state s WHERE s.done ORDER BY s.w, s.pos
 """
 
 DECODE = """
@@ -71,7 +72,10 @@ class RecursiveBpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.split = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.bytes_of = {i: b for b, i in self.ranks.items()}
+        #: By id: its digits after a space, and its bytes.
+        bytes_of = {i: b for b, i in self.ranks.items()}
+        self.digits = pa.array([b" %d" % i for i in range(max(bytes_of) + 1)], pa.large_binary())
+        self.token_bytes = pa.array([bytes_of.get(i) for i in range(max(bytes_of) + 1)], pa.large_binary())
         pairs, merged = [], []
         for token, rank in self.ranks.items():
             for k in range(1, len(token)):
@@ -86,10 +90,9 @@ class RecursiveBpe:
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        #: Decimal ids and decoded text of words; of units the one and the other.
-        self.words: dict[str, tuple[str, str]] = {}
-        self.unit_ids: dict[str, str] = {}
-        self.unit_texts: dict[str, str] = {}
+        #: Decimal ids of words and units, a space before each; with the decoded bytes where these aren't the word's own.
+        #: A word, being a match of the pattern, is split into itself, so that one name serves for both.
+        self.known = Known(CACHE_UNITS)
 
     def heap_encode(self, data: bytes) -> list[int]:
         """Leftmost least-rank contraction of one long word."""
@@ -113,10 +116,10 @@ class RecursiveBpe:
 
     def query_encode(self, words: list[bytes]) -> list[str]:
         """The decimal ids of each word by the recursive query."""
-        return [ids for ids, _ in self.query_both(words)]
+        return [ids[1:].decode() for ids, _ in self.query_both(words)]
 
-    def query_both(self, words: list[bytes]) -> list[tuple[str, bytes]]:
-        """The decimal ids of each word by the recursive query, and what they decode to."""
+    def query_both(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """The decimal ids of each word by the recursive query, a space before each, and what they decode to."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         rows = pa.table({
@@ -125,11 +128,10 @@ class RecursiveBpe:
             "tok": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)],
         })
         self.db.register("start", rows)
-        out = [("", b"")] * len(words)
-        for w, ids, data in self.db.execute(CONTRACT).fetchall():
-            out[w] = (ids, data)
+        got = self.db.execute(CONTRACT).fetchnumpy()
         self.db.unregister("start")
-        return out
+        tokens, at = pa.array(np.asarray(got["tok"])), np.searchsorted(np.asarray(got["w"]), np.arange(len(words) + 1))
+        return [(bytes(a), bytes(b)) for a, b in zip(*(joined_slices(names.take(tokens), at) for names in (self.digits, self.token_bytes)))]
 
     def decode(self, ids: list[str]) -> list[bytes]:
         """The bytes of each sequence of decimal ids, by an ordered aggregation."""
@@ -143,19 +145,15 @@ class RecursiveBpe:
         self.db.unregister("ids")
         return out
 
-    def learn_words(self, words: set[str]) -> None:
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            new = words
+    def learn_words(self, words: Iterable[str]) -> None:
         short = []
-        for word in new:
+        for word in words:
             data = word.encode()
             if len(data) <= LONG:
                 short.append((word, data))
             else:
                 ids = " ".join(map(str, self.heap_encode(data)))
-                self.words[word] = (ids, self.decode([ids])[0].decode())
+                self.note(word, data, f" {ids}".encode(), self.decode([ids])[0])
         short.sort(key=lambda x: len(x[1]))  # words of like length end after like steps
         at = 0
         while at < len(short):
@@ -166,64 +164,67 @@ class RecursiveBpe:
                 upto += 1
             some = short[at:upto]
             for (word, data), (ids, back) in zip(some, self.query_both([data for _, data in some])):
-                self.words[word] = (ids, word if back == data else back.decode())
+                self.note(word, data, ids, back)
             at = upto
 
-    def joined(self, words: list[str]) -> tuple[str, str]:
-        got = [self.words[w] for w in words]
-        return " ".join([x[0] for x in got]), "".join([x[1] for x in got])
-
-    def learn_units(self, keys: set[str]) -> None:
-        new = keys.difference(self.unit_ids)
-        if len(self.unit_ids) + len(new) > CACHE_UNITS:
-            self.unit_ids.clear()
-            self.unit_texts.clear()
-            new = keys
-        split = {key: self.split(unit_text(key)) for key in new}
-        self.learn_words({w for x in split.values() for w in x})
-        for key, x in split.items():
-            self.unit_ids[key], self.unit_texts[key] = self.words[x[0]] if len(x) == 1 else self.joined(x)
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+    def note(self, word: str, data: bytes, ids: bytes, back: bytes) -> None:
+        self.known[word] = ids if back == data else (ids, back)
+
+    def learn(self) -> None:
+        """Encodes the units and words noted as new."""
+        known = self.known
+        split = {unit: self.split(unit) for unit in set(known.new)}
+        known.new.clear()
+        for word in {w for x in split.values() for w in x}:
+            known[word]  # notes what is new
+        words = list(dict.fromkeys(known.new))
+        known.new.clear()
+        self.learn_words(words)
+        for unit, x in split.items():
+            if x != [unit]:
+                ids, back = self.joined(x)
+                known[unit] = ids if back == unit.encode() else (ids, back)
+
+    def values(self, units: list[str]) -> tuple[list[bytes], list[bytes | str]]:
+        """The ids and the decoded text of each unit."""
+        got = list(map(self.known.__getitem__, units))
+        if self.known.new:
+            self.learn()
+            got = [self.known[u] if x is None else x for u, x in zip(units, got)]
+        own = [x if type(x) is bytes else x[0] for x in got]
+        return own, [u if type(x) is bytes else x[1] for u, x in zip(units, got)]
+
+    def joined(self, words: list[str]) -> tuple[bytes, bytes]:
+        ids, texts = self.values(words)
+        return b"".join(ids), b"".join([x.encode() if type(x) is str else x for x in texts])
+
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
         """(n_tokens, ids_sha256, decoded_sha256) of each text."""
-        cut = [[(block, unit_keys(block)) for block in blocks(t, 1 << 20)] for t in texts]
-        keys, loose = set(), set()
-        for text in cut:
-            for block, units in text:
-                if units is None:
-                    loose.update(self.split(block))
-                else:
-                    if units[0][:1] != "\n":
-                        loose.update(self.split(units[0]))
-                    keys.update(units)
-        if not keys.issubset(self.unit_ids.keys()):
-            self.learn_units(keys)
-        if not loose.issubset(self.words.keys()):
-            self.learn_words(loose)
-        id_of, text_of = self.unit_ids.__getitem__, self.unit_texts.__getitem__
-        for text in cut:
-            ids, data, n = hashlib.sha256(), hashlib.sha256(), 0
-            for block, units in text:
-                start = None if units is not None and units[0][:1] == "\n" else self.joined(self.split(block if units is None else units[0]))
-                rest = () if units is None else units if start is None else units[1:]
-                part, back = " ".join(map(id_of, rest)), "".join(map(text_of, rest))
-                if start is not None:
-                    part, back = f"{start[0]} {part}" if start[0] and part else start[0] or part, start[1] + back
-                if part:
-                    ids.update((" " + part if n else part).encode())
-                    n += part.count(" ") + 1
-                data.update(back.encode())
-            yield n, ids.hexdigest(), data.hexdigest()
-
-
-_held: dict[tuple[str, str], RecursiveBpe] = {}
+        ids, data, n = hashlib.sha256(), hashlib.sha256(), 0
+        for some in in_groups(texts, GROUP_CHARS):
+            self.known.turn()
+            heads, rests = [], []
+            for _, block in some:
+                # What comes before the first space, or a block that may not be cut, is split by itself.
+                head, space, rest = (block, "", "") if UNSAFE_CUT.search(block) else block.replace("\n", " \n").partition(" ")
+                heads.append(self.split(head))
+                rests.append(rest if space else None)
+            self.values(list({w for x in heads for w in x}))
+            for (last, _), head, (part, back) in zip(some, heads, gathered(rests, lambda keys: self.values(list(map(unit_text, keys))))):
+                first, start = self.joined(head)
+                own = first + part
+                ids.update(own if n else own[1:])
+                data.update(start)
+                data.update(back)
+                n += own.count(b" ")
+                if last:
+                    yield n, ids.hexdigest(), data.hexdigest()
+                    ids, data, n = hashlib.sha256(), hashlib.sha256(), 0
 
 
 def held(path: str, pattern: str) -> RecursiveBpe:
     """One database a worker process and vocabulary."""
-    if (path, pattern) not in _held:
-        _held[path, pattern] = RecursiveBpe(path, pattern)
-    return _held[path, pattern]
+    return kept(("bpe", path, pattern), lambda: RecursiveBpe(path, pattern))
 
 
 def encode_decode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,10 +235,8 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = held(ranks, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                out = list(bpe.encode(part.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out]), pa.array([x[2] for x in out])], schema=schema)
+            out = list(bpe.encode(x.as_py() for x in batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.string())], schema=schema)
 
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -150,3 +150,18 @@ def test_repeated_units_are_looked_up_once():
     enc, t = UnitEncoder(P.path("word_bpe_49k.json"), lambda ids: np.array(ids, "<u4").tobytes(), cache_units=200), Tokenizer.from_file(P.path("word_bpe_49k.json"))
     some = [x or "" for x in TEXTS]
     assert [np.frombuffer(x, "<u4").tolist() for x in enc.joined(some)] == [t.encode(x, add_special_tokens=False).ids for x in some]
+
+
+def test_frequent_words_outlive_the_memory(monkeypatch):
+    """A full memory of words used to be emptied, so that common words too were encoded anew."""
+    import tamarack.llm.bpe_duckdb as bpe_duckdb
+
+    monkeypatch.setattr(bpe_duckdb, "CACHE_UNITS", 400)
+    bpe, asked = RecursiveBpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), []
+    query = bpe.query_both
+    monkeypatch.setattr(bpe, "query_both", lambda some: asked.extend(some) or query(some))
+    for k in range(12):
+        text = "common " * 9 + " ".join(f"own{chr(97 + k)}{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(150))
+        ((_, _, back),) = bpe.encode([text])
+        assert back == hashlib.sha256(text.encode()).hexdigest()
+    assert asked.count(b" common") == 1 and len(bpe.known) + len(bpe.known.old) < 1000
