@@ -30,6 +30,8 @@ def _stage(work):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         read = " ".join(docs.inputFiles()[:1])
         release(spark, [p for p in _of_last_stage if p.rpartition("/")[2] not in read])
+        # Rows go to Python in batches of so many bytes: both sides hold whole batches of texts, for each task at once.
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
         before = set(written())
         out = work(spark, docs, sf_dir)
         _of_last_stage[:] = [p for p in written() if p not in before]
@@ -67,7 +69,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Pieces of every document that is left, packed into sequences."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cache_units=300_000)  # executors hold other stages' memory too
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cache_units=100_000)  # executors hold other stages' memory too
 
 
 STAGES = [

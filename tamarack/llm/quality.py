@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import forget, table
 
 SAMPLE, MAX_CHARS, DIMS, HIDDEN, WINDOW, MIN_SEEN, MAX_WORDS, CUT = 8000, 200_000, 64, 32, 2, 3, 40_000, 0.3
 #: Words (between white space) that a worker remembers.
@@ -181,6 +181,7 @@ def scorer(spark: SparkSession, model: Model):
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
+        forget()  # the model is what this worker needs now
         return pd.Series(held.value.scores(list(text)), dtype="float64")
 
     return score

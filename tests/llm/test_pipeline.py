@@ -125,3 +125,30 @@ def test_every_piece_has_its_place(stages):
             at += length
         assert at <= 2048
     assert len(filled) <= 1.1 * -(-sum(size.values()) // 2048) + 1
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    import weakref
+
+    from tamarack.llm.common import forget, kept
+
+    class State:
+        pass
+
+    first = weakref.ref(kept(("first",), State))
+    assert first() is kept(("first",), State)
+    second = weakref.ref(kept(("second",), State))
+    assert first() is None and second() is not None
+    forget()
+    assert second() is None
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark, stages):
+    import pyarrow as pa
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 4000) AS text")
+    assert max(r.n for r in rows.mapInArrow(held, "n long").collect()) < 2100
