@@ -165,6 +165,29 @@ def test_chains_of_pointers(spark):
     assert graph.chase(spark.createDataFrame([], "node string, to string")).count() == 0
 
 
+def test_long_chains_and_circles_of_pointers(spark):
+    rng = random.Random(4)
+    links = {k: k + 1 for k in range(700)} | {10_000 + k: 10_000 + (k + 1) % 90 for k in range(90)} | {20_000 + k: 20_000 + rng.randrange(300) for k in range(300)}
+    links |= {30_000 + k: 30_000 + k + 1 for k in range(50)} | {30_050: 10_007}
+    wanted = {}
+    for node in links:
+        met = [node]
+        while links.get(met[-1], met[-1]) not in met:
+            met.append(links[met[-1]])
+        if len(met) > 1:
+            wanted[node] = (met[-1], len(met) - 1)
+    spark.sparkContext.setJobGroup("chase", "chase")
+    try:
+        got = graph.chase(spark.createDataFrame(list(links.items()), "node long, to long")).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("chase"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == len(wanted) and {r.node: (r.last, r.steps) for r in got} == wanted
+    assert jobs < 300  # not one or more for each step of the longest chain
+    named = spark.createDataFrame([(("a", 1), ("a", 2)), (("a", 2), ("a", 1)), (("b", 1), ("a", 1)), (("c", 1), ("c", 0))], "node struct<s: string, k: long>, to struct<s: string, k: long>")
+    assert {tuple(r.node): (tuple(r.last), r.steps) for r in graph.chase(named).collect()} == {("a", 1): (("a", 2), 1), ("a", 2): (("a", 1), 1), ("b", 1): (("a", 2), 2), ("c", 1): (("c", 0), 1)}
+
+
 def test_clip_bounds(spark):
     rows = [("p001", "s0", 0.0, 10.0, 2.0, 3.0, 4.5, 4.9), ("p002", "s0", 0.0, 10.0, 5.0, 6.0, 7.5, 7.9), ("p003", "s1", 10.0, 20.0, 10.2, 11.0, 12.5, 12.9)]
     df = spark.createDataFrame(rows, "event_id string, shot string, shot_start double, shot_end double, clip_start double, onset double, settle double, clip_end double")
