@@ -1,7 +1,9 @@
 """Classification, years, contexts, plans, tiers and reports on small rows."""
 
+import functools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +160,67 @@ def test_resolution_by_all_pairs(spark):
     assert len(set(kinds)) == 4 and neardup.resolve(df.where("false")).count() == 0
 
 
+def test_resolution_keeps_no_row_for_a_pair(spark, monkeypatch):
+    n, sizes = 600, {}
+    clips = spark.range(n).selectExpr("'s' AS source", "format_string('c%04d', id) AS clip_id", "array(7L, 9L) AS frame_hashes", "id * 1000.0D AS clip_start", "id * 1000.0D + 5 AS clip_end", "5.0D AS duration")
+
+    def counted(df, label):
+        out = stored(df, label)
+        sizes[label] = out.count()
+        return out
+
+    stored = neardup.stored
+    monkeypatch.setattr(neardup, "stored", counted)
+    assert {r.status for r in neardup.resolve(clips).collect()} == {"flagged"} and max(sizes.values()) <= n
+
+
+def test_resolution_over_several_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    looks = [[rng.getrandbits(64) - 2**63 for _ in range(3)] for _ in range(12)]
+    rows = []
+    for s, n in (("a", 61), ("b", 7), ("c", 1)):
+        for k in range(n):
+            hashes = [h ^ sum(1 << k for k in rng.sample(range(63), rng.choice([0, 3, 9]))) for h in rng.choice(looks)]
+            rows.append((s, f"c{k:02d}", rng.choice([hashes] * 5 + [hashes[:2]]), k * 40.0 + 0.5, k * 40.0 + 6, rng.choice([5.0, 5.5])))
+    df = spark.createDataFrame(rows, "source string, clip_id string, frame_hashes array<long>, clip_start double, clip_end double, duration double")
+    monkeypatch.setattr(neardup, "flagged", functools.partial(neardup.flagged, block=8))
+    got = {(r.source, r.clip_id): (r.status, r.duplicate_of, r.confidence, r.reason) for r in neardup.resolve(df).collect()}
+    assert got == {(s, k): v for s in "abc" for k, v in plain_resolution([r for r in rows if r[0] == s]).items()}
+    assert {v[0] for v in got.values()} == {"flagged", "kept", "removed"}
+
+
+def test_blocks_by_strips_and_by_pairs(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(neardup, "STRIP", 3)
+    kind = pa.list_(pa.struct([("place", pa.int64()), ("s", pa.float64()), ("e", pa.float64()), ("d", pa.float64()), ("li", pa.int64()), ("lj", pa.int64()), ("h", pa.list_(pa.int64()))]))
+    looks = [rng.getrandbits(64) - 2**63 for _ in range(3)]
+
+    def row(place, lost=False):
+        start = rng.choice([None, place * 30.0, place * 30.0])
+        li, lj = rng.choice([(None, None), (rng.randrange(20), rng.randrange(20, 40))]) if lost else (None, None)
+        hashes = [None if rng.random() < 0.05 else rng.choice(looks) for _ in range(rng.choice([1, 1, 2, 4]))]
+        return {"place": place, "s": start, "e": None if start is None else start + 8, "d": rng.choice([5.0, 6.0, 8.0, None]), "li": li, "lj": lj, "h": hashes}
+
+    def plain(a, b):
+        i, j = sorted((a["place"], b["place"]))
+        pairs = list(zip(a["h"], b["h"]))
+        if i == j or None in (x for p in pairs for x in p) or None in (a["d"], b["d"]):
+            return False
+        known = None not in (a["s"], b["s"])
+        near = known and max(0.0, b["s"] - a["e"], a["s"] - b["e"]) <= 60
+        alike = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in pairs) / len(pairs) <= 8
+        return alike and not near and abs(a["d"] - b["d"]) / max(a["d"], b["d"]) <= 0.25 and (b["li"] is None or (b["li"], b["lj"]) > (i, j))
+
+    sets = [([row(k) for k in rng.sample(range(40), m)], [row(k, True) for k in rng.sample(range(40), n)]) for m, n in ((1, 1), (5, 2), (11, 17), (2, 30))]
+    wanted = [sorted(x["place"] for x in a if any(plain(x, y) for y in b)) for a, b in sets]
+    a, b = pa.array([[], *[x[0] for x in sets]], kind)[1:], pa.array([[], *[x[1] for x in sets]], kind)[1:]
+    by_pairs = list(zip(*[x.tolist() for x in neardup.flags_of_small(a, b, 60.0, 8.0, 0.25)]))
+    assert [sorted(p for k, p in by_pairs if k == n) for n in range(4)] == wanted and sum(map(len, wanted)) > 5
+    for x, y, w in zip(a, b, wanted):
+        mine = neardup.Clips(x.values)
+        assert sorted(mine.place[neardup.flags(mine, neardup.Clips(y.values), 60.0, 8.0, 0.25)].tolist()) == w
+
+
 def test_chains_of_pointers(spark):
     links = [(k, k + 1) for k in range(40)] + [(1000, 1001), (1001, 1002), (1002, 1000), (5000, 5000)]
     got = {r.node: (r.last, r.steps) for r in graph.chase(spark.createDataFrame(links, "node long, to long")).collect()}
