@@ -189,6 +189,24 @@ def test_resolution_over_several_blocks(spark, monkeypatch):
     assert {v[0] for v in got.values()} == {"flagged", "kept", "removed"}
 
 
+def test_losses_of_many_runs(spark):
+    rng, rows, wanted = random.Random(11), [], set()
+    for source in ("a", "b"):
+        gone = set()
+        for i in range(0, 9000, 3):
+            for j in rng.sample(range(i + 1, i + 8), 2) if i % 30 == 0 else (i + 1,):
+                loser, winner = rng.sample((i, j), 2)
+                rows.append((source, i, j, loser, winner))
+        for s, i, j, loser, winner in sorted(r for r in rows if r[0] == source):
+            if i not in gone and j not in gone:
+                gone.add(loser)
+                wanted.add((s, loser, winner, i, j))
+    rng.shuffle(rows)
+    got = neardup.losses(spark.createDataFrame(rows, "source string, i long, j long, loser long, winner long"), ["source"])
+    assert got.columns == ["source", "lost", "to", "i", "j"] and sorted(map(tuple, got.collect())) == sorted(wanted)
+    assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()  # a call of Python for each run
+
+
 def test_blocks_by_strips_and_by_pairs(monkeypatch):
     rng = random.Random(9)
     monkeypatch.setattr(neardup, "STRIP", 3)
