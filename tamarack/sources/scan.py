@@ -4,7 +4,7 @@ A recording is `<source>.raw`, frames one after the other, beside `<source>.json
 rate (frames a second), shape ([] for a signal) and dtype. Rows are (source, frame, t,
 value), value flat. Options: path (a folder); fps, the sampling grid (each
 round(rate / fps)-th frame from `start` on, all frames by default); start and end in
-seconds; span, the seconds of a partition. Comparisons of t and tests of source with =
+seconds; span, the seconds of a partition (of over a thousand, those that follow each other are read together). Comparisons of t and tests of source with =
 or IN leave out files, partitions and frames before anything is read; a stream has the
 frames of each recording that were added since the last batch.
 
@@ -16,8 +16,11 @@ from __future__ import annotations
 import json
 import math
 import os
+import pickle
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 from urllib.parse import urlparse
 
 import numpy as np
@@ -31,6 +34,8 @@ NAME = "tamarack_frames"
 ARROW = pa.schema([("source", pa.string()), ("frame", pa.int64()), ("t", pa.float64()), ("value", pa.list_(pa.float32()))])
 #: Bytes of frames in a batch of rows.
 BATCH_BYTES = 8 << 20
+#: Where there are more ranges than this, a task reads as many as this that follow each other, or so many bytes of frames.
+RANGES, RANGES_BYTES = 1000, 16 << 20
 
 
 def _local(path: str) -> str:
@@ -53,16 +58,15 @@ class Recording:
         return os.path.getsize(self.path) // self.frame_bytes
 
 
-def recordings(folder: str, names: set[str] | None = None) -> list[Recording]:
+def recordings(folder: str, names: set[str] | None = None) -> Iterator[Recording]:
     """The folder's recordings, or those of the given names."""
-    folder, out = _local(folder), []
+    folder = _local(folder)
     for name in sorted(f[:-5] for f in os.listdir(folder) if f.endswith(".json")) if names is None else sorted(names):
         path = os.path.join(folder, name)
         if os.path.exists(f"{path}.json") and os.path.exists(f"{path}.raw"):
             with open(f"{path}.json") as f:
                 about = json.load(f)
-            out.append(Recording(name, f"{path}.raw", float(about["rate"]), tuple(about.get("shape", [])), about.get("dtype", "<f4")))
-    return out
+            yield Recording(name, f"{path}.raw", float(about["rate"]), tuple(about.get("shape", [])), about.get("dtype", "<f4"))
 
 
 @dataclass
@@ -79,6 +83,55 @@ class FrameRange(InputPartition):
         grid = np.arange(self.first, self.last, self.step)
         return grid if self.points is None else grid[np.isin(grid, self.points)]
 
+    @property
+    def frame_bytes(self) -> int:
+        return self.recording.frame_bytes * len(range(self.first, self.last, self.step))
+
+
+@dataclass
+class FrameRanges(InputPartition):
+    """Ranges of one or more recordings that a task reads, packed: the driver holds a few bytes of each."""
+
+    packed: bytes
+
+    @classmethod
+    def of(cls, ranges: list[FrameRange]) -> FrameRanges:
+        return cls(zlib.compress(pickle.dumps(ranges)))
+
+    def ranges(self) -> list[FrameRange]:
+        return pickle.loads(zlib.decompress(self.packed))
+
+
+def together(ranges: Iterator[FrameRange]) -> list[FrameRange | FrameRanges]:
+    """Partitions of ranges: each of its own, or, of very many, those that follow each other, so that tasks go with frames and not with recordings."""
+    some = list(islice(ranges, RANGES + 1))
+    if len(some) <= RANGES:
+        return some
+    out, held, size = [], [], 0
+    for part in chain(some, ranges):
+        if held and (len(held) == RANGES or size + part.frame_bytes > RANGES_BYTES):
+            out.append(FrameRanges.of(held))
+            held, size = [], 0
+        held.append(part)
+        size += part.frame_bytes
+    return [*out, FrameRanges.of(held)]
+
+
+def read_ranges(part: FrameRange | FrameRanges | None) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition, those of small ranges in common batches."""
+    if not isinstance(part, FrameRanges):
+        yield from read_range(part)
+        return
+    held, size = [], 0
+    for batch in chain.from_iterable(map(read_range, part.ranges())):
+        if held and size + batch.nbytes > BATCH_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
 
 def read_range(part: FrameRange | None) -> Iterator[pa.RecordBatch]:
     """Rows of a range; only bytes of wanted frames are read. None stands for a scan without any partition."""
@@ -155,18 +208,19 @@ class FrameReader(DataSourceReader):
                 high = min(high, int(held[-1]) + 1 if len(held) else max(near - 2, 0))
         return low, high
 
-    def partitions(self) -> list[FrameRange]:
-        out = []
+    def _ranges(self) -> Iterator[FrameRange]:
         for r in recordings(self.options.path, self.names):
             points = None
             if self.points is not None:
                 near = {k for p in self.points if math.isfinite(p) for k in range(int(p * r.rate) - 1, int(p * r.rate) + 3)}
                 points = tuple(sorted(k for k in near if k >= 0 and k / r.rate in self.points))
-            out += self.options.ranges(r, *self._bounds(r), points)
-        return out
+            yield from self.options.ranges(r, *self._bounds(r), points)
+
+    def partitions(self) -> list[FrameRange | FrameRanges]:
+        return together(self._ranges())
 
-    def read(self, partition: FrameRange) -> Iterator[pa.RecordBatch]:
-        return read_range(partition)
+    def read(self, partition: FrameRange | FrameRanges) -> Iterator[pa.RecordBatch]:
+        return read_ranges(partition)
 
 
 class FrameStream(DataSourceStreamReader):
@@ -181,12 +235,12 @@ class FrameStream(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         return {r.source: r.frames() for r in recordings(self.options.path)}
 
-    def partitions(self, start: dict, end: dict) -> list[FrameRange]:
+    def partitions(self, start: dict, end: dict) -> list[FrameRange | FrameRanges]:
         grown = {name for name, n in end.items() if n > start.get(name, 0)}
-        return [p for r in recordings(self.options.path, grown) for p in self.options.ranges(r, start.get(r.source, 0), end[r.source])]
+        return together(p for r in recordings(self.options.path, grown) for p in self.options.ranges(r, start.get(r.source, 0), end[r.source]))
 
-    def read(self, partition: FrameRange) -> Iterator[pa.RecordBatch]:
-        return read_range(partition)
+    def read(self, partition: FrameRange | FrameRanges) -> Iterator[pa.RecordBatch]:
+        return read_ranges(partition)
 
     def commit(self, end: dict) -> None:
         pass

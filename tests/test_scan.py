@@ -85,3 +85,23 @@ def test_a_stream_has_what_was_added(spark, folder, tmp_path):
     got = run()
     assert got.count() == 379 and got.dropDuplicates(["source", "frame"]).count() == 379
     assert got.where("value[0] = 7 AND source = 'c'").count() == 4
+
+
+def test_very_many_recordings_in_few_partitions(spark, tmp_path):
+    rows = spark.range(0, 2500 * 20, 1, 4).selectExpr("id div 20 AS source", "id % 20 AS frame", "array(float(id)) AS value")
+    scan.record(rows, f"{tmp_path}/r", 10.0)
+    every = scan.frames(spark, f"{tmp_path}/r", fps="5").where("t >= 0.5")
+    assert every.rdd.getNumPartitions() == 3
+    want = {(str(k), f, f / 10.0, float(k * 20 + f)) for k in range(2500) for f in range(6, 20, 2)}
+    got = [(r.source, r.frame, r.t, r.value[0]) for r in every.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert every.where("source = '7'").rdd.getNumPartitions() == 1 and every.where("t > 5").count() == 0
+    reader = scan.FrameReader(scan.Options({"path": f"{tmp_path}/r", "span": "1"}))
+    assert len(reader.partitions()) == 5 and sum(len(p.packed) for p in reader.partitions()) < 5000 * 60
+
+
+def test_large_ranges_are_not_read_together(tmp_path):
+    big, small = (scan.Recording(n, f"{tmp_path}/{n}", 10.0, s, "<f4") for n, s in (("big", (1 << 20,)), ("small", ())))
+    parts = scan.together(iter([scan.FrameRange(big, k, k + 3, 1) for k in range(0, 30, 3)] + [scan.FrameRange(small, k, k + 1, 1) for k in range(1500)]))
+    assert [len(p.ranges()) for p in parts] == [1] * 9 + [1000, 501]
+    assert [(r.recording.source, r.first) for p in parts for r in p.ranges()] == [("big", k) for k in range(0, 30, 3)] + [("small", k) for k in range(1500)]
