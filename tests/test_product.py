@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tamarack.operators import product
+from tamarack.operators import product, resume
 from tamarack.sources import batches
 
 CANDIDATE = "run_id string, video_id string, url string, final_score double, ord int, given boolean, competition_context string, source_type string, game_year int, game_year_confidence string, published_date string"
@@ -106,3 +106,20 @@ def test_eligible_candidates(spark):
     names = lambda df: {k: [r.video_id for r in sorted(df.collect(), key=lambda r: r["rank"]) if r.run_id == k] for k in ("r", "own", "all")}
     assert names(product.eligible(rows, 3)) == {"r": ["c", "d", "e"], "own": ["x", "y"], "all": ["p", "q"]}
     assert names(product.eligible(rows, 3, F.lit(2024))) == {"r": ["d", "e", "f"], "own": ["x"], "all": ["p", "q"]}
+
+
+def test_a_wave_takes_as_many_jobs_whatever_its_chains(spark):
+    n = 250
+    clips = spark.range(n).selectExpr("format_string('c%03d', id) AS clip_id", "array(id) AS frame_hashes", "id * 10.0D AS clip_start", "id * 10.0D + 11 AS clip_end", "id + 5.0D AS duration", "format_string('/%d', id) AS path")
+    one = clips.agg(F.collect_list(F.struct("clip_id", "frame_hashes", "clip_start", "clip_end", "duration", "path")).alias("clips"))  # each clip loses against the next
+    made = one.selectExpr("'r' AS run_id", "'v' AS video_id", "true AS downloaded", "true AS normalised", "clips", "CAST(NULL AS string) AS error")
+    tried = spark.createDataFrame([("r", "v", 1, "recommended")], "run_id string, video_id string, attempt int, source_selection_mode string")
+    spark.sparkContext.setJobGroup("wave", "wave")
+    try:
+        results, kept = product.outcomes(tried, made, lambda paths: {"file": "+".join(paths), "duration": 1.0}, resume.resolve, 1)
+        row, left = results.first(), kept.collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("wave"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert (row.status, row.raw_clips, row.final_clip_count, row.file) == ("ok", n, 1, f"/{n - 1}") and [r.clip_id for r in left] == [f"c{n - 1}"]
+    assert jobs < 200
